@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup
+from . import line_dedup, token_counts, transducer
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,18 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "text", "lines_total", "lines_removed", "runs_removed")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"))
+
+
+def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transducer.round_trip(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_token_counts": op2_token_counts,
     "op5_line_dedup": op5_line_dedup,
+    "op8_bpe_transducer": op8_bpe_transducer,
 }
 
 ORACLES = {
