@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, token_counts, transducer
+from . import line_dedup, packing, token_counts, transducer
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "text", "lines_total", "lines_removed", "runs_removed")
 
 
+def op1_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,7 @@ def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_nnls_packing": op1_nnls_packing,
     "op2_token_counts": op2_token_counts,
     "op5_line_dedup": op5_line_dedup,
     "op8_bpe_transducer": op8_bpe_transducer,
