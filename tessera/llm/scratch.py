@@ -8,6 +8,7 @@ the setting is absent, as in local tests.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -48,6 +49,11 @@ class Scratch:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
             path.getFileSystem(conf).delete(path, True)
 
+    def settle(self) -> None:
+        """Let Spark delete the shuffle files of finished phases now, not when the driver next collects garbage."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
 
 def ship(spark: SparkSession) -> None:
     """Make this package importable on the executors (once per application)."""
