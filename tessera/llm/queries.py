@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, ngram_join, packing, token_counts, transducer
+from . import line_dedup, lm_scoring, ngram_join, packing, token_counts, transducer
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op3_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_nnls_packing": op1_nnls_packing,
     "op2_token_counts": op2_token_counts,
+    "op3_deleted_interpolation": op3_deleted_interpolation,
     "op5_line_dedup": op5_line_dedup,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_bpe_transducer": op8_bpe_transducer,
