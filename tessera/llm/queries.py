@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, lm_scoring, ngram_join, nn_descent, packing, token_counts, transducer
+from . import language_id, line_dedup, lm_scoring, ngram_join, nn_descent, packing, token_counts, transducer
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
 def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_bpe_transducer": op8_bpe_transducer,
+    "op9_language_id": op9_language_id,
     "op10_nn_descent": op10_nn_descent,
 }
 
