@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, line_dedup, lm_scoring, ngram_join, nn_descent, packing, token_counts, transducer
+from . import language_id, line_dedup, lm_scoring, ngram_join, nn_descent, packing, token_counts, toxicity, transducer
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op3_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_deleted_interpolation": op3_deleted_interpolation,
     "op5_line_dedup": op5_line_dedup,
+    "op6_toxicity_chain": op6_toxicity_chain,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_bpe_transducer": op8_bpe_transducer,
     "op9_language_id": op9_language_id,
