@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import vocab
-from .scratch import Scratch, ship
+from .scratch import ship
 
 FOLDS, TEST_FOLD = 5, 0
 #: The bound on labelled texts that teach each language.
@@ -253,38 +253,53 @@ def teach(docs: DataFrame, id_col: str, text_col: str, lang_col: str, path: str,
     return learn(counts, piece_ids(path))
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", path: str | None = None, sample: int = SAMPLE) -> DataFrame:
-    """(id, held_out, lang_pred, score) per row; the score is the prediction's posterior probability."""
+def _predictor(docs: DataFrame, id_col: str, text_col: str, lang_col: str, path: str | None, sample: int):
+    """Texts -> (language or ``und``, posterior) for each, from what the labelled texts teach."""
     spark = docs.sparkSession
     ship(spark)
     path = path or vocab.vocabulary_path("piece_bpe_32k.model")
     languages, table = teach(docs, id_col, text_col, lang_col, path, sample)
     model = zlib.crc32(table.tobytes())
     sent = spark.sparkContext.broadcast(table)  # pieces by languages
-    kind = docs.schema[id_col].dataType.simpleString()
 
-    def run(batches):
+    def predict(texts: list) -> tuple[list[str], np.ndarray]:
+        if not languages or not texts:
+            return [UNDETERMINED] * len(texts), np.zeros(len(texts))
         if model not in _scorers:
             _scorers.clear()
             _scorers[model] = _Scorer(piece_ids(path), sent.value)
+        sums = _sums([t or b"" for t in texts], _scorers[model])
+        share = np.exp(sums[:, :-1] - sums[:, :-1].max(1, keepdims=True))
+        share /= share.sum(1, keepdims=True)
+        known = sums[:, -1] > 0
+        names = [languages[b] if k else UNDETERMINED for b, k in zip(np.argmax(share, 1), known)]
+        return names, np.where(known, share.max(1), 0.0)
+
+    return predict
+
+
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", path: str | None = None, sample: int = SAMPLE) -> DataFrame:
+    """(id, held_out, lang_pred, score) per row; the score is the prediction's posterior probability."""
+    predict = _predictor(docs, id_col, text_col, lang_col, path, sample)
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches):
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            sums = _sums([t or b"" for t in batch.column(1).cast(pa.large_binary()).to_pylist()], _scorers[model])
-            predicted, score = [UNDETERMINED] * len(ids), np.zeros(len(ids))
-            if languages and len(ids):
-                logs = sums[:, :-1] - sums[:, :-1].max(1, keepdims=True)
-                share = np.exp(logs)
-                share /= share.sum(1, keepdims=True)
-                best = np.argmax(share, 1)
-                known = sums[:, -1] > 0
-                predicted = [languages[b] if k else UNDETERMINED for b, k in zip(best, known)]
-                score = np.where(known, share.max(1), 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_fold(i) == TEST_FOLD for i in ids], pa.bool_()), pa.array(predicted, pa.string()), pa.array(score, pa.float64())], names=[id_col, "held_out", "lang_pred", "score"])
+            predicted, score = predict(batch.column(1).cast(pa.large_binary()).to_pylist())
+            held_out = [_fold(i) == TEST_FOLD for i in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held_out, pa.bool_()), pa.array(predicted, pa.string()), pa.array(score, pa.float64())], names=[id_col, "held_out", "lang_pred", "score"])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows whose language is determined with a posterior of at least ``least``; all columns stay."""
-    found = Scratch(docs.sparkSession, "language").put(identify(docs, id_col, text_col, lang_col).filter((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < least)).select(F.col(id_col).alias("__id")).distinct(), "rejected")
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
+def keep_identified(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", path: str | None = None, sample: int = SAMPLE) -> DataFrame:
+    """The rows whose language is determined with a posterior of at least ``least``, with all their columns, in one pass."""
+    predict = _predictor(docs, id_col, text_col, lang_col, path, sample)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            predicted, score = predict(batch.column(at).cast(pa.large_binary()).to_pylist())
+            yield batch.filter(pa.array([p != UNDETERMINED and s >= least for p, s in zip(predicted, score)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

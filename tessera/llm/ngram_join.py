@@ -263,3 +263,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     result = scratch.put(result.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")), "result")
     scratch.drop("rows", "classes", "groups", "stars", "sets", "links", "found", "open", "clusters", "placed", "tiles", "more", "components")
     return result
+
+
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
+    """The rows that represent their component (its least id), with all their columns."""
+    found = jaccard_components(docs, id_col, text_col, shingle, num, den)
+    gone = found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("__id")).distinct()
+    return docs.join(gone, F.col(id_col) == F.col("__id"), "left_anti")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vocab
-from .scratch import Scratch, ship
+from .scratch import ship
 
 #: The bound on labelled rows that teach, words selected for each category, and folds of the chain.
 SAMPLE = 20_000
@@ -201,38 +201,57 @@ def teach(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, catego
 _memos: dict[int, _Words] = {}
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", categories: dict[str, Column] | None = None, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
-    """(id, p_<category>..., is_<last category>): probabilities along the chain, and the decision on its last category."""
+def _predictor(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, categories: dict[str, Column], sample: int):
+    """Texts -> probabilities of all categories for each, from what the labelled rows teach."""
     ship(docs.sparkSession)
-    categories = categories or {"low_quality": 1 - F.col("quality"), "toxic": F.col("toxic")}
-    names = list(categories)
     index, chain = teach(docs, labels, id_col, text_col, categories, sample)
     model = zlib.crc32(repr(sorted(index)).encode() + b"".join(w.tobytes() for w in chain))
-    kind = docs.schema[id_col].dataType.simpleString()
+    n = len(categories)
 
-    def run(batches):
+    def predict(texts: list) -> np.ndarray:
+        if not chain or not texts:
+            return np.zeros((len(texts), n))
         if model not in _memos:
             _memos.clear()
             _memos[model] = _Words(index)
-        memo = _memos[model]
+        x = np.zeros((len(texts), len(index) + SHAPES))
+        for k, text in enumerate(texts):
+            found, form = features(text or b"", _memos[model])
+            x[k, found] = 1
+            x[k, len(index) :] = form
+        return run_chain(chain, x)
+
+    return predict
+
+
+def _categories(categories: dict[str, Column] | None) -> dict[str, Column]:
+    return categories or {"low_quality": 1 - F.col("quality"), "toxic": F.col("toxic")}
+
+
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", categories: dict[str, Column] | None = None, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
+    """(id, p_<category>..., is_<last category>): probabilities along the chain, and the decision on its last category."""
+    categories = _categories(categories)
+    names = list(categories)
+    predict = _predictor(docs, labels, id_col, text_col, categories, sample)
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches):
         for batch in batches:
-            texts = batch.column(1).cast(pa.large_binary())
-            p = np.zeros((batch.num_rows, len(names)))
-            if chain and batch.num_rows:
-                x = np.zeros((batch.num_rows, len(index) + SHAPES))
-                for k in range(batch.num_rows):
-                    found, form = features(texts[k].as_py() or b"", memo)
-                    x[k, found] = 1
-                    x[k, len(index) :] = form
-                p = run_chain(chain, x)
+            p = predict(batch.column(1).cast(pa.large_binary()).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(p[:, c]) for c in range(len(names))], pa.array(p[:, -1] >= threshold, pa.bool_())], names=[id_col, *[f"p_{n}" for n in names], f"is_{names[-1]}"])
 
     fields = ", ".join(f"p_{n} double" for n in names)
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, {fields}, is_{names[-1]} boolean")
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows not found toxic; all columns stay."""
-    found = classify(docs, labels, id_col, text_col, threshold=threshold).filter("is_toxic").select(F.col(id_col).alias("__id")).distinct()
-    found = Scratch(docs.sparkSession, "toxicity").put(found, "rejected")
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", categories: dict[str, Column] | None = None, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
+    """The rows whose last category's probability is under the threshold, with all their columns, in one pass."""
+    predict = _predictor(docs, labels, id_col, text_col, _categories(categories), sample)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            p = predict(batch.column(at).cast(pa.large_binary()).to_pylist())
+            yield batch.filter(pa.array(p[:, -1] < threshold, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
