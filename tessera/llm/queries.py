@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import language_id, line_dedup, lm_scoring, ngram_join, nn_descent, packing, token_counts, toxicity, transducer
+from . import language_id, line_dedup, lm_scoring, media, ngram_join, nn_descent, packing, token_counts, toxicity, transducer
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_lossless_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.read_back(media.media(_table(spark, sf_dir, "documents")))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select("doc_id", "text", "lines_total", "lines_removed", "runs_removed")
@@ -53,6 +56,7 @@ QUERIES = {
     "op1_nnls_packing": op1_nnls_packing,
     "op2_token_counts": op2_token_counts,
     "op3_deleted_interpolation": op3_deleted_interpolation,
+    "op4_lossless_webp": op4_lossless_webp,
     "op5_line_dedup": op5_line_dedup,
     "op6_toxicity_chain": op6_toxicity_chain,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
