@@ -19,6 +19,7 @@ with a third of all pieces is dealt out like any other.
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -146,7 +147,8 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, window: int,
         from pyspark import TaskContext
 
         if path not in _memos:
-            _memos[path] = vocab.ChunkMemo(vocab.load(path), vocab.library_encoder(path), lambda ids: np.array(ids, "<u4").tobytes())
+            ids = vocab.library_encoder(path)
+            _memos[path] = vocab.ChunkMemo(vocab.load(path), lambda p: array("I", [p] if isinstance(p, int) else ids(p)).tobytes(), b"".join)
         get, part = _memos[path].__getitem__, TaskContext.get().partitionId()
         end, width, seen = np.array([END_ID], "<u4").tobytes(), 4 * window, np.zeros(window // grid + 1, np.int64)
         for batch in batches:

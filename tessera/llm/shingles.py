@@ -22,7 +22,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
-    """word -> 64-bit hash, remembered for the words met so far."""
+    """word -> 64-bit hash, remembered for words met lately."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MEMO_ENTRIES:

@@ -191,10 +191,14 @@ class _Codec:
         decoder = Decoder(words.strings)
         self.decoder = decoder
 
-        def entry(ids: list[int]) -> tuple[int, bytes, bytes]:
+        def part(p: bytes | int) -> tuple[int, bytes, bytes]:
+            ids = [p] if isinstance(p, int) else transducer.pre_token(p)
             return len(ids), b" ".join([b"%d" % i for i in ids]), decoder.joiner.join([decoder.bytes[i] for i in ids])
 
-        self.memo = vocab.ChunkMemo(words, transducer.pre_token, entry)
+        def join(parts: list[tuple[int, bytes, bytes]]) -> tuple[int, bytes, bytes]:
+            return sum(p[0] for p in parts), b" ".join([p[1] for p in parts]), decoder.joiner.join([p[2] for p in parts])
+
+        self.memo = vocab.ChunkMemo(words, part, join)
 
     def digest(self, text: bytes | None) -> tuple[int, str, str]:
         """(tokens, sha256 of the ids, sha256 of the decoded text), in slices of the text."""

@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import unicodedata
 
 import regex
 
-#: Entries of a worker's memo; it is emptied when full.
-MEMO_ENTRIES = 400_000
+#: Entries of a worker's memo.
+MEMO_ENTRIES = 600_000
+#: The splitting pattern on lower-case ASCII bytes.
+ASCII_PATTERN = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -53,6 +56,7 @@ class WordVocabulary:
         self.merges: list[tuple[int, int, int]] = [(self.ids[a], self.ids[b], self.ids[a + b]) for a, b in merges]
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
+        self.ascii_splits = self.pattern.pattern == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
         chars = byte_chars()
         self.inner = [self.ids[c] for c in chars]
         self.final = [self.ids[c + self.suffix] for c in chars]
@@ -63,6 +67,12 @@ class WordVocabulary:
 
     def pre_tokens(self, chunk: bytes) -> list[bytes | int]:
         """UTF-8 pre-tokens of a chunk; an int is a special token's id."""
+        if chunk.isascii():
+            low = chunk.lower()
+            if low.isalpha():
+                return [low]
+            if self.ascii_splits and b"<|" not in low:
+                return ASCII_PATTERN.findall(low)
         text = chunk.decode("utf-8", "replace")
         if self.special_pattern is None or "<|" not in text:
             return [p.encode() for p in self.pattern.findall(self.normalise(text))]
@@ -120,40 +130,55 @@ def pieces_of(text: bytes, limit: int = 1 << 20):
 
 
 class ChunkMemo(dict):
-    """chunk -> entry(ids), for the chunks met so far in this worker; ids of a pre-token come from ``encode``."""
+    """chunk -> entry, for chunks met lately in this worker.
 
-    def __init__(self, words: WordVocabulary, encode, entry):
+    ``encode`` gives a pre-token's (or special id's) part, ``join`` the entry
+    of several parts. Two generations, the older one dropped when the younger
+    is full, so frequent chunks stay and memory is bounded.
+    """
+
+    def __init__(self, words: WordVocabulary, encode, join):
         super().__init__()
-        self.words, self.encode, self.entry, self.known = words, encode, entry, {}
+        self.words, self.encode, self.join = words, encode, join
+        self.old: dict = {}
+        self.known: dict = {}
+        self.old_known: dict = {}
+
+    def _part(self, pre_token):
+        got = self.old_known.get(pre_token)
+        if got is None:
+            got = self.encode(pre_token)
+        if isinstance(pre_token, int) or len(pre_token) <= 64:
+            if len(self.known) >= MEMO_ENTRIES // 2:
+                self.old_known, self.known = self.known, {}
+            self.known[pre_token] = got
+        return got
 
     def __missing__(self, chunk: bytes):
-        if len(self) >= MEMO_ENTRIES:
-            self.clear()
-        known = self.known
-        if len(known) >= MEMO_ENTRIES:
-            known.clear()
-        ids: list[int] = []
-        for p in self.words.pre_tokens(chunk):
-            if isinstance(p, int):
-                ids.append(p)
-                continue
-            got = known.get(p)
-            if got is None:
-                got = self.encode(p)
-                if len(p) <= 64:
-                    known[p] = got
-            ids += got
-        entry = self.entry(ids)
+        entry = self.old.get(chunk)
+        if entry is None:
+            get = self.known.get
+            parts = []
+            for p in self.words.pre_tokens(chunk):
+                got = get(p)
+                parts.append(self._part(p) if got is None else got)
+            entry = parts[0] if len(parts) == 1 else self.join(parts)
         if len(chunk) <= 64:
+            if len(self) >= MEMO_ENTRIES:
+                self.old = dict(self)
+                self.clear()
             self[chunk] = entry
         return entry
 
 
 def library_encoder(path: str):
     """ids of a normalised pre-token by the tokenizers library's own merge model."""
-    model, shown = library(path).model, byte_chars()
+    tokenize, shown = library(path).model.tokenize, byte_chars()
 
     def encode(pre_token: bytes) -> list[int]:
-        return [t.id for t in model.tokenize("".join([shown[b] for b in pre_token]))]
+        text = pre_token.decode("ascii", "replace")
+        if not (text.isascii() and text.isprintable()):
+            text = "".join([shown[b] for b in pre_token])
+        return [t.id for t in tokenize(text)]
 
     return encode
