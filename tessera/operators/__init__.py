@@ -1 +1 @@
-
+"""Operators on DataFrames: rows in, rows out."""

@@ -1 +1 @@
-
+"""Whole pipelines and the driver's queries."""

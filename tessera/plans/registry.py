@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import raster_queries, sample_queries
+
+QUERIES: dict = {**raster_queries.QUERIES, **sample_queries.QUERIES}
+ORACLES: dict = {**raster_queries.ORACLES, **sample_queries.ORACLES}

@@ -1 +1 @@
-
+"""Stored collections, images, tables and reports."""

@@ -1 +1 @@
-
+"""Nothing here yet: all sources are batch collections, read by date range."""
