@@ -213,15 +213,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     scratch = Scratch(spark, "ngram-join")
     kind = docs.schema[id_col].dataType.simpleString()
     table = scratch.put(rows_of(docs, id_col, text_col, shingle, num, den), "rows")
-    classes = scratch.put(table.filter("n > 0 and id is not null").groupBy("k1", "k2").agg(F.min("id").alias("id")), "classes")
-
-    firsts = table.join(classes, ["k1", "k2", "id"], "left_semi").select("id", "n", F.explode("blocks").alias("block"))
-    # One exchange by block value serves the count and the join back; a hot value is split by the join.
-    met = firsts.groupBy("block").agg(F.min(F.struct("id", "n")).alias("centre"), F.max("id").alias("most")).filter("centre.id < most").select("block", "centre")
-    groups = scratch.put(firsts.join(met, "block").select("block", "id", "n", F.col("centre.id").alias("centre"), F.col("centre.n").alias("centre_n")), "groups")
+    some = table.filter("n > 0 and id is not null")
+    classes = scratch.put(some.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.min("n").alias("n")), "classes")
+
+    # Blocks in which different rows agree. Fixed-width minima only, so the count is a hash aggregate of small
+    # rows; the join back can be split where a block is hot, and equal rows alone never pass.
+    spread = some.select("id", "k1", F.explode("blocks").alias("block"))
+    met = spread.groupBy("block").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo < hi").select("block")
+    members = spread.select("block", "id").join(met, "block")
+    members = scratch.put(members.join(classes.select("id"), "id", "left_semi"), "members")
+    del spread, met
     scratch.settle()
+    centres = members.groupBy("block").agg(F.min("id").alias("centre"))
+    groups = scratch.put(members.join(centres, "block").select("block", "id", "centre"), "groups")
+    size = classes.groupBy("id").agg(F.min("n").alias("n"))
+    stars = groups.filter("id <> centre").select("id", "centre").distinct().join(size, "id")
+    stars = stars.join(size.select(F.col("id").alias("centre"), F.col("n").alias("centre_n")), "centre")
     fits = F.least("n", "centre_n") * den >= F.greatest("n", "centre_n") * num
-    stars = scratch.put(groups.filter("id <> centre").filter(fits).select("id", "centre").distinct(), "stars")
+    stars = scratch.put(stars.filter(fits).select("id", "centre"), "stars")
     wanted = groups.select("id").distinct()
     sets = scratch.put(sets_of(docs, id_col, text_col, wanted, shingle).dropDuplicates(["id"]), "sets")
     scratch.settle()
@@ -234,7 +243,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = scratch.put(components(links, scratch, "found"), "found")
 
     # Rows that agree on a block and are in different components still.
-    marked = groups.select("block", "id", "centre", "n").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    marked = groups.select("block", "id", "centre").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
     split = marked.groupBy("block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("block")
     open_rows = scratch.put(marked.join(split, "block", "left_semi").select("id", "centre", "comp").distinct(), "open")
     cluster = scratch.put(components(open_rows.select(F.col("id").alias("a"), F.col("centre").alias("b")), scratch, "cluster"), "clusters")
@@ -257,11 +266,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     more = scratch.put(_tiles(one.unionByName(two).join(sets, "id").select("tile", "side", "id", "comp", "row"), kind, num, den), "more")
     final = scratch.put(components(links.union(more), scratch, "final"), "components")
 
-    named = table.select("id", "n", "k1", "k2").join(classes.withColumnRenamed("id", "first"), ["k1", "k2"], "left")
+    named = table.select("id", "n", "k1", "k2").join(classes.select("k1", "k2", F.col("id").alias("first")), ["k1", "k2"], "left")
     result = named.join(final.withColumnRenamed("node", "first"), "first", "left")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("component", "first", "id"))
     result = scratch.put(result.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")), "result")
-    scratch.drop("rows", "classes", "groups", "stars", "sets", "links", "found", "open", "clusters", "placed", "tiles", "more", "components")
+    scratch.drop("rows", "classes", "members", "groups", "stars", "sets", "links", "found", "open", "clusters", "placed", "tiles", "more", "components")
     return result
 
 

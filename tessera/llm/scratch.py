@@ -11,6 +11,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 
@@ -50,9 +51,15 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
     def settle(self) -> None:
-        """Let Spark delete the shuffle files of finished phases now, not when the driver next collects garbage."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        """Let Spark delete the shuffle files of finished phases now, not when the driver next collects garbage.
+
+        The first collection releases what listeners still held, the second
+        the shuffles themselves; files go in the background.
+        """
+        for _ in range(2):
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+            time.sleep(0.5)
 
 
 def ship(spark: SparkSession) -> None:
