@@ -294,8 +294,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     named = named.select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     named = scratch.put(named, "named")
     rows = source.join(named, ["label", "v"], "left")
-    component = F.coalesce("component_id", "id")
-    result = rows.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), F.lit(float(recall)).alias("audit_recall"))
+    named_row = F.col("id").isNotNull()
+    component = F.when(named_row, F.coalesce("component_id", "id"))
+    links = F.when(named_row, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long")
+    result = rows.select(F.col("id").alias(id_col), links.alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), F.lit(float(recall)).alias("audit_recall"))
     result = scratch.put(result, "result")
     scratch.drop("classes", "nodes", "named", f"edges-{step}", f"clusters-{step}", f"tiles-{step}")
     return result
