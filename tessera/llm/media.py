@@ -22,7 +22,11 @@ from . import webp
 from .scratch import ship
 
 UNIT, WIDTH = 192, 64
-TILE_ROWS, BATCH_TILES = 64, 2048
+TILE_ROWS = 64
+#: Samples encoded or decoded together; the arrays in use take some fifty times as many bytes.
+BATCH_BYTES = 1 << 20
+#: A tile counts as at least so many samples: its codes take memory, too.
+LEAST_TILE = 2048
 LIMIT = 11
 #: Back-references: distances in pixels that are tried, and the least run.
 DISTANCES, LEAST_RUN, LONGEST_RUN = 24, 24, 4096
@@ -340,6 +344,25 @@ def _decode_plain(data, lengths, lone, position, size) -> list[bytes]:
     return [flat[3 * f : 3 * (f + k)] for f, k in zip(first.tolist(), size.tolist())]
 
 
+def _spans(sizes: list[int], limit: int):
+    """(first, end) of consecutive items of about ``limit`` together."""
+    first, held = 0, 0
+    for k, n in enumerate(sizes):
+        held += n
+        if held >= limit:
+            yield first, k + 1
+            first, held = k + 1, 0
+    if first < len(sizes):
+        yield first, len(sizes)
+
+
+def _alike(sizes: list[int]):
+    """Indices in batches of bounded size, items of like size together, so that none waits long for the longest."""
+    order = sorted(range(len(sizes)), key=sizes.__getitem__)
+    for i, j in _spans([max(LEAST_TILE, sizes[k]) for k in order], BATCH_BYTES):
+        yield order[i:j]
+
+
 def store(payloads: list[bytes]) -> list[bytes]:
     """A WebP file for each payload."""
     tiles, owner = [], []
@@ -349,10 +372,12 @@ def store(payloads: list[bytes]) -> list[bytes]:
             tiles.append(p[at : at + step])
             owner.append(k)
     frames: list[list] = [[] for _ in payloads]
-    for at in range(0, len(tiles), BATCH_TILES):
-        part = tiles[at : at + BATCH_TILES]
-        for k, tile, stream in zip(owner[at : at + BATCH_TILES], part, encode_tiles(part)):
-            frames[k].append((stream, WIDTH, len(tile) // UNIT))
+    made: list[bytes] = [b""] * len(tiles)
+    for some in _alike([len(t) for t in tiles]):
+        for k, stream in zip(some, encode_tiles([tiles[k] for k in some])):
+            made[k] = stream
+    for k, tile, stream in zip(owner, tiles, made):
+        frames[k].append((stream, WIDTH, len(tile) // UNIT))
     return [webp.container(f) for f in frames]
 
 
@@ -364,9 +389,14 @@ def load(files: list[bytes]) -> list[bytes]:
         streams += got
         owner += [k] * len(got)
     parts: list[list[bytes]] = [[] for _ in files]
-    for at in range(0, len(streams), BATCH_TILES):
-        for k, rgb in zip(owner[at : at + BATCH_TILES], decode_tiles(streams[at : at + BATCH_TILES])):
-            parts[k].append(rgb)
+    # A stream's header tells its size.
+    sizes = [3 * ((int.from_bytes(x[1:5], "little") & 0x3FFF) + 1) * ((int.from_bytes(x[1:5], "little") >> 14 & 0x3FFF) + 1) for x in streams]
+    got: list[bytes] = [b""] * len(streams)
+    for some in _alike(sizes):
+        for k, rgb in zip(some, decode_tiles([streams[k] for k in some])):
+            got[k] = rgb
+    for k, rgb in zip(owner, got):
+        parts[k].append(rgb)
     return [b"".join(p) for p in parts]
 
 
@@ -395,7 +425,7 @@ def media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, media binary")
 
 
-def _parts(batch, limit: int = 24 << 20):
+def _parts(batch, limit: int = 4 << 20):
     """(ids, texts) of a batch in parts of bounded size."""
     column = batch.column(1).cast(pa.large_binary())
     first, texts, held = 0, [], 0
@@ -408,19 +438,50 @@ def _parts(batch, limit: int = 24 << 20):
             first, texts, held = k + 1, [], 0
 
 
+_DIGESTS = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+
+
+def _digests(stored: list[bytes]) -> list[pa.Array]:
+    """What ``_DIGESTS`` names, from the samples that the stored files decode to."""
+    got = load(stored)
+    return [
+        pa.array([len(p) for p in got], pa.int64()),
+        pa.array([hashlib.sha256(p).hexdigest() for p in got], pa.string()),
+        pa.array([zlib.crc32(p[-16:]) for p in got], pa.int64()),
+        pa.array([len(m) for m in stored], pa.int64()),
+        pa.array([hashlib.sha256(m).hexdigest() for m in stored], pa.string()),
+        pa.array([feature(p) for p in got], pa.string()),
+    ]
+
+
+_NAMES = ["n_bytes", *[f.split()[0] for f in _DIGESTS.split(", ")]]
+
+
 def read_back(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, n_bytes, payload digests, media digests, feature) of stored files, from the decoded samples."""
+    """(id, n_bytes, payload and media digests, feature) of a table of files as ``media`` gives it."""
+    ship(files.sparkSession)
     kind = files.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            stored = batch.column(2).to_pylist()
-            for at in range(0, len(stored), 2 * BATCH_TILES):
-                part = stored[at : at + 2 * BATCH_TILES]
-                got = load(part)
-                rows = [batch.column(0).slice(at, len(part)), batch.column(1).slice(at, len(part))]
-                rows += [pa.array([len(p) for p in got], pa.int64()), pa.array([hashlib.sha256(p).hexdigest() for p in got]), pa.array([zlib.crc32(p[-16:]) for p in got], pa.int64())]
-                rows += [pa.array([len(m) for m in part], pa.int64()), pa.array([hashlib.sha256(m).hexdigest() for m in part]), pa.array([feature(p) for p in got])]
-                yield pa.RecordBatch.from_arrays(rows, names=[id_col, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
-
-    return files.mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+            column = batch.column(2)
+            for at, end in _spans([len(column[k].as_buffer()) for k in range(len(column))], 4 << 20):
+                digests = _digests(column.slice(at, end - at).to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, end - at), batch.column(1).slice(at, end - at), *digests], names=[id_col, *_NAMES])
+
+    return files.select(id_col, "n_bytes", "media").mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, {_DIGESTS}")
+
+
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``read_back(media(docs))`` in one pass, whose files need not leave the task."""
+    ship(docs.sparkSession)
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            for ids, texts in _parts(batch):
+                sizes = pa.array([len(t) for t in texts], pa.int64())
+                digests = _digests(store([payload(t) for t in texts]))
+                yield pa.RecordBatch.from_arrays([ids, sizes, *digests], names=[id_col, *_NAMES])
+
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, {_DIGESTS}")

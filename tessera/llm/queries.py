@@ -12,7 +12,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op4_lossless_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.read_back(media.media(_table(spark, sf_dir, "documents")))
+    return media.round_trip(_table(spark, sf_dir, "documents"))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

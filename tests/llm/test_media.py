@@ -92,11 +92,13 @@ def test_code_lengths_are_complete():
 
 
 def test_query_rows(edge, edge_rows, nothing):
-    got = {(r.doc_id, r.payload_sha256): r for r in media.read_back(media.media(edge)).collect()}
+    got_rows = media.read_back(media.media(edge)).collect()
+    got = {(r.doc_id, r.payload_sha256): r for r in got_rows}
     for i, t in edge_rows:
         data = (t or "").encode()
         p = media.payload(data)
         r = got[i, hashlib.sha256(p).hexdigest()]
         assert (r.n_bytes, r.payload_bytes, r.tail_crc32) == (len(data), len(p), zlib.crc32(p[-16:]))
     assert len({r.media_sha256 for r in got.values() if r.n_bytes == len(edge_rows[0][1])}) == 1
-    assert media.read_back(media.media(nothing)).count() == 0
+    assert sorted(map(repr, media.round_trip(edge).collect())) == sorted(map(repr, got_rows))
+    assert media.round_trip(nothing).count() == 0 and media.read_back(media.media(nothing)).count() == 0
