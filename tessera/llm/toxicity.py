@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vocab
-from .scratch import ship
+from .scratch import Scratch, ship
 
 #: The bound on labelled rows that teach, words selected for each category, and folds of the chain.
 SAMPLE = 20_000
@@ -147,7 +147,9 @@ def teach(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, catego
     known = labels.select(F.col(id_col).alias("__id"), *[c.cast("double").alias(n) for n, c in categories.items()]).dropna()
     drawn = known.orderBy(F.xxhash64("__id"), *names).limit(sample)
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(drawn), "__id")  # at most ``sample`` small rows
-    rows = rows.select("__id", "__text", *names)
+    # The sample is small and read several times, so the documents are scanned for it once.
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    rows = scratch.put(rows.select("__id", "__text", *names), "sample")
 
     def count(batches):
         table: dict[str, list] = {}
@@ -165,6 +167,7 @@ def teach(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, catego
 
     fields = ", ".join(f"y{c} long" for c in range(len(names)))
     counted = rows.mapInArrow(count, f"word string, n long, {fields}").groupBy("word").agg(F.sum("n").alias("n"), *[F.sum(f"y{c}").alias(f"y{c}") for c in range(len(names))]).filter("n >= 3")
+    counted = scratch.put(counted, "words")
     totals = rows.agg(F.count(F.lit(1)), *[F.coalesce(F.sum(n), F.lit(0.0)) for n in names]).first()
     if not totals[0]:
         return {}, []
@@ -189,6 +192,7 @@ def teach(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, catego
 
     kinds = ", ".join(f"`{n}` double" for n in names)
     measured = rows.mapInArrow(measure, f"fold int, words array<int>, shape array<double>, {kinds}").collect()  # the bounded sample, a few numbers each
+    scratch.drop("sample", "words")
     measured.sort(key=lambda r: (r["fold"], r["words"], r["shape"], [r[n] for n in names]))
     x = np.zeros((len(measured), len(selected) + SHAPES))
     for k, r in enumerate(measured):
