@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .scratch import Scratch, ship
 from .shingles import WordHashes, mix, word_hashes
 
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 2_500_000
 FOLDS, TEST_FOLD, TUNE_FOLD = 10, 0, 1
 BUCKETS = 40
 #: Steps of the logarithmic rounding of estimates in the EM histogram, a doubling.
@@ -303,7 +303,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kinds_retained, kinds_train = given.filter("kind = 0").agg(F.coalesce(F.sum("kinds_retained"), F.lit(0)), F.coalesce(F.sum("kinds_train"), F.lit(0))).first()
     answers = given.groupBy("block").agg(F.collect_list(F.struct("kind", "range", "retained", "train")).alias("given"))
     opened = table.drop("tokens", "train", "tune").join(answers, "block")
-    n_retained, docs_retained = n_train - n_tune, None
+    n_retained = n_train - n_tune
     starts = table.select(F.explode(F.expr("transform(sequence(1, length(folds)), i -> hex(substring(folds, i, 1)))")).alias("f")).groupBy("f").count().collect()
     per_fold = {int(r[0], 16): r[1] for r in starts}  # at most FOLDS rows
     docs_train = sum(n for f, n in per_fold.items() if f != TEST_FOLD)

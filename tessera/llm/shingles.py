@@ -5,7 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-from .vocab import MEMO_ENTRIES
+#: Words whose hashes a worker remembers; a miss costs little.
+MEMO_ENTRIES = 250_000
 
 _MIX_A, _MIX_B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _SHIFT = np.uint64(33)

@@ -30,6 +30,10 @@ from . import vocab
 from .scratch import ship
 
 
+#: Entries of the codec's memo: each holds ids and text.
+MEMO_ENTRIES = 350_000
+
+
 def sufficient_lookahead(merges: Iterable[tuple[int, int, int]]) -> int:
     """Symbols after a token's end that decide whether it is final; 1 at least."""
     length: dict[int, int] = {}
@@ -198,7 +202,7 @@ class _Codec:
         def join(parts: list[tuple[int, bytes, bytes]]) -> tuple[int, bytes, bytes]:
             return sum(p[0] for p in parts), b" ".join([p[1] for p in parts]), decoder.joiner.join([p[2] for p in parts])
 
-        self.memo = vocab.ChunkMemo(words, part, join)
+        self.memo = vocab.ChunkMemo(words, part, join, MEMO_ENTRIES)
 
     def digest(self, text: bytes | None) -> tuple[int, str, str]:
         """(tokens, sha256 of the ids, sha256 of the decoded text), in slices of the text."""

@@ -137,9 +137,9 @@ class ChunkMemo(dict):
     is full, so frequent chunks stay and memory is bounded.
     """
 
-    def __init__(self, words: WordVocabulary, encode, join):
+    def __init__(self, words: WordVocabulary, encode, join, entries: int = MEMO_ENTRIES):
         super().__init__()
-        self.words, self.encode, self.join = words, encode, join
+        self.words, self.encode, self.join, self.entries = words, encode, join, entries
         self.old: dict = {}
         self.known: dict = {}
         self.old_known: dict = {}
@@ -149,7 +149,7 @@ class ChunkMemo(dict):
         if got is None:
             got = self.encode(pre_token)
         if isinstance(pre_token, int) or len(pre_token) <= 64:
-            if len(self.known) >= MEMO_ENTRIES // 2:
+            if len(self.known) >= self.entries // 2:
                 self.old_known, self.known = self.known, {}
             self.known[pre_token] = got
         return got
@@ -164,7 +164,7 @@ class ChunkMemo(dict):
                 parts.append(self._part(p) if got is None else got)
             entry = parts[0] if len(parts) == 1 else self.join(parts)
         if len(chunk) <= 64:
-            if len(self) >= MEMO_ENTRIES:
+            if len(self) >= self.entries:
                 self.old = dict(self)
                 self.clear()
             self[chunk] = entry
