@@ -20,17 +20,18 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     edges = scratch.put(edges, f"{name}-0")
     step, last = 0, None
     while True:
+        # The minima are tables of their own: Spark can split a join's hot key only where both sides are plain exchanges.
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = scratch.put(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{name}-large-{step}")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         step += 1
         large = scratch.put(large, f"{name}-{step}")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = scratch.put(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}-small-{step}")
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
         step += 1
         small = scratch.put(small, f"{name}-{step}")
-        scratch.drop(f"{name}-{step - 1}", f"{name}-{step - 2}")
+        scratch.drop(f"{name}-{step - 1}", f"{name}-{step - 2}", f"{name}-large-{step - 2}", f"{name}-small-{step - 1}")
         # Stars are a fixed point: every node has one, smaller neighbour that is itself a centre.
         state = small.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == last:

@@ -66,9 +66,14 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, noise: int, guarante
     return lines.select("doc", "pos", "h", "w", "pair", F.col("least.gram").alias("fp_gram"), (-F.col("least.neg")).alias("fp_pos"))
 
 
-def _repeats(rows: DataFrame, key: str) -> DataFrame:
-    """(doc, pos) of the rows whose key has an earlier position."""
+def _repeats(rows: DataFrame, key: str, scratch: Scratch) -> DataFrame:
+    """(doc, pos) of the rows whose key has an earlier position.
+
+    First positions are a table of their own, so that Spark can split a hot
+    key's rows in the join.
+    """
     first = rows.groupBy(key).agg(F.min(F.struct("doc", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    first = scratch.put(first, f"first-{key}")
     return rows.join(first, key).filter(F.struct("doc", "pos") > F.col("first")).select("doc", "pos")
 
 
@@ -78,8 +83,8 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     scratch = Scratch(spark, "line-dedup")
     lines = scratch.put(line_table(docs, id_col, text_col, noise, guarantee), "lines")
     prints = lines.filter("fp_gram is not null").select("doc", F.col("fp_pos").alias("pos"), "fp_gram").distinct()
-    seeds = _repeats(prints, "fp_gram").withColumn("seed", F.lit(1))
-    links = _repeats(lines.filter("pair is not null").select("doc", "pos", "pair"), "pair").withColumn("link", F.lit(1))
+    seeds = _repeats(prints, "fp_gram", scratch).withColumn("seed", F.lit(1))
+    links = _repeats(lines.filter("pair is not null").select("doc", "pos", "pair"), "pair", scratch).withColumn("link", F.lit(1))
     marks = seeds.unionByName(links, allowMissingColumns=True).groupBy("doc", "pos").agg(F.max("seed").alias("seed"), F.max("link").alias("link"))
     # Marks meet their lines by a grouped union, and one exchange by document serves the grouping, the runs and their sums.
     rows = lines.select("doc", "pos", "w", F.lit(None).cast("int").alias("seed"), F.lit(None).cast("int").alias("link"))
@@ -90,7 +95,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     runs = rows.groupBy("doc", "run").agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.sum("w").alias("words"), F.max("seed").alias("seed"))
     runs = runs.filter((F.col("seed") == 1) & (F.col("words") >= guarantee)).select("doc", "first", "last", "words")
     runs = scratch.put(runs, "runs")
-    scratch.drop("lines")
+    scratch.drop("lines", "first-fp_gram", "first-pair")
     return runs
 
 

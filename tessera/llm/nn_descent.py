@@ -108,7 +108,7 @@ def _best(edges: DataFrame, lists: int) -> DataFrame:
     return edges.withColumn("rank", rank).filter(F.col("rank") <= lists).drop("rank")
 
 
-def _trees(nodes: DataFrame, kind: str, arrow_kind: pa.DataType, first: int, count: int, lists: int) -> DataFrame:
+def _trees(nodes: DataFrame, kind: str, arrow_kind: pa.DataType, first: int, count: int, lists: int, scratch: Scratch) -> DataFrame:
     """Near pairs within the leaves of ``count`` random-projection trees."""
 
     def codes(batches):
@@ -133,15 +133,16 @@ def _trees(nodes: DataFrame, kind: str, arrow_kind: pa.DataType, first: int, cou
     label = nodes.schema["label"].dataType.simpleString()
     placed = nodes.select("id", "label", "dim", "depth", "x").mapInArrow(codes, f"tree int, label {label}, dim int, code long, id {kind}, x binary")
     leaf = ["tree", "label", "dim", "code"]
-    sizes = placed.groupBy(leaf).agg(F.count(F.lit(1)).alias("n"))
+    placed = scratch.put(placed, f"leaves-{first}")
+    sizes = scratch.put(placed.groupBy(leaf).agg(F.count(F.lit(1)).alias("n")), f"leaf-sizes-{first}")
     share = F.pmod(F.xxhash64("id", "tree"), F.ceil(F.col("n") / CHUNK).cast("long"))
     grouped = placed.join(sizes, leaf).select(F.struct(*leaf, share.alias("share")).alias("group"), "id", "x")
     return _local_join(grouped, kind, arrow_kind, lists)
 
 
-def _rows_of_tiles(found: DataFrame, nodes: DataFrame, kind: str, arrow_kind: pa.DataType, threshold: float) -> DataFrame:
+def _rows_of_tiles(found: DataFrame, nodes: DataFrame, kind: str, arrow_kind: pa.DataType, threshold: float, scratch: Scratch, step: int) -> DataFrame:
     """(id, links, root): by tile, the weight of each node's links, and its component's least node there."""
-    size = found.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    size = scratch.put(found.groupBy("component").agg(F.count(F.lit(1)).alias("n")), f"component-sizes-{step}")
     part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / TILE).cast("long"))
     placed = found.join(size, "component").select("component", F.col("node").alias("id"), part.alias("part"))
     parts = placed.select("component", "part").distinct()
@@ -264,9 +265,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     edges, step, used, recall = None, 0, 0, 1.0
     for _ in range(MOST_SEARCHES):
-        found = _trees(nodes, kind, arrow_kind, used, trees, LIST)
+        found = _trees(nodes, kind, arrow_kind, used, trees, LIST, scratch)
         used += trees
         edges = scratch.put(_best(found if edges is None else edges.union(found), LIST), f"edges-{step}")
+        scratch.drop(f"leaves-{used - trees}", f"leaf-sizes-{used - trees}")
         count = edges.filter(near).count()
         for _ in range(MOST_ROUNDS):
             both = edges.select(F.col("u").alias("group"), F.col("v").alias("id")).union(edges.select(F.col("v").alias("group"), F.col("u").alias("id")))
@@ -282,7 +284,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                 break
         links = edges.filter(near).select(F.col("u").alias("a"), F.col("v").alias("b"))
         clusters = scratch.put(components(links, scratch, f"c{step}"), f"clusters-{step}")
-        tiles = scratch.put(_rows_of_tiles(clusters, nodes, kind, arrow_kind, threshold), f"tiles-{step}")
+        tiles = scratch.put(_rows_of_tiles(clusters, nodes, kind, arrow_kind, threshold, scratch, step), f"tiles-{step}")
         asked = tiles.join(F.broadcast(spark.createDataFrame([(i,) for i in truth] or [(None,)], f"id {kind}")), "id").groupBy("id").agg(F.sum("links")).collect()
         total = sum(truth.values())
         recall = sum(r[1] for r in asked) / total if total else 1.0
