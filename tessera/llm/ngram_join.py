@@ -9,20 +9,24 @@ decide which parts of the product are computed at all:
 1. Sizes fall into bands, and a band's columns (hash ranges) into more blocks
    than a linked pair of that band can differ in, so a linked pair agrees on
    at least one whole column block. Rows that agree on no block of a common
-   band are discarded with no product. A common line or passage makes nobody
-   a candidate, because it never fills a block by itself.
+   band are discarded with no product. The most frequent columns (common
+   lines and passages) stay out of the blocks, so that they make nobody a
+   candidate: rows still differ in no more of the other columns than before.
 2. Equal rows are one class from the start. Within the rows that agree on a
    block, each is multiplied with the least one (a star, not all pairs); the
    overlaps are accumulated over column blocks, and a pair is dropped as soon
-   as what is left cannot reach its bound.
+   as what is left cannot reach its bound; before any product, if the counts
+   of both rows' columns in 256 ranges are too far apart for it.
 3. Links join classes into components. Where rows that agree on a block are
    still in different components, the products between those components are
    computed too, as tiles of at most ``TILE`` by ``TILE`` rows. So every link
    between different texts is either computed or lies inside a component that
    other links already made.
 
-Should blocks be empty, agreement on them says nothing; a row lists its empty
-blocks only if it has so many that the guarantee of step 1 needs them.
+Agreement on an empty block says nothing. A row that has too few blocks with
+columns for the guarantee of step 1, for want of infrequent columns, adds a
+second set of blocks over all of its columns, and if need be its empty ones;
+a pair of such rows meets there, any other pair meets in the first set.
 
 Defined results: null, empty or blank text has an empty set and its own id as
 component; rows that share a doc id are one document (links of any of them
@@ -45,6 +49,11 @@ NUM, DEN = 90, 100
 TILE = 128
 #: Columns multiplied at a time.
 COLUMNS = 4096
+#: Columns in at least so many rows are frequent; at most so many of them, the most frequent, are set apart (a bound
+#: on what is sent to every task; which columns these are never changes the result).
+FREQUENT, MOST_FREQUENT = 50, 200_000
+#: Frequent columns are counted in stretches of so many entries, from so many occurrences in a stretch.
+STRETCH, LEAST_LOCAL = 4_000_000, 4
 
 _memo = WordHashes()
 
@@ -58,7 +67,7 @@ class Bands:
         while self.edges[-1] < 1 << 40:
             self.edges.append(max(self.edges[-1] + 1, int(self.edges[-1] * ratio)))
         self.least = [-(-e * num // den) for e in self.edges]  # the least partner of a band's smallest member
-        self.cuts: dict[int, np.ndarray] = {}
+        self.cuts: dict[tuple[int, int], np.ndarray] = {}
 
     def differ(self, band: int) -> int:
         """The most columns in which a linked pair differs whose larger row is in the band."""
@@ -74,41 +83,81 @@ class Bands:
             band += 1
         return out
 
-    def blocks(self, band: int) -> tuple[int, np.ndarray]:
-        """(number of blocks, their inner boundaries among the hashes)."""
+    def blocks(self, band: int, spare: int) -> tuple[int, np.ndarray]:
+        """(number of blocks, their inner boundaries among the hashes); one in ``spare`` may be empty."""
         k = self.differ(band)
-        m = k + 2 + k // 16
-        if band not in self.cuts:
-            self.cuts[band] = np.array([(i << 64) // m for i in range(1, m)], np.uint64)
-        return m, self.cuts[band]
+        m = k + 2 + k // spare
+        if (band, spare) not in self.cuts:
+            self.cuts[band, spare] = np.array([(i << 64) // m for i in range(1, m)], np.uint64)
+        return m, self.cuts[band, spare]
 
-    def signatures(self, row: np.ndarray) -> np.ndarray:
-        """One value for each column block of each band of a sorted row."""
-        out = []
+    def signatures(self, row: np.ndarray, frequent: np.ndarray | None = None) -> np.ndarray:
+        """Values of the column blocks of a sorted row in each of its bands."""
         n = len(row)
         if not n:
             return np.zeros(0, np.int64)
+        rare = row
+        if frequent is not None and len(frequent):
+            at = np.minimum(np.searchsorted(frequent, row), len(frequent) - 1)
+            rare = row[frequent[at] != row]
+        out = []
+        for band in self.of(n):
+            least = self.differ(band)  # more filled blocks than this are a guarantee
+            value, full = self._values(rare, band, 0)
+            out.append(value[full])
+            if int(full.sum()) <= least:
+                value, full = self._values(row, band, 1)
+                out.append(value[full] if int(full.sum()) > least else value)
+        return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+
+    def _values(self, row: np.ndarray, band: int, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """(value, whether it has columns) of each block of the band."""
+        m, cuts = self.blocks(band, 16 if kind else 4)
         with np.errstate(over="ignore"):
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(row), dtype=np.uint64)])
-            for band in self.of(n):
-                m, cuts = self.blocks(band)
-                at = np.concatenate([[0], np.searchsorted(row, cuts), [n]])
-                value = mix((sums[at[1:]] - sums[at[:-1]]) ^ mix(np.uint64(band << 40) + np.arange(m, dtype=np.uint64)))
-                full = at[1:] > at[:-1]
-                if m - int(full.sum()) < m - self.differ(band):
-                    value = value[full]
-                out.append(value)
-        return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+            at = np.concatenate([[0], np.searchsorted(row, cuts), [len(row)]])
+            name = np.uint64((2 * band + kind) << 40) + np.arange(m, dtype=np.uint64)
+            return mix((sums[at[1:]] - sums[at[:-1]]) ^ mix(name)), at[1:] > at[:-1]
+
+
+def frequent_columns(docs: DataFrame, text_col: str, shingle: int) -> np.ndarray:
+    """Sorted hashes of the most frequent columns, from counts over all rows."""
+
+    def run(batches):
+        def counted(rows):
+            every = np.sort(np.concatenate(rows))
+            first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+            n = np.diff(np.append(first, len(every)))
+            keep = n >= LEAST_LOCAL
+            return pa.RecordBatch.from_arrays([pa.array(every[first[keep]].view(np.int64)), pa.array(n[keep].astype(np.int64))], names=["column", "n"])
+
+        rows, held = [], 0
+        for batch in batches:
+            texts = batch.column(0).cast(pa.large_binary())
+            for k in range(batch.num_rows):
+                row = shingle_set(word_hashes(texts[k].as_py() or b"", _memo), shingle)
+                rows.append(row)
+                held += len(row)
+                if held >= STRETCH:
+                    yield counted(rows)
+                    rows, held = [], 0
+        if held:
+            yield counted(rows)
+
+    counts = docs.select(text_col).mapInArrow(run, "column long, n long").groupBy("column").agg(F.sum("n").alias("n"))
+    best = counts.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "column").limit(MOST_FREQUENT).select("column").collect()
+    return np.sort(np.array([r[0] for r in best], np.int64).view(np.uint64))
 
 
-def rows_of(docs: DataFrame, id_col: str, text_col: str, shingle: int, num: int, den: int) -> DataFrame:
-    """(id, n, k1, k2, blocks): size, set hash and block values of every row."""
+def rows_of(docs: DataFrame, id_col: str, text_col: str, shingle: int, num: int, den: int, frequent: np.ndarray) -> DataFrame:
+    """(id, n, k1, k2, sketch, blocks): size, set hash, sketch and block values of every row."""
     source = docs.select(F.col(id_col).alias("id"), text_col)
+    sent = docs.sparkSession.sparkContext.broadcast(frequent)  # at most MOST_FREQUENT numbers
 
     def run(batches):
         bands, spin = Bands(num, den), np.uint64(0xD6E8FEB86659FD93)
         for batch in batches:
-            n, k1, k2, blocks = [], [], [], []
+            n, k1, k2, sketches, blocks = [], [], [], [], []
             texts = batch.column(1).cast(pa.large_binary())
             for k in range(batch.num_rows):
                 row = shingle_set(word_hashes(texts[k].as_py() or b"", _memo), shingle)
@@ -116,11 +165,30 @@ def rows_of(docs: DataFrame, id_col: str, text_col: str, shingle: int, num: int,
                 with np.errstate(over="ignore"):
                     k1.append(int(np.sum(mix(row)).view(np.int64)) if len(row) else 0)
                     k2.append(int(np.sum(mix(row * spin)).view(np.int64)) if len(row) else 0)
-                blocks.append(bands.signatures(row))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(blocks, pa.list_(pa.int64()))], names=["id", "n", "k1", "k2", "blocks"])
+                sketches.append(sketch(row))
+                blocks.append(bands.signatures(row, sent.value))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(sketches, pa.binary()), pa.array(blocks, pa.list_(pa.int64()))], names=["id", "n", "k1", "k2", "sketch", "blocks"])
 
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, blocks array<long>")
+    return source.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, sketch binary, blocks array<long>")
+
+
+def sketch(row: np.ndarray) -> bytes:
+    """The row's size, and how many of its columns fall into each of 256 ranges (255 at most)."""
+    return np.int64(len(row)).tobytes() + np.minimum(np.bincount((row >> np.uint64(56)).astype(np.int64), minlength=256), 255).astype(np.uint8).tobytes()
+
+
+def may_link(left: list[bytes], right: list[bytes], num: int, den: int) -> np.ndarray:
+    """Boolean matrix of pairs that their sketches allow to link.
+
+    Rows that differ in d columns have sketches that differ by d at most in
+    all, and linked rows differ in (a + b) * (den - num) / (den + num) at most.
+    """
+    a, b = (np.array([int.from_bytes(x[:8], "little") for x in side], np.int64) for side in (left, right))
+    p, q = (np.stack([np.frombuffer(x, np.uint8, 256, 8) for x in side]).astype(np.int16) for side in (left, right))
+    total = a[:, None] + b[None, :]
+    far = np.stack([np.abs(row[None, :] - q).sum(1) for row in p]) if len(p) else np.zeros((0, len(q)), np.int64)
+    return (far * (den + num) <= total * (den - num)) & (np.minimum(a[:, None], b[None, :]) * den >= np.maximum(a[:, None], b[None, :]) * num)
 
 
 def sets_of(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, shingle: int) -> DataFrame:
@@ -173,8 +241,8 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray], num: int, den: int
     return alive & (count >= need)
 
 
-def _tiles(rows: DataFrame, kind: str, num: int, den: int) -> DataFrame:
-    """(tile, side, id, comp, row), one tile's rows together -> linked (a, b) across sides.
+def _tiles(rows: DataFrame, kind: str, num: int, den: int, sketches: bool = False) -> DataFrame:
+    """(tile, side, id, comp, row), one tile's rows together -> linked (a, b) across sides, or with sketches for rows those that may link.
 
     A null comp, or different comps, may link; equal ones already are. Side -1
     stands on both sides.
@@ -184,8 +252,10 @@ def _tiles(rows: DataFrame, kind: str, num: int, den: int) -> DataFrame:
         def linked(members):
             left = [m for m in members if m[0] <= 0]
             right = [m for m in members if m[0] != 0]
-            hits = overlaps([m[3] for m in left], [m[3] for m in right], num, den)
-            return [(left[i][1], right[j][1]) for i, j in zip(*np.nonzero(hits)) if left[i][1] != right[j][1]]
+            if not left or not right:
+                return []
+            hits = (may_link if sketches else overlaps)([m[3] for m in left], [m[3] for m in right], num, den)
+            return [(left[i][1], right[j][1]) for i, j in zip(*np.nonzero(hits)) if left[i][1] != right[j][1] and (left[i][2] is None or left[i][2] != right[j][2])]
 
         tile, members = None, []
         for batch in batches:
@@ -195,7 +265,7 @@ def _tiles(rows: DataFrame, kind: str, num: int, den: int) -> DataFrame:
                     out += linked(members)
                     members = []
                 tile = t
-                members.append((side, i, comp, np.frombuffer(row, np.uint64)))
+                members.append((side, i, comp, row if sketches else np.frombuffer(row, np.uint64)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], batch.schema.field(2).type), pa.array([x[1] for x in out], batch.schema.field(2).type)], names=["a", "b"])
             last = batch.schema.field(2).type
@@ -212,42 +282,73 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ship(spark)
     scratch = Scratch(spark, "ngram-join")
     kind = docs.schema[id_col].dataType.simpleString()
-    table = scratch.put(rows_of(docs, id_col, text_col, shingle, num, den), "rows")
+    frequent = frequent_columns(docs, text_col, shingle)
+    table = scratch.put(rows_of(docs, id_col, text_col, shingle, num, den, frequent), "rows")
     some = table.filter("n > 0 and id is not null")
     classes = scratch.put(some.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.min("n").alias("n")), "classes")
 
     # Blocks in which different rows agree. Fixed-width minima only, so the count is a hash aggregate of small
-    # rows; the join back can be split where a block is hot, and equal rows alone never pass.
+    # rows, and equal rows alone never pass. Each group's figures are a table of its own before they are joined
+    # back: then Spark can split the rows of a hot block or centre over tasks.
     spread = some.select("id", "k1", F.explode("blocks").alias("block"))
     met = spread.groupBy("block").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo < hi").select("block")
+    met = scratch.put(met, "met")
+    scratch.settle()
     members = spread.select("block", "id").join(met, "block")
     members = scratch.put(members.join(classes.select("id"), "id", "left_semi"), "members")
     del spread, met
     scratch.settle()
-    centres = members.groupBy("block").agg(F.min("id").alias("centre"))
+    centres = scratch.put(members.groupBy("block").agg(F.min("id").alias("centre")), "centres")
     groups = scratch.put(members.join(centres, "block").select("block", "id", "centre"), "groups")
     size = classes.groupBy("id").agg(F.min("n").alias("n"))
     stars = groups.filter("id <> centre").select("id", "centre").distinct().join(size, "id")
     stars = stars.join(size.select(F.col("id").alias("centre"), F.col("n").alias("centre_n")), "centre")
     fits = F.least("n", "centre_n") * den >= F.greatest("n", "centre_n") * num
     stars = scratch.put(stars.filter(fits).select("id", "centre"), "stars")
-    wanted = groups.select("id").distinct()
-    sets = scratch.put(sets_of(docs, id_col, text_col, wanted, shingle).dropDuplicates(["id"]), "sets")
+    sketched = scratch.put(table.select("id", "sketch").join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "sketches")
+
+    def allowed(batches):
+        for batch in batches:
+            one, two = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            yield batch.select([0, 1]).filter(pa.array([bool(may_link([x], [y], num, den)[0, 0]) for x, y in zip(one, two)], pa.bool_()))
+
+    both = stars.join(sketched, "id").join(sketched.select(F.col("id").alias("centre"), F.col("sketch").alias("centre_sketch")), "centre")
+    hopeful = scratch.put(both.select("id", "centre", "sketch", "centre_sketch").mapInArrow(allowed, f"id {kind}, centre {kind}"), "hopeful")
     scratch.settle()
 
-    salt = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / TILE).cast("long"))
-    sized = stars.join(stars.groupBy("centre").agg(F.count(F.lit(1)).alias("size")), "centre").select("centre", "id", F.struct("centre", salt.alias("salt")).alias("tile"))
-    members = sized.join(sets, "id").select(F.col("tile"), F.lit(1).alias("side"), "id", F.lit(None).cast(kind).alias("comp"), "row")
-    heads = sized.select("tile", F.col("centre").alias("id")).distinct().join(sets, "id").select("tile", F.lit(0).alias("side"), "id", F.lit(None).cast(kind).alias("comp"), "row")
-    links = scratch.put(_tiles(members.unionByName(heads), kind, num, den), "links")
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        """The linked pairs among (id, centre), by products of each centre with its others, at most TILE at a time."""
+        ids = pairs.select("id").union(pairs.select(F.col("centre").alias("id"))).distinct()
+        sets = scratch.put(sets_of(docs, id_col, text_col, ids, shingle).dropDuplicates(["id"]), f"sets-{name}")
+        sizes = scratch.put(pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("size")), f"sizes-{name}")
+        scratch.settle()
+        salt = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / TILE).cast("long"))
+        sized = pairs.join(sizes, "centre").select("centre", "id", F.struct("centre", salt.alias("salt")).alias("tile"))
+        others = sized.join(sets, "id").select("tile", F.lit(1).alias("side"), "id", F.lit(None).cast(kind).alias("comp"), "row")
+        heads = sized.select("tile", F.col("centre").alias("id")).distinct().join(sets, "id").select("tile", F.lit(0).alias("side"), "id", F.lit(None).cast(kind).alias("comp"), "row")
+        out = scratch.put(_tiles(others.unionByName(heads), kind, num, den), f"links-{name}")
+        scratch.drop(f"sets-{name}", f"sizes-{name}")
+        scratch.settle()
+        return out
+
+    links = verified(hopeful, "stars")
     found = scratch.put(components(links, scratch, "found"), "found")
 
     # Rows that agree on a block and are in different components still.
     marked = groups.select("block", "id", "centre").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-    split = marked.groupBy("block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("block")
-    open_rows = scratch.put(marked.join(split, "block", "left_semi").select("id", "centre", "comp").distinct(), "open")
-    cluster = scratch.put(components(open_rows.select(F.col("id").alias("a"), F.col("centre").alias("b")), scratch, "cluster"), "clusters")
-    open_ids = open_rows.select("id", "comp").distinct().join(cluster.withColumnRenamed("node", "id").withColumnRenamed("component", "cluster"), "id")
+    marked = scratch.put(marked, "marked")
+    split = scratch.put(marked.groupBy("block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("block"), "split")
+    open_rows = scratch.put(marked.join(split, "block", "left_semi"), "open")
+    counts = scratch.put(open_rows.groupBy("block").agg(F.count(F.lit(1)).alias("n")), "open-sizes")
+    open_rows = open_rows.join(counts, "block")
+    # Small groups: each distinct list of members is one tile, however many blocks it agrees on.
+    lists = open_rows.filter(F.col("n") <= TILE).groupBy("block").agg(F.sort_array(F.collect_set(F.struct("id", "comp"))).alias("members"))
+    lists = lists.select("members").distinct().select(F.struct(F.xxhash64("members").alias("cluster"), F.lit(0).cast("long").alias("part"), F.lit(0).cast("long").alias("part2")).alias("tile"), F.explode("members").alias("m"))
+    small = lists.select("tile", F.lit(-1).alias("side"), "m.id", "m.comp")
+    # Large ones: their rows in clusters that agree on some block, in tiles across components.
+    large = open_rows.filter(F.col("n") > TILE).select("id", "centre", "comp").distinct()
+    cluster = scratch.put(components(large.select(F.col("id").alias("a"), F.col("centre").alias("b")), scratch, "cluster"), "clusters")
+    open_ids = large.select("id", "comp").distinct().join(cluster.withColumnRenamed("node", "id").withColumnRenamed("component", "cluster"), "id")
     sizes = open_ids.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("n"))
     pure = sizes.withColumn("whole", F.when(F.col("n") >= TILE, F.col("comp")))
     mixed = pure.filter("whole is null").groupBy("cluster").agg(F.sum("n").alias("loose"))
@@ -259,18 +360,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     blocks = placed.select("cluster", "whole", "part").distinct()
     other = blocks.select("cluster", F.col("whole").alias("whole2"), F.col("part").alias("part2"))
     pairs = blocks.join(other, "cluster").filter("part <= part2 and (whole is null or whole2 is null or whole <> whole2)")
-    tile = F.struct("cluster", "part", "part2").alias("tile")
+    tile = F.struct(F.xxhash64("cluster").alias("cluster"), "part", "part2").alias("tile")
     pairs = scratch.put(pairs.select("cluster", "part", "part2"), "tiles")
     one = placed.join(pairs, ["cluster", "part"]).select(tile, F.when(F.col("part") == F.col("part2"), -1).otherwise(0).alias("side"), "id", "comp")
     two = placed.withColumnRenamed("part", "part2").join(pairs.filter("part < part2"), ["cluster", "part2"]).select(tile, F.lit(1).alias("side"), "id", "comp")
-    more = scratch.put(_tiles(one.unionByName(two).join(sets, "id").select("tile", "side", "id", "comp", "row"), kind, num, den), "more")
+    tiled = small.unionByName(one).unionByName(two).join(sketched, "id").select("tile", "side", "id", "comp", F.col("sketch").alias("row"))
+    hopeful = scratch.put(_tiles(tiled, kind, num, den, sketches=True).select(F.greatest("a", "b").alias("id"), F.least("a", "b").alias("centre")).distinct(), "more")
+    more = verified(hopeful, "more")
     final = scratch.put(components(links.union(more), scratch, "final"), "components")
 
     named = table.select("id", "n", "k1", "k2").join(classes.select("k1", "k2", F.col("id").alias("first")), ["k1", "k2"], "left")
     result = named.join(final.withColumnRenamed("node", "first"), "first", "left")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("component", "first", "id"))
     result = scratch.put(result.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")), "result")
-    scratch.drop("rows", "classes", "members", "groups", "stars", "sets", "links", "found", "open", "clusters", "placed", "tiles", "more", "components")
+    scratch.drop("rows", "classes", "met", "members", "centres", "groups", "stars", "sketches", "hopeful", "links-stars", "found", "marked", "split", "open", "open-sizes", "clusters", "placed", "tiles", "more", "links-more", "components")
     return result
 
 

@@ -153,6 +153,11 @@ def test_bands_guarantee():
             inter = len(np.intersect1d(row, other))
             if den * inter >= num * (len(row) + len(other) - inter) and len(row) != inter:
                 assert set(bands.signatures(row).tolist()) & set(bands.signatures(other).tolist())
+                assert ngram_join.may_link([ngram_join.sketch(row)], [ngram_join.sketch(other)], num, den)[0, 0]
+                for share in (0.2, 0.8, 1.0):  # whichever columns count as frequent
+                    every = np.union1d(row, other)
+                    frequent = np.sort(rng.permutation(every)[: int(share * len(every))])
+                    assert set(bands.signatures(row, frequent).tolist()) & set(bands.signatures(other, frequent).tolist())
 
 
 def test_components(spark):
