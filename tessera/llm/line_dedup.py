@@ -7,8 +7,10 @@ words, as in winnowing's noise and guarantee thresholds:
 * of the grams that start within any ``guarantee - noise + 1`` words, the one
   with the least hash (rightmost at ties) is a *fingerprint*.
 
-Whatever run of lines of at least ``guarantee`` words two places share, both
-select a common fingerprint inside it. Each fingerprint's position is joined
+Whatever run of whole lines of at least ``guarantee`` words two places share,
+both select a common fingerprint inside it. A passage that starts or ends
+inside a line is out of reach there, and one inside a single line altogether.
+Each fingerprint's position is joined
 with its first position in the corpus (order: doc id, line), and a match is
 extended both ways over neighbouring lines whose adjacent pair also has an
 earlier position. A run so found that has at least ``guarantee`` words is
