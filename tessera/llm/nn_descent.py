@@ -8,13 +8,16 @@ round finds hardly any new edge over the threshold. A node whose whole list
 lies over the threshold is saturated: its list is enlarged to all of its
 component, in tiles of at most ``TILE`` by ``TILE`` vectors. Those tiles also
 recompute every edge in double precision, so no pair below the threshold
-stays. An audit holds a bounded sample of nodes against all vectors of their
-label by brute force, and the search goes on with new trees while its recall
-is under ``RECALL``.
+stays. An audit holds about ``AUDIT`` nodes of each label against all vectors
+of their label by brute force. The search goes on with new trees while the mean
+recall of any label's audited nodes that have links is under ``RECALL``; a
+label that stays under it, or has fewer than ``JUDGES`` such nodes to judge by,
+is compared whole, all vectors with all, in tiles of ``WHOLE`` by ``WHOLE``.
 
 Every list in the search is bounded, and longer groups are worked off in
-chunks of ``CHUNK`` vectors, so a crowded leaf or a popular neighbour neither
-fills a task nor loses rows.
+chunks of ``CHUNK`` vectors, so a crowded leaf or a popular neighbour fills no
+task. The search doesn't compare across chunks; the audit finds labels in
+which that loses links.
 
 Defined results: a null label or id, a null or zero vector, or one with null
 or non-finite components links with nothing and is its own component; vectors
@@ -37,7 +40,8 @@ from .scratch import Scratch, ship
 THRESHOLD = 0.93
 LIST, LEAF, CHUNK, TILE = 8, 48, 96, 256
 MOST_ROUNDS, MOST_SEARCHES = 4, 4
-RECALL, AUDIT = 0.98, 256
+RECALL, AUDIT, JUDGES = 0.98, 256, 32
+WHOLE = 1024
 
 
 def trees_needed(depth: int, threshold: float, miss: float = 0.02) -> int:
@@ -140,10 +144,10 @@ def _trees(nodes: DataFrame, kind: str, arrow_kind: pa.DataType, first: int, cou
     return _local_join(grouped, kind, arrow_kind, lists)
 
 
-def _rows_of_tiles(found: DataFrame, nodes: DataFrame, kind: str, arrow_kind: pa.DataType, threshold: float, scratch: Scratch, step: int) -> DataFrame:
+def _rows_of_tiles(found: DataFrame, nodes: DataFrame, kind: str, arrow_kind: pa.DataType, threshold: float, scratch: Scratch, step: int | str, width: int = TILE) -> DataFrame:
     """(id, links, root): by tile, the weight of each node's links, and its component's least node there."""
     size = scratch.put(found.groupBy("component").agg(F.count(F.lit(1)).alias("n")), f"component-sizes-{step}")
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / TILE).cast("long"))
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / width).cast("long"))
     placed = found.join(size, "component").select("component", F.col("node").alias("id"), part.alias("part"))
     parts = placed.select("component", "part").distinct()
     pairs = parts.join(parts.withColumnRenamed("part", "part2"), "component").filter("part <= part2")
@@ -207,6 +211,44 @@ def _rows_of_tiles(found: DataFrame, nodes: DataFrame, kind: str, arrow_kind: pa
     return placed.mapInArrow(run, f"id {kind}, links long, root {kind}")
 
 
+def _true_links(nodes: DataFrame, kind: str, arrow_kind: pa.DataType, threshold: float) -> DataFrame:
+    """(id, n): the weight of all links of each audited node, against every vector of its label."""
+    parts = F.ceil(F.col("n") / WHOLE).cast("long")
+    audited = nodes.filter(F.pmod(F.xxhash64("id", F.lit("audit")), F.ceil(F.col("n") / AUDIT).cast("long")) == 0)
+    asked = audited.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).withColumn("side", F.lit(0))
+    every = nodes.withColumn("part", F.pmod(F.xxhash64("id"), parts)).withColumn("side", F.lit(1))
+    columns = [F.struct("label", "dim", "part").alias("group"), "side", "id", "n_copies", "vector"]
+    rows = asked.select(*columns).union(every.select(*columns)).repartition("group").sortWithinPartitions("group", "side")
+
+    def product(group):
+        left, right = [g for g in group if g[1] == 0], [g for g in group if g[1] == 1]
+        if not left or not right:
+            return []
+        a, b = (np.stack([np.frombuffer(g[4], np.float64) for g in side]) for side in (left, right))
+        hit = a @ b.T >= threshold
+        place = {g[2]: k for k, g in enumerate(right)}
+        for k, g in enumerate(left):
+            if g[2] in place:
+                hit[k, place[g[2]]] = False
+        return [(g[2], int(n)) for g, n in zip(left, hit @ np.array([g[3] for g in right], np.int64))]
+
+    def run(batches):
+        group, out = [], []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if group and row[0] != group[0][0]:
+                    out += product(group)
+                    group = []
+                group.append(row)
+        if group:
+            out += product(group)
+        if out:
+            i, n = zip(*out)
+            yield pa.RecordBatch.from_arrays([pa.array(i, arrow_kind), pa.array(n, pa.int64())], names=["id", "n"])
+
+    return rows.mapInArrow(run, f"id {kind}, n long").groupBy("id").agg(F.sum("n").alias("n"))
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD) -> DataFrame:
     """(id, n_links, component_id, kept, audit_recall): a row per vector."""
     spark = vectors.sparkSession
@@ -221,7 +263,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     classes = scratch.put(classes.groupBy("id").agg(F.min(F.struct("label", "v", "n_copies")).alias("c")).select("id", "c.label", "c.v", "c.n_copies"), "classes")
     per_label = classes.groupBy("label", F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
     deep = F.least(F.lit(40), F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / LEAF)))).cast("int").alias("depth")
-    depths = per_label.select("label", "dim", deep)
+    depths = per_label.select("label", "dim", "n", deep)
 
     label = classes.schema["label"].dataType.simpleString()
 
@@ -242,28 +284,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     trees = trees_needed(depth, threshold)
     near = F.col("s") >= threshold - 1e-4  # in single precision; the tiles decide in double
 
-    audit = nodes.orderBy(F.xxhash64("id"), "id").limit(AUDIT).select("id", "label", "dim", "n_copies", "vector").collect()  # a bounded sample
-    questions: dict = {}
-    for r in audit:
-        questions.setdefault((r.label, r.dim), []).append((r.id, r.n_copies, np.frombuffer(bytes(r.vector), np.float64)))
+    true = _true_links(nodes, kind, arrow_kind, threshold).filter("n > 0").withColumnRenamed("n", "true_links")
+    judges = scratch.put(true.join(nodes.select("id", "label", "dim"), "id"), "judges")
+    sizes = scratch.put(nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).filter("n > 1"), "label-sizes")
 
-    def brute(batches):
-        for batch in batches:
-            ids, labels, dims, copies = (batch.column(c).to_pylist() for c in range(4))
-            x = _matrix(batch.column(4), np.float64)
-            count: dict = {}
-            for key, asked in questions.items():
-                at = [k for k in range(len(ids)) if labels[k] == key[0] and dims[k] == key[1]]
-                if at:
-                    hit = np.stack([q[2] for q in asked]) @ np.stack([x[k] for k in at]).T >= threshold
-                    for q, row in zip(asked, hit):
-                        count[q[0]] = count.get(q[0], 0) + sum(copies[at[k]] for k in np.flatnonzero(row) if ids[at[k]] != q[0])
-            if count:
-                yield pa.RecordBatch.from_arrays([pa.array(list(count), arrow_kind), pa.array(list(count.values()), pa.int64())], names=["id", "n"])
-
-    truth = dict(nodes.select("id", "label", "dim", "n_copies", "vector").mapInArrow(brute, f"id {kind}, n long").groupBy("id").agg(F.sum("n")).collect()) if audit else {}
-
-    edges, step, used, recall = None, 0, 0, 1.0
+    edges, step, used = None, 0, 0
     for _ in range(MOST_SEARCHES):
         found = _trees(nodes, kind, arrow_kind, used, trees, LIST, scratch)
         used += trees
@@ -280,16 +305,28 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             scratch.settle()
             now = edges.filter(near).count()
             grown, count = now - count, now
-            if grown <= 0.002 * now:
+            if now and grown <= 0.002 * now:
                 break
         links = edges.filter(near).select(F.col("u").alias("a"), F.col("v").alias("b"))
         clusters = scratch.put(components(links, scratch, f"c{step}"), f"clusters-{step}")
         tiles = scratch.put(_rows_of_tiles(clusters, nodes, kind, arrow_kind, threshold, scratch, step), f"tiles-{step}")
-        asked = tiles.join(F.broadcast(spark.createDataFrame([(i,) for i in truth] or [(None,)], f"id {kind}")), "id").groupBy("id").agg(F.sum("links")).collect()
-        total = sum(truth.values())
-        recall = sum(r[1] for r in asked) / total if total else 1.0
-        if recall >= RECALL:
+        seen = tiles.groupBy("id").agg(F.sum("links").alias("links"))
+        recalls = judges.join(seen, "id", "left").withColumn("recall", F.coalesce("links", F.lit(0)) / F.col("true_links"))
+        marks = recalls.groupBy("label", "dim").agg(F.avg("recall").alias("recall"), F.count(F.lit(1)).alias("judges"))
+        marks = scratch.put(sizes.join(marks, ["label", "dim"], "left"), f"marks-{step}")
+        if marks.filter((F.col("judges") >= JUDGES) & (F.col("recall") < RECALL)).isEmpty():
             break
+    weak = F.coalesce("judges", F.lit(0)) < JUDGES
+    weak = scratch.put(marks.filter(weak | (F.col("recall") < RECALL)).select("label", "dim", "least"), "weak")
+    if not weak.isEmpty():
+        labels = nodes.select("id", "label", "dim")
+        whole = labels.join(weak, ["label", "dim"]).select(F.col("id").alias("node"), F.col("least").alias("component"))
+        exact = _rows_of_tiles(whole, nodes, kind, arrow_kind, threshold, scratch, "whole", WHOLE)
+        others = tiles.join(labels.join(weak, ["label", "dim"], "left_anti").select("id"), "id", "left_semi")
+        tiles = scratch.put(others.select("id", "links", "root").union(exact), "tiles-whole")
+    # Over audited nodes that have links; those of labels compared whole count as found.
+    recall = recalls.join(weak.select("label", "dim", F.lit(1.0).alias("exact")), ["label", "dim"], "left").agg(F.avg(F.coalesce("exact", "recall"))).first()[0]
+    recall = 1.0 if recall is None else recall
     final = components(tiles.select(F.col("id").alias("a"), F.col("root").alias("b")), scratch, "final")
     weights = tiles.groupBy("id").agg(F.sum("links").alias("links"))
     named = classes.join(weights, "id", "left").join(final.withColumnRenamed("node", "id"), "id", "left")
@@ -301,5 +338,5 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     links = F.when(named_row, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long")
     result = rows.select(F.col("id").alias(id_col), links.alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), F.lit(float(recall)).alias("audit_recall"))
     result = scratch.put(result, "result")
-    scratch.drop("classes", "nodes", "named", f"edges-{step}", f"clusters-{step}", f"tiles-{step}")
+    scratch.drop("classes", "nodes", "named", f"edges-{step}", f"clusters-{step}", f"tiles-{step}", "tiles-whole", "weak", "judges", "label-sizes")
     return result

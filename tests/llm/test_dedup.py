@@ -217,3 +217,17 @@ def test_vector_edges(spark):
     assert by[2].component_id == by[11].component_id == by[12].component_id == 1
     assert by[1].n_links == 4 and by[2].n_links == 4 and by[None].n_links == 0
     assert nn_descent.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_crowded_label(spark):
+    """Vectors that share a direction crowd the trees' leaves, and few pairs among them link: every pair is found still."""
+    rng = np.random.default_rng(0)
+    base = np.r_[2.0, np.zeros(63)] + np.c_[np.zeros(3000), rng.normal(size=(3000, 63)) / 63**0.5]
+    near = base[:5] + 0.35 * np.linalg.norm(base[:5], axis=1, keepdims=True) * rng.normal(size=(5, 64)) / 8
+    v = np.r_[base, near]
+    got = nn_descent.near_duplicates(spark.createDataFrame([(k, x.tolist(), 1) for k, x in enumerate(v)], "vec_id long, embedding array<double>, label int")).collect()
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    hit = v @ v.T >= 0.93
+    np.fill_diagonal(hit, False)
+    assert hit.sum() == 10
+    assert {r.vec_id: r.n_links for r in got} == dict(enumerate(hit.sum(1).tolist()))
