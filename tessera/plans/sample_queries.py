@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -237,14 +239,14 @@ def area_estimate_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(accuracy.area_estimates(every.filter("id % 7 = 0"), "label", "pred", mapped), ["area", "half_width"], 4)
 
 
-# Random forests: a few trees for each of all classes, whose figures no SQL gives.
-_FEATURES = [f"f{k}" for k in range(24)]
+# Random forests of the library's defaults, for all classes and features; no SQL gives their figures.
+_FEATURES = [f"f{k}" for k in range(64)]
 
 
 @query("rf_primitives", None)
 def rf_primitives(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = views.labels_px(spark, sf_dir, len(_FEATURES))
-    fits = classify.train_primitives(points, "LANDCOVER", _FEATURES, trees=5, depth=8)
+    fits = classify.train_primitives(points, "LANDCOVER", _FEATURES)
     scored = classify.probabilities(points, fits)
     names = {p.value: f"Class{p.value}" for p in fits}
     return classify.most_probable(scored.select("id", *names.values()), names)
@@ -253,13 +255,15 @@ def rf_primitives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("rf_importance_top20", None)
 def rf_importance_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = views.labels_px(spark, sf_dir, len(_FEATURES))
-    fit = classify.train_primitive(points, "LANDCOVER", 3, _FEATURES, trees=20, depth=8)
-    table = spark.createDataFrame(list(fit.importance_all.items()), "feature string, importance double")
-    return classify.top_features(table, "feature", "importance")
+    tops = []
+    for fit in classify.train_primitives(points, "LANDCOVER", _FEATURES):
+        table = spark.createDataFrame(list(fit.importance_all.items()), "feature string, importance double")
+        tops.append(classify.top_features(table, "feature", "importance").withColumn("class", F.lit(fit.value).cast("int")))
+    return reduce(DataFrame.union, tops)
 
 
 @query("rf_oob", None)
 def rf_oob(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = views.labels_px(spark, sf_dir, len(_FEATURES))
-    error = classify.out_of_bag(points, "LANDCOVER", 3, _FEATURES, ["id"], trees=20, depth=8)
-    return spark.createDataFrame([(3, error)], "class int, oob_error double")
+    errors = [(v, classify.out_of_bag(points, "LANDCOVER", v, _FEATURES, ["id"])) for v in classify.labels_of(points, "LANDCOVER")]
+    return spark.createDataFrame(errors, "class int, oob_error double")

@@ -31,3 +31,28 @@ def test_pushdown_and_pruning(spark, sf_dir):
 def test_composite_has_one_exchange(spark, sf_dir):
     plan = registry.QUERIES["composite_percentiles"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_forests_of_the_defaults(spark, sf_dir, monkeypatch):
+    """The forest queries take the library's trees and depth, all features and all classes."""
+    from tessera.operators import classify
+
+    asked = []
+
+    def primitives(points, label, features, values=None, **options):
+        asked.append((label, len(features), options))
+        return [classify.Primitive(v, None, features[:20], {f: float(k) for k, f in enumerate(features)}, {}) for v in values or classify.labels_of(points, label)]
+
+    def error(points, label, value, features, id_cols, **options):
+        asked.append((label, len(features), options))
+        return 0.5
+
+    monkeypatch.setattr(classify, "train_primitives", primitives)
+    monkeypatch.setattr(classify, "out_of_bag", error)
+    top = registry.QUERIES["rf_importance_top20"](spark, sf_dir).groupBy("class").count().collect()
+    assert sorted((r["class"], r["count"]) for r in top) == [(v, 20) for v in range(1, 11)]
+    assert [r["class"] for r in registry.QUERIES["rf_oob"](spark, sf_dir).orderBy("class").collect()] == list(range(1, 11))
+    assert asked == [("LANDCOVER", 64, {})] * 11
+    monkeypatch.setattr(classify, "probabilities", lambda points, fits: points.selectExpr("id", *[f"0.5 as Class{p.value}" for p in fits]))
+    assert registry.QUERIES["rf_primitives"](spark, sf_dir).filter("LANDCOVER is null").count() == 0
+    assert asked == [("LANDCOVER", 64, {})] * 12
