@@ -1,28 +1,36 @@
 """Line dedup by winnowing over line hashes, in DataFrame operations only.
 
-A document is the sequence of its non-blank lines. Two thresholds, both in
-words, as in winnowing's noise and guarantee thresholds:
+A document is the sequence of its non-blank lines. A *run* is a stretch of
+whole lines of at least ``guarantee`` words; a line goes if it lies in a run
+that also stands at an earlier place (order: doc id, hash of the text, line).
+Both ends matter, so the runs that are looked up are the shortest ones from
+each line forwards and from each line backwards: any longer repeated run is
+made of them.
+
+Winnowing finds them without comparing every run:
 
 * a *gram* starts at a line and takes lines until it has ``noise`` words;
 * of the grams that start within any ``guarantee - noise + 1`` words, the one
   with the least hash (rightmost at ties) is a *fingerprint*.
 
-Whatever run of whole lines of at least ``guarantee`` words two places share,
-both select a common fingerprint inside it. A passage that starts or ends
-inside a line is out of reach there, and one inside a single line altogether.
-Each fingerprint's position is joined
-with its first position in the corpus (order: doc id, line), and a match is
-extended both ways over neighbouring lines whose adjacent pair also has an
-earlier position. A run so found that has at least ``guarantee`` words is
-deleted; the first occurrence stays. All lookups are "first position of a
-hash" (a combinable minimum) joined back, so no group is ever collected or
-paired with itself, however often a line repeats.
+Equal runs select equal fingerprints at equal offsets, so only runs whose
+fingerprint has another position in the corpus are candidates. A candidate is
+joined with the first position of its own lines, which fixes one partner and
+one alignment for the whole run; overlapping repeated runs are what extends a
+match both ways. All lookups are "first position of a hash" (a combinable
+minimum) joined back, so no group is ever collected or paired with itself,
+however often a line repeats.
+
+A passage that starts or ends inside a line is out of reach there, and one
+inside a single line altogether.
 
 Defined results: null text stays null; empty and blank lines are no lines to
-match (blank lines inside a deleted run go with it); repeated rows of one
-doc id are one document for matching (least hash per line number) and all get
-the same deletions; a null doc id is an id that sorts first; an empty table
-gives an empty table.
+match (blank lines inside a deleted stretch go with it); a document is a pair
+of id and text, so rows that agree in both are one document and lose the same
+lines, and rows of one id with different texts are different documents; a null
+doc id is an id that sorts first; an empty table gives an empty table. Columns
+of the input are never replaced, whatever their names. Lines and runs are
+compared by 128 bits of hash, the texts of one id by 64.
 """
 
 from __future__ import annotations
@@ -30,7 +38,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from .scratch import Scratch, added, named
 
 NOISE_WORDS = 25
 GUARANTEE_WORDS = 50
@@ -40,115 +48,145 @@ def _words(line: Column) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + F.lit(1)
 
 
-def line_table(docs: DataFrame, id_col: str, text_col: str, noise: int, guarantee: int) -> DataFrame:
-    """(doc, pos, h, w, pair, gram, fp_gram, fp_pos): lines, their hashes, and each window's minimum."""
-    lines = docs.select(F.col(id_col).alias("doc"), F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
-    lines = lines.withColumn("line", F.trim("line")).filter(F.col("line") != "")
-    lines = lines.select("doc", "pos", F.md5(F.col("line").cast("binary")).alias("h"), _words(F.col("line")).alias("w"))
-    at = Window.partitionBy("doc").orderBy("pos", "h")
-    lines = lines.withColumn("rep", F.lag("pos").over(at)).filter(~F.col("rep").eqNullSafe(F.col("pos"))).drop("rep")
-    by_pos = Window.partitionBy("doc").orderBy("pos")
-    lines = lines.withColumns(
+def _key(text: Column) -> Column:
+    """What tells the texts of one id apart."""
+    return F.xxhash64(text)
+
+
+def line_runs(docs: DataFrame, id_col: str, text_col: str, noise: int, guarantee: int) -> DataFrame:
+    """(doc, text_key, fp, fp_at, first, last, r1, r2): the shortest runs from and to each line.
+
+    ``first`` and ``last`` are numbers of non-blank lines with their places in
+    the text, ``r1`` and ``r2`` the hash of the run's lines, ``fp`` and
+    ``fp_at`` the fingerprint that its first window selects.
+    """
+    text = named(docs, text_col)
+    lines = F.transform(F.split(text, "\n"), lambda line, at: F.struct(at.alias("at"), F.trim(line).alias("line")))
+    lines = F.transform(F.filter(lines, lambda x: x["line"] != ""), lambda x: F.struct(x["at"].alias("at"), F.xxhash64(x["line"]).alias("h1"), F.xxhash64(F.lit(1), x["line"]).alias("h2"), _words(x["line"]).alias("w")))
+    doc = ["doc", "text_key"]
+    # Rows of one id and text meet before the exchange, and the windows need no other one.
+    rows = docs.filter(text.isNotNull()).select(named(docs, id_col).alias("doc"), _key(text).alias("text_key"), lines.alias("lines"))
+    rows = rows.groupBy(*doc).agg(F.first("lines").alias("lines")).select(*doc, F.posexplode("lines").alias("n", "l")).select(*doc, "n", "l.*")
+    by_line = Window.partitionBy(*doc).orderBy("n")
+    rows = rows.withColumn("c", F.sum(F.col("w").cast("long")).over(by_line.rowsBetween(Window.unboundedPreceding, 0)) - F.col("w")).withColumn("e", F.col("c") + F.col("w"))
+    by_word = Window.partitionBy(*doc).orderBy("c")
+    gram, run = by_word.rangeBetween(0, noise - 1), by_word.rangeBetween(0, guarantee - 1)
+    place, line = F.struct("n", "at"), F.struct("h1", "h2")
+    rows = rows.withColumns(
         {
-            "c": F.sum("w").over(by_pos.rowsBetween(Window.unboundedPreceding, 0)) - F.col("w"),
-            "prev": F.lag("h").over(by_pos),
+            "gram": F.when(F.sum("w").over(gram) >= noise, F.xxhash64(F.collect_list("h1").over(gram))),
+            "forward": F.when(F.sum("w").over(run) >= guarantee, F.collect_list(line).over(run)),
+            "last": F.max(place).over(run),
         }
     )
-    by_word = Window.partitionBy("doc").orderBy("c")
-    gram = by_word.rangeBetween(0, noise - 1)
-    lines = lines.withColumns(
+    least = F.min(F.when(F.col("gram").isNotNull(), F.struct("gram", (-F.col("n")).alias("neg")))).over(by_word.rangeBetween(0, guarantee - noise))
+    rows = rows.withColumn("least", least)
+    back = Window.partitionBy(*doc).orderBy("e").rangeBetween(1 - guarantee, 0)
+    rows = rows.withColumns(
         {
-            "gram": F.when(F.sum("w").over(gram) >= noise, F.md5(F.array_join(F.collect_list("h").over(gram), "").cast("binary"))),
-            "pair": F.when(F.col("prev").isNotNull(), F.md5(F.concat("prev", "h").cast("binary"))),
+            "backward": F.when(F.sum("w").over(back) >= guarantee, F.collect_list(line).over(back)),
+            "back_first": F.min(place).over(back),
+            "back_least": F.first("least").over(back),
+            "back_last": F.first("last").over(back),
         }
     )
-    window = by_word.rangeBetween(0, guarantee - noise)
-    least = F.min(F.when(F.col("gram").isNotNull(), F.struct("gram", (-F.col("pos")).alias("neg")))).over(window)
-    lines = lines.withColumn("least", least)
-    return lines.select("doc", "pos", "h", "w", "pair", F.col("least.gram").alias("fp_gram"), (-F.col("least.neg")).alias("fp_pos"))
-
-
-def _repeats(rows: DataFrame, key: str, scratch: Scratch) -> DataFrame:
-    """(doc, pos) of the rows whose key has an earlier position.
-
-    First positions are a table of their own, so that Spark can split a hot
-    key's rows in the join.
-    """
-    first = rows.groupBy(key).agg(F.min(F.struct("doc", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    first = scratch.put(first, f"first-{key}")
-    return rows.join(first, key).filter(F.struct("doc", "pos") > F.col("first")).select("doc", "pos")
+    one = lambda first, last, least, lines: F.struct(least["gram"].alias("fp"), (-least["neg"]).alias("fp_at"), first.alias("first"), last.alias("last"), F.xxhash64(lines).alias("r1"), F.xxhash64(F.lit(1), lines).alias("r2"))
+    forward = F.when(F.col("forward").isNotNull(), one(place, F.col("last"), F.col("least"), F.col("forward")))
+    # A backward run is news only where the forward one from its first line ends earlier.
+    backward = F.when(F.col("backward").isNotNull() & (F.col("back_last.n") < F.col("n")), one(F.col("back_first"), place, F.col("back_least"), F.col("backward")))
+    return rows.select(*doc, F.explode(F.array_compact(F.array(forward, backward))).alias("r")).select(*doc, "r.*")
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", noise: int = NOISE_WORDS, guarantee: int = GUARANTEE_WORDS) -> DataFrame:
-    """(doc, first, last, words): the line runs to delete, by 0-based line numbers."""
+    """(doc, text_key, first, last): the stretches to delete, by 0-based line numbers."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "line-dedup")
-    lines = scratch.put(line_table(docs, id_col, text_col, noise, guarantee), "lines")
-    prints = lines.filter("fp_gram is not null").select("doc", F.col("fp_pos").alias("pos"), "fp_gram").distinct()
-    seeds = _repeats(prints, "fp_gram", scratch).withColumn("seed", F.lit(1))
-    links = _repeats(lines.filter("pair is not null").select("doc", "pos", "pair"), "pair", scratch).withColumn("link", F.lit(1))
-    marks = seeds.unionByName(links, allowMissingColumns=True).groupBy("doc", "pos").agg(F.max("seed").alias("seed"), F.max("link").alias("link"))
-    # Marks meet their lines by a grouped union, and one exchange by document serves the grouping, the runs and their sums.
-    rows = lines.select("doc", "pos", "w", F.lit(None).cast("int").alias("seed"), F.lit(None).cast("int").alias("link"))
-    rows = rows.unionByName(marks.withColumn("w", F.lit(0)).select("doc", "pos", "w", "seed", "link"))
-    rows = rows.repartition("doc").groupBy("doc", "pos").agg(F.sum("w").alias("w"), F.max("seed").alias("seed"), F.max("link").alias("link"))
-    by_pos = Window.partitionBy("doc").orderBy("pos")
-    rows = rows.withColumn("run", F.sum(F.when(F.col("link") == 1, 0).otherwise(1)).over(by_pos))
-    runs = rows.groupBy("doc", "run").agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.sum("w").alias("words"), F.max("seed").alias("seed"))
-    runs = runs.filter((F.col("seed") == 1) & (F.col("words") >= guarantee)).select("doc", "first", "last", "words")
-    runs = scratch.put(runs, "runs")
-    scratch.drop("lines", "first-fp_gram", "first-pair")
-    return runs
+    doc = ["doc", "text_key"]
+    runs = scratch.put(line_runs(docs, id_col, text_col, noise, guarantee), "lines")
+    # Minima and maxima are tables of their own, so that Spark can split a hot key's rows in the joins.
+    at = F.struct(*doc, "fp_at")
+    prints = runs.groupBy("fp").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).filter(F.col("lo") < F.col("hi")).select("fp")
+    prints = scratch.put(prints, "prints")
+    candidates = scratch.put(runs.join(prints, "fp").select(*doc, "first", "last", "r1", "r2"), "candidates")
+    at = F.struct(*doc, F.col("first.n").alias("n"))
+    partner = candidates.groupBy("r1", "r2").agg(F.min(at).alias("partner"), F.max(at).alias("other")).filter(F.col("partner") < F.col("other")).drop("other")
+    partner = scratch.put(partner, "partners")
+    found = candidates.join(partner, ["r1", "r2"]).filter(at > F.col("partner")).select(*doc, "first", "last").distinct()
+    # Overlapping or adjoining repeated runs are one stretch.
+    by_first = Window.partitionBy(*doc).orderBy("first.n", "last.n")
+    reach = F.max("last.n").over(by_first.rowsBetween(Window.unboundedPreceding, -1))
+    found = found.withColumn("new", F.coalesce((F.col("first.n") > reach + 1).cast("int"), F.lit(1)))
+    found = found.withColumn("stretch", F.sum("new").over(by_first.rowsBetween(Window.unboundedPreceding, 0)))
+    stretches = found.groupBy(*doc, "stretch").agg(F.min("first").alias("first"), F.max("last").alias("last")).select(*doc, F.col("first.at").alias("first"), F.col("last.at").alias("last"))
+    stretches = scratch.put(stretches, "stretches")
+    scratch.drop("lines", "prints", "candidates", "partners")
+    return stretches
+
+
+def _cut(docs: DataFrame, id_col: str, text_col: str, noise: int, guarantee: int) -> DataFrame:
+    """(row, text, lines_total, lines_removed, runs_removed); ``row`` holds the input's columns."""
+    found = repeated_runs(docs, id_col, text_col, noise, guarantee)
+    cuts = found.groupBy("doc", "text_key").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("cuts"))
+    rows = docs.select(F.struct(*[named(docs, c) for c in docs.columns]).alias("row"), named(docs, id_col).alias("id"), named(docs, text_col).alias("text"))
+    kept = rows.join(cuts, F.col("id").eqNullSafe(F.col("doc")) & (_key(F.col("text")) == F.col("text_key")), "left")
+    n_cuts = F.size("cuts")
+    # Slices between the cuts: linear in the lines, also for very long texts.
+    start = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.try_element_at("cuts", k)["last"] + 1)
+    stop = lambda k: F.when(k == n_cuts, F.size("lines")).otherwise(F.try_element_at("cuts", k + 1)["first"])
+    pieces = F.flatten(F.transform(F.sequence(F.lit(0), n_cuts), lambda k: F.slice("lines", start(k) + 1, stop(k) - start(k))))
+    kept = kept.withColumn("lines", F.split("text", "\n"))
+    has = F.col("cuts").isNotNull() & F.col("lines").isNotNull()
+    kept = kept.withColumn("kept", F.when(has, pieces))
+    return kept.select(
+        "row",
+        F.when(has, F.array_join("kept", "\n")).otherwise(F.col("text")).alias("text"),
+        F.coalesce(F.when(F.col("lines").isNotNull(), F.size("lines")), F.lit(0)).cast("long").alias("lines_total"),
+        F.when(has, F.size("lines") - F.size("kept")).otherwise(0).cast("long").alias("lines_removed"),
+        F.when(has, n_cuts).otherwise(0).cast("long").alias("runs_removed"),
+    )
+
+
+def _back(docs: DataFrame, replaced: dict[str, Column]) -> list[Column]:
+    """The columns of the input out of ``row``, some replaced."""
+    return [replaced.get(c, F.col("row")[c]).alias(c) for c in docs.columns]
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", noise: int = NOISE_WORDS, guarantee: int = GUARANTEE_WORDS) -> DataFrame:
-    """The documents with later repeated runs deleted from their text.
+    """The documents with later repeated runs deleted from their text; every input row stays.
 
-    Adds ``lines_total``, ``lines_removed`` and ``runs_removed`` (columns of
-    these names in the input are replaced); every input row stays.
+    Adds ``lines_total``, ``lines_removed`` and ``runs_removed`` (with ``_``
+    behind the name where the input has such a column).
     """
-    runs = repeated_runs(docs, id_col, text_col, noise, guarantee)
-    cuts = runs.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("__cuts")).withColumnRenamed("doc", "__doc")
-    kept = docs.join(cuts, F.col(id_col).eqNullSafe(F.col("__doc")), "left").drop("__doc")
-    lines = F.split(F.col(text_col), "\n")
-    n_cuts = F.size("__cuts")
-    # Slices between the cuts: linear in the lines, also for very long texts.
-    start = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.try_element_at("__cuts", k)["last"] + 1)
-    stop = lambda k: F.when(k == n_cuts, F.size("__lines")).otherwise(F.try_element_at("__cuts", k + 1)["first"])
-    pieces = F.flatten(F.transform(F.sequence(F.lit(0), n_cuts), lambda k: F.slice("__lines", start(k) + 1, stop(k) - start(k))))
-    kept = kept.withColumn("__lines", lines)
-    has = F.col("__cuts").isNotNull() & F.col("__lines").isNotNull()
-    kept = kept.withColumn("__kept", F.when(has, pieces))
-    kept = kept.withColumns(
-        {
-            text_col: F.when(has, F.array_join("__kept", "\n")).otherwise(F.col(text_col)),
-            "lines_total": F.coalesce(F.when(F.col("__lines").isNotNull(), F.size("__lines")), F.lit(0)).cast("long"),
-            "lines_removed": F.when(has, F.size("__lines") - F.size("__kept")).otherwise(0).cast("long"),
-            "runs_removed": F.when(has, n_cuts).otherwise(0).cast("long"),
-        }
-    )
-    return kept.drop("__cuts", "__lines", "__kept")
+    cut = _cut(docs, id_col, text_col, noise, guarantee)
+    names = added(docs, ["lines_total", "lines_removed", "runs_removed"])
+    return cut.select(*_back(docs, {text_col: F.col("text")}), *[F.col(a).alias(b) for a, b in names.items()])
+
+
+def drop_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str | None = None, noise: int = NOISE_WORDS, guarantee: int = GUARANTEE_WORDS) -> DataFrame:
+    """As ``dedup_lines``, with the input's columns only; ``size_col`` gets the new number of characters where lines went."""
+    cut = _cut(docs, id_col, text_col, noise, guarantee)
+    replaced = {text_col: F.col("text")}
+    if size_col is not None:
+        size = F.length("text").cast(docs.schema[size_col].dataType)
+        replaced[size_col] = F.when(F.col("lines_removed") > 0, size).otherwise(F.col("row")[size_col])
+    return cut.select(*_back(docs, replaced))
 
 
+#: From the definition: runs are compared as texts, each with every earlier place of its own lines.
 ORACLE_SQL = f"""
-WITH raw AS (SELECT doc_id AS doc, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos, trim(unnest(string_split(text, chr(10)))) AS line FROM documents),
-l0 AS (SELECT doc, pos, md5(line) AS h, length(line) - length(replace(line, ' ', '')) + 1 AS w FROM raw WHERE line <> ''),
-l1 AS (SELECT *, sum(w) OVER (PARTITION BY doc ORDER BY pos) - w AS c, lag(h) OVER (PARTITION BY doc ORDER BY pos) AS prev FROM l0),
-l2 AS (SELECT *, CASE WHEN sum(w) OVER g >= {NOISE_WORDS} THEN md5(string_agg(h, '') OVER g) END AS gram, md5(prev || h) AS pair FROM l1
-       WINDOW g AS (PARTITION BY doc ORDER BY c RANGE BETWEEN CURRENT ROW AND {NOISE_WORDS - 1} FOLLOWING)),
-l3 AS (SELECT *, min(CASE WHEN gram IS NOT NULL THEN {{'gram': gram, 'neg': -pos}} END) OVER (PARTITION BY doc ORDER BY c RANGE BETWEEN CURRENT ROW AND {GUARANTEE_WORDS - NOISE_WORDS} FOLLOWING) AS least FROM l2),
-prints AS (SELECT DISTINCT doc, -least.neg AS pos, least.gram AS gram FROM l3 WHERE least IS NOT NULL),
-seeds AS (SELECT doc, pos FROM (SELECT doc, pos, row_number() OVER (PARTITION BY gram ORDER BY doc, pos) AS k FROM prints) WHERE k > 1),
-links AS (SELECT doc, pos FROM (SELECT doc, pos, row_number() OVER (PARTITION BY pair ORDER BY doc, pos) AS k FROM l2 WHERE pair IS NOT NULL) WHERE k > 1),
-m AS (SELECT l0.doc, l0.pos, l0.w, s.doc IS NOT NULL AS seed, k.doc IS NOT NULL AS link FROM l0 LEFT JOIN (SELECT DISTINCT doc, pos FROM seeds) s USING (doc, pos) LEFT JOIN links k USING (doc, pos)),
-r AS (SELECT *, sum(CASE WHEN link THEN 0 ELSE 1 END) OVER (PARTITION BY doc ORDER BY pos) AS run FROM m),
-runs AS (SELECT doc, min(pos) AS a, max(pos) AS b FROM r GROUP BY doc, run HAVING bool_or(seed) AND sum(w) >= {GUARANTEE_WORDS}),
-every AS (SELECT doc_id AS doc, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos, unnest(string_split(text, chr(10))) AS line FROM documents),
-kept AS (SELECT e.doc, string_agg(line, chr(10) ORDER BY pos) AS text, count(*) AS n FROM every e WHERE NOT EXISTS (SELECT 1 FROM runs u WHERE u.doc = e.doc AND e.pos BETWEEN u.a AND u.b) GROUP BY e.doc),
-n_runs AS (SELECT doc, count(*) AS n FROM runs GROUP BY doc)
+WITH every AS (SELECT doc_id AS doc, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos, unnest(string_split(text, chr(10))) AS line FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY pos) AS n, length(trim(line)) - length(replace(trim(line), ' ', '')) + 1 AS w FROM every WHERE trim(line) <> ''),
+c AS (SELECT *, sum(w) OVER (PARTITION BY doc ORDER BY n) AS e, sum(w) OVER (PARTITION BY doc ORDER BY n) - w AS c FROM l),
+spans AS (SELECT a.doc, a.n AS n1, b.n AS n2, a.pos AS a1, b.pos AS a2 FROM c a JOIN c b ON a.doc = b.doc AND a.n <= b.n AND b.e - a.c >= {GUARANTEE_WORDS} AND (b.c - a.c < {GUARANTEE_WORDS} OR b.e - a.e < {GUARANTEE_WORDS})),
+runs AS (SELECT s.doc, s.n1, s.n2, s.a1, s.a2, string_agg(trim(c.line), chr(10) ORDER BY c.n) AS lines FROM spans s JOIN c ON c.doc = s.doc AND c.n BETWEEN s.n1 AND s.n2 GROUP BY ALL),
+again AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lines ORDER BY doc NULLS FIRST, n1) AS k FROM runs) WHERE k > 1),
+gone AS (SELECT DISTINCT c.doc, c.n, c.pos FROM c JOIN again r ON r.doc = c.doc AND c.n BETWEEN r.n1 AND r.n2),
+cuts AS (SELECT doc, min(pos) AS a, max(pos) AS b FROM (SELECT *, n - row_number() OVER (PARTITION BY doc ORDER BY n) AS g FROM gone) GROUP BY doc, g),
+kept AS (SELECT e.doc, string_agg(line, chr(10) ORDER BY pos) AS text, count(*) AS n FROM every e WHERE NOT EXISTS (SELECT 1 FROM cuts u WHERE u.doc = e.doc AND e.pos BETWEEN u.a AND u.b) GROUP BY e.doc),
+n_cuts AS (SELECT doc, count(*) AS n FROM cuts GROUP BY doc)
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text,
        CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS lines_total,
        CAST(coalesce(len(string_split(d.text, chr(10))), 0) - coalesce(k.n, 0) AS BIGINT) AS lines_removed,
        CAST(coalesce(u.n, 0) AS BIGINT) AS runs_removed
-FROM documents d LEFT JOIN kept k ON k.doc = d.doc_id LEFT JOIN n_runs u ON u.doc = d.doc_id
+FROM documents d LEFT JOIN kept k ON k.doc = d.doc_id LEFT JOIN n_cuts u ON u.doc = d.doc_id
 """

@@ -10,27 +10,48 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import tempfile
 import time
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one where it is unset."""
+    """The folder in spark.checkpoint.dir; a temporary one where it is unset and the master is this machine alone."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = getattr(spark.sparkContext, "_tessera_scratch", None)
         if path is None:
+            if not re.match(r"local(\[|$)", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir is unset: it must name a folder that driver and executors share")
             path = "file://" + tempfile.mkdtemp(prefix="tessera-")
             spark.sparkContext._tessera_scratch = path
     return path
 
 
+def named(df: DataFrame, name: str) -> Column:
+    """A column by its whole name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def added(df: DataFrame, names: list[str]) -> dict[str, str]:
+    """Names for new columns: ``_`` is put behind those that the frame has already."""
+    taken, out = {c.lower() for c in df.columns}, {}
+    for name in names:
+        free = name
+        while free.lower() in taken:
+            free += "_"
+        taken.add(free.lower())
+        out[name] = free
+    return out
+
+
 class Scratch:
     """Tables of one operator call: ``put`` writes one and reads it back, ``drop`` deletes."""
 
@@ -79,4 +100,4 @@ def ship(spark: SparkSession) -> None:
     sc._tessera_shipped = True
 
 
-__all__ = ["Scratch", "shared_dir", "ship"]
+__all__ = ["Scratch", "added", "named", "shared_dir", "ship"]
