@@ -28,9 +28,15 @@ columns for the guarantee of step 1, for want of infrequent columns, adds a
 second set of blocks over all of its columns, and if need be its empty ones;
 a pair of such rows meets there, any other pair meets in the first set.
 
-Defined results: null, empty or blank text has an empty set and its own id as
-component; rows that share a doc id are one document (links of any of them
-count); a null doc id never names a component.
+Everything runs on classes of rows with equal sets, told apart by 128 bits of
+hash; ids come in only at the end, so rows that share an id and differ in text
+are rows of their own.
+
+Defined results: null, empty or blank text has an empty set, links with
+nothing and has its own id as component; a row links by its text alone,
+whatever its id, so one id may stand in several components; rows with a null
+id link like any other, but a null id names a component only if there is no
+other id in it; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -41,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .scratch import Scratch, ship
+from .scratch import Scratch, named, ship
 from .shingles import WordHashes, mix, shingle_set, word_hashes
 
 SHINGLE = 3
@@ -56,6 +62,7 @@ FREQUENT, MOST_FREQUENT = 50, 200_000
 STRETCH, LEAST_LOCAL = 4_000_000, 4
 
 _memo = WordHashes()
+_SPIN = np.uint64(0xD6E8FEB86659FD93)
 
 
 class Bands:
@@ -144,33 +151,40 @@ def frequent_columns(docs: DataFrame, text_col: str, shingle: int) -> np.ndarray
         if held:
             yield counted(rows)
 
-    counts = docs.select(text_col).mapInArrow(run, "column long, n long").groupBy("column").agg(F.sum("n").alias("n"))
+    counts = docs.select(named(docs, text_col)).mapInArrow(run, "column long, n long").groupBy("column").agg(F.sum("n").alias("n"))
     best = counts.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "column").limit(MOST_FREQUENT).select("column").collect()
     return np.sort(np.array([r[0] for r in best], np.int64).view(np.uint64))
 
 
+def set_key(row: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set."""
+    if not len(row):
+        return 0, 0
+    with np.errstate(over="ignore"):
+        return int(np.sum(mix(row)).view(np.int64)), int(np.sum(mix(row * _SPIN)).view(np.int64))
+
+
 def rows_of(docs: DataFrame, id_col: str, text_col: str, shingle: int, num: int, den: int, frequent: np.ndarray) -> DataFrame:
-    """(id, n, k1, k2, sketch, blocks): size, set hash, sketch and block values of every row."""
-    source = docs.select(F.col(id_col).alias("id"), text_col)
+    """(id, text_key, n, k1, k2, sketch, blocks): size, set hash, sketch and block values of every row."""
+    text = named(docs, text_col)
+    source = docs.select(named(docs, id_col).alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(frequent)  # at most MOST_FREQUENT numbers
 
     def run(batches):
-        bands, spin = Bands(num, den), np.uint64(0xD6E8FEB86659FD93)
+        bands = Bands(num, den)
         for batch in batches:
-            n, k1, k2, sketches, blocks = [], [], [], [], []
-            texts = batch.column(1).cast(pa.large_binary())
+            n, keys, sketches, blocks = [], [], [], []
+            texts = batch.column(2).cast(pa.large_binary())
             for k in range(batch.num_rows):
                 row = shingle_set(word_hashes(texts[k].as_py() or b"", _memo), shingle)
                 n.append(len(row))
-                with np.errstate(over="ignore"):
-                    k1.append(int(np.sum(mix(row)).view(np.int64)) if len(row) else 0)
-                    k2.append(int(np.sum(mix(row * spin)).view(np.int64)) if len(row) else 0)
+                keys.append(set_key(row))
                 sketches.append(sketch(row))
                 blocks.append(bands.signatures(row, sent.value))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(sketches, pa.binary()), pa.array(blocks, pa.list_(pa.int64()))], names=["id", "n", "k1", "k2", "sketch", "blocks"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array([x[0] for x in keys], pa.int64()), pa.array([x[1] for x in keys], pa.int64()), pa.array(sketches, pa.binary()), pa.array(blocks, pa.list_(pa.int64()))], names=["id", "text_key", "n", "k1", "k2", "sketch", "blocks"])
 
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, n long, k1 long, k2 long, sketch binary, blocks array<long>")
+    return source.mapInArrow(run, f"id {kind}, text_key long, n long, k1 long, k2 long, sketch binary, blocks array<long>")
 
 
 def sketch(row: np.ndarray) -> bytes:
@@ -191,17 +205,20 @@ def may_link(left: list[bytes], right: list[bytes], num: int, den: int) -> np.nd
     return (far * (den + num) <= total * (den - num)) & (np.minimum(a[:, None], b[None, :]) * den >= np.maximum(a[:, None], b[None, :]) * num)
 
 
-def sets_of(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, shingle: int) -> DataFrame:
-    """(id, row): the sorted hashes of the given documents' rows."""
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi")
+def sets_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(node, row): the sorted hashes of the wanted classes (node, first, k1, k2), read from the rows with their first ids."""
+    ids = wanted.select("first").distinct()
+    source = docs.select(named(docs, id_col).alias("id"), named(docs, text_col).alias("text"))
+    source = source.join(ids, F.col("id").eqNullSafe(F.col("first")), "left_semi").select("text")
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(1).cast(pa.large_binary())
-            rows = [shingle_set(word_hashes(texts[k].as_py() or b"", _memo), shingle).tobytes() for k in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["id", "row"])
+            texts = batch.column(0).cast(pa.large_binary())
+            rows = [shingle_set(word_hashes(texts[k].as_py() or b"", _memo), shingle) for k in range(batch.num_rows)]
+            keys = [set_key(row) for row in rows]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in keys], pa.int64()), pa.array([x[1] for x in keys], pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())], names=["k1", "k2", "row"])
 
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, row binary")
+    return source.mapInArrow(run, "k1 long, k2 long, row binary").join(wanted.select("node", "k1", "k2"), ["k1", "k2"]).select("node", "row").dropDuplicates(["node"])
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray], num: int, den: int) -> np.ndarray:
@@ -241,8 +258,8 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray], num: int, den: int
     return alive & (count >= need)
 
 
-def _tiles(rows: DataFrame, kind: str, num: int, den: int, sketches: bool = False) -> DataFrame:
-    """(tile, side, id, comp, row), one tile's rows together -> linked (a, b) across sides, or with sketches for rows those that may link.
+def _tiles(rows: DataFrame, num: int, den: int, sketches: bool = False) -> DataFrame:
+    """(tile, side, node, comp, row), one tile's rows together -> linked (a, b) across sides, or with sketches for rows those that may link.
 
     A null comp, or different comps, may link; equal ones already are. Side -1
     stands on both sides.
@@ -267,67 +284,70 @@ def _tiles(rows: DataFrame, kind: str, num: int, den: int, sketches: bool = Fals
                 tile = t
                 members.append((side, i, comp, row if sketches else np.frombuffer(row, np.uint64)))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], batch.schema.field(2).type), pa.array([x[1] for x in out], batch.schema.field(2).type)], names=["a", "b"])
-            last = batch.schema.field(2).type
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
         if members and (out := linked(members)):
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], last), pa.array([x[1] for x in out], last)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
 
     placed = rows.repartition("tile").sortWithinPartitions("tile", "side")
-    return placed.select("tile", "side", "id", "comp", "row").mapInArrow(run, f"a {kind}, b {kind}")
+    return placed.select("tile", "side", "node", "comp", "row").mapInArrow(run, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
-    """(id, n_shingles, component_id): every row with its component under similarity >= num / den."""
+def _groups(docs: DataFrame, id_col: str, text_col: str, shingle: int, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """(id, text_key, n, group, name): each row with its component (NULL for an empty set) and the least id there."""
     spark = docs.sparkSession
     ship(spark)
-    scratch = Scratch(spark, "ngram-join")
-    kind = docs.schema[id_col].dataType.simpleString()
     frequent = frequent_columns(docs, text_col, shingle)
     table = scratch.put(rows_of(docs, id_col, text_col, shingle, num, den, frequent), "rows")
-    some = table.filter("n > 0 and id is not null")
-    classes = scratch.put(some.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.min("n").alias("n")), "classes")
+    some = table.filter("n > 0")
+    # The nodes of all that follow. The table is written, so a node's number stays.
+    classes = some.groupBy("k1", "k2").agg(F.min("id").alias("first"), F.min("n").alias("n")).withColumn("node", F.monotonically_increasing_id())
+    classes = scratch.put(classes, "classes")
 
     # Blocks in which different rows agree. Fixed-width minima only, so the count is a hash aggregate of small
     # rows, and equal rows alone never pass. Each group's figures are a table of its own before they are joined
     # back: then Spark can split the rows of a hot block or centre over tasks.
-    spread = some.select("id", "k1", F.explode("blocks").alias("block"))
+    spread = some.select("k1", F.explode("blocks").alias("block"))
     met = spread.groupBy("block").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo < hi").select("block")
     met = scratch.put(met, "met")
     scratch.settle()
-    members = spread.select("block", "id").join(met, "block")
-    members = scratch.put(members.join(classes.select("id"), "id", "left_semi"), "members")
+    agreed = scratch.put(spread.join(met, "block").select("block", "k1").distinct(), "agreed")
+    members = scratch.put(agreed.join(classes.select("k1", "node"), "k1").select("block", "node"), "members")
     del spread, met
+    scratch.drop("met", "agreed")
     scratch.settle()
-    centres = scratch.put(members.groupBy("block").agg(F.min("id").alias("centre")), "centres")
-    groups = scratch.put(members.join(centres, "block").select("block", "id", "centre"), "groups")
-    size = classes.groupBy("id").agg(F.min("n").alias("n"))
-    stars = groups.filter("id <> centre").select("id", "centre").distinct().join(size, "id")
-    stars = stars.join(size.select(F.col("id").alias("centre"), F.col("n").alias("centre_n")), "centre")
+    centres = scratch.put(members.groupBy("block").agg(F.min("node").alias("centre")), "centres")
+    groups = scratch.put(members.join(centres, "block").select("block", "node", "centre"), "groups")
+    stars = scratch.put(groups.filter("node <> centre").select("node", "centre").distinct(), "pairs")
+    stars = stars.join(classes.select("node", "n"), "node").join(classes.select(F.col("node").alias("centre"), F.col("n").alias("centre_n")), "centre")
     fits = F.least("n", "centre_n") * den >= F.greatest("n", "centre_n") * num
-    stars = scratch.put(stars.filter(fits).select("id", "centre"), "stars")
-    sketched = scratch.put(table.select("id", "sketch").join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "sketches")
+    stars = scratch.put(stars.filter(fits).select("node", "centre"), "stars")
+    meeting = members.select("node").distinct().join(classes.select("node", "k1", "k2"), "node")
+    sketched = scratch.put(table.select("k1", "k2", "sketch").dropDuplicates(["k1", "k2"]).join(meeting, ["k1", "k2"]).select("node", "sketch"), "sketches")
+    scratch.drop("members", "centres", "pairs")
 
     def allowed(batches):
         for batch in batches:
             one, two = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             yield batch.select([0, 1]).filter(pa.array([bool(may_link([x], [y], num, den)[0, 0]) for x, y in zip(one, two)], pa.bool_()))
 
-    both = stars.join(sketched, "id").join(sketched.select(F.col("id").alias("centre"), F.col("sketch").alias("centre_sketch")), "centre")
-    hopeful = scratch.put(both.select("id", "centre", "sketch", "centre_sketch").mapInArrow(allowed, f"id {kind}, centre {kind}"), "hopeful")
+    both = stars.join(sketched, "node").join(sketched.select(F.col("node").alias("centre"), F.col("sketch").alias("centre_sketch")), "centre")
+    hopeful = scratch.put(both.select("node", "centre", "sketch", "centre_sketch").mapInArrow(allowed, "node long, centre long"), "hopeful")
+    scratch.drop("stars")
     scratch.settle()
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        """The linked pairs among (id, centre), by products of each centre with its others, at most TILE at a time."""
-        ids = pairs.select("id").union(pairs.select(F.col("centre").alias("id"))).distinct()
-        sets = scratch.put(sets_of(docs, id_col, text_col, ids, shingle).dropDuplicates(["id"]), f"sets-{name}")
+        """The linked pairs among (node, centre), by products of each centre with its others, at most TILE at a time."""
+        nodes = pairs.select("node").union(pairs.select(F.col("centre").alias("node"))).distinct()
+        wanted = scratch.put(classes.join(nodes, "node", "left_semi").select("node", "first", "k1", "k2"), f"wanted-{name}")
+        sets = scratch.put(sets_of(docs, id_col, text_col, wanted, shingle), f"sets-{name}")
         sizes = scratch.put(pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("size")), f"sizes-{name}")
         scratch.settle()
-        salt = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / TILE).cast("long"))
-        sized = pairs.join(sizes, "centre").select("centre", "id", F.struct("centre", salt.alias("salt")).alias("tile"))
-        others = sized.join(sets, "id").select("tile", F.lit(1).alias("side"), "id", F.lit(None).cast(kind).alias("comp"), "row")
-        heads = sized.select("tile", F.col("centre").alias("id")).distinct().join(sets, "id").select("tile", F.lit(0).alias("side"), "id", F.lit(None).cast(kind).alias("comp"), "row")
-        out = scratch.put(_tiles(others.unionByName(heads), kind, num, den), f"links-{name}")
-        scratch.drop(f"sets-{name}", f"sizes-{name}")
+        salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / TILE).cast("long"))
+        sized = pairs.join(sizes, "centre").select("centre", "node", F.struct("centre", salt.alias("salt")).alias("tile"))
+        others = sized.join(sets, "node").select("tile", F.lit(1).alias("side"), "node", F.lit(None).cast("long").alias("comp"), "row")
+        heads = sized.select("tile", F.col("centre").alias("node")).distinct().join(sets, "node").select("tile", F.lit(0).alias("side"), "node", F.lit(None).cast("long").alias("comp"), "row")
+        out = scratch.put(_tiles(others.unionByName(heads), num, den), f"links-{name}")
+        scratch.drop(f"wanted-{name}", f"sets-{name}", f"sizes-{name}")
         scratch.settle()
         return out
 
@@ -335,50 +355,80 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = scratch.put(components(links, scratch, "found"), "found")
 
     # Rows that agree on a block and are in different components still.
-    marked = groups.select("block", "id", "centre").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    marked = groups.join(found, "node", "left").select("block", "node", "centre", F.coalesce("component", "node").alias("comp"))
     marked = scratch.put(marked, "marked")
-    split = scratch.put(marked.groupBy("block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("block"), "split")
-    open_rows = scratch.put(marked.join(split, "block", "left_semi"), "open")
-    counts = scratch.put(open_rows.groupBy("block").agg(F.count(F.lit(1)).alias("n")), "open-sizes")
-    open_rows = open_rows.join(counts, "block")
+    split = scratch.put(marked.groupBy("block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n")).filter("lo < hi").select("block", "n"), "split")
+    open_rows = scratch.put(marked.join(split, "block"), "open")
+    scratch.drop("groups", "found", "marked")
     # Small groups: each distinct list of members is one tile, however many blocks it agrees on.
-    lists = open_rows.filter(F.col("n") <= TILE).groupBy("block").agg(F.sort_array(F.collect_set(F.struct("id", "comp"))).alias("members"))
+    lists = open_rows.filter(F.col("n") <= TILE).groupBy("block").agg(F.sort_array(F.collect_set(F.struct("node", "comp"))).alias("members"))
     lists = lists.select("members").distinct().select(F.struct(F.xxhash64("members").alias("cluster"), F.lit(0).cast("long").alias("part"), F.lit(0).cast("long").alias("part2")).alias("tile"), F.explode("members").alias("m"))
-    small = lists.select("tile", F.lit(-1).alias("side"), "m.id", "m.comp")
-    # Large ones: their rows in clusters that agree on some block, in tiles across components.
-    large = open_rows.filter(F.col("n") > TILE).select("id", "centre", "comp").distinct()
-    cluster = scratch.put(components(large.select(F.col("id").alias("a"), F.col("centre").alias("b")), scratch, "cluster"), "clusters")
-    open_ids = large.select("id", "comp").distinct().join(cluster.withColumnRenamed("node", "id").withColumnRenamed("component", "cluster"), "id")
-    sizes = open_ids.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("n"))
-    pure = sizes.withColumn("whole", F.when(F.col("n") >= TILE, F.col("comp")))
-    mixed = pure.filter("whole is null").groupBy("cluster").agg(F.sum("n").alias("loose"))
-    pure = pure.join(mixed, "cluster", "left")
+    small = lists.select("tile", F.lit(-1).alias("side"), "m.node", "m.comp")
+    # Large ones: each row stands in one part, beside rows with the same least centre; a part is of one component or
+    # of several that are small there. Parts that meet in some block are tiles, but for those of one component.
+    large = scratch.put(open_rows.filter(F.col("n") > TILE).select("block", "node", "centre", "comp"), "large")
+    homes = scratch.put(large.groupBy("node", "comp").agg(F.min("centre").alias("home")), "homes")
+    sizes = homes.groupBy("home", "comp").agg(F.count(F.lit(1)).alias("n")).withColumn("whole", F.when(F.col("n") >= TILE, F.col("comp")))
+    sizes = scratch.put(sizes, "home-sizes")
+    loose = scratch.put(sizes.filter("whole is null").groupBy("home").agg(F.sum("n").alias("loose")), "home-loose")
     parts = F.ceil(F.when(F.col("whole").isNotNull(), F.col("n")).otherwise(F.col("loose")) / TILE).cast("long")
-    share = F.when(F.col("whole").isNotNull(), F.xxhash64("id")).otherwise(F.xxhash64("comp"))
-    placed = open_ids.join(pure.select("cluster", "comp", "whole", parts.alias("parts")), ["cluster", "comp"]).select("cluster", "id", "comp", "whole", F.pmod(share, F.col("parts")).alias("part"))
-    placed = scratch.put(placed.select("cluster", "id", "comp", "whole", F.xxhash64("whole", "part").alias("part")), "placed")
-    blocks = placed.select("cluster", "whole", "part").distinct()
-    other = blocks.select("cluster", F.col("whole").alias("whole2"), F.col("part").alias("part2"))
-    pairs = blocks.join(other, "cluster").filter("part <= part2 and (whole is null or whole2 is null or whole <> whole2)")
-    tile = F.struct(F.xxhash64("cluster").alias("cluster"), "part", "part2").alias("tile")
-    pairs = scratch.put(pairs.select("cluster", "part", "part2"), "tiles")
-    one = placed.join(pairs, ["cluster", "part"]).select(tile, F.when(F.col("part") == F.col("part2"), -1).otherwise(0).alias("side"), "id", "comp")
-    two = placed.withColumnRenamed("part", "part2").join(pairs.filter("part < part2"), ["cluster", "part2"]).select(tile, F.lit(1).alias("side"), "id", "comp")
-    tiled = small.unionByName(one).unionByName(two).join(sketched, "id").select("tile", "side", "id", "comp", F.col("sketch").alias("row"))
-    hopeful = scratch.put(_tiles(tiled, kind, num, den, sketches=True).select(F.greatest("a", "b").alias("id"), F.least("a", "b").alias("centre")).distinct(), "more")
+    share = F.pmod(F.xxhash64("node"), parts)
+    placed = homes.join(sizes.join(loose, "home", "left"), ["home", "comp"])
+    placed = scratch.put(placed.select("node", "comp", "whole", F.xxhash64("home", "whole", share).alias("part")), "placed")
+    blocks = large.select("block", "node").join(placed.select("node", "whole", "part"), "node").select("block", "whole", "part").distinct()
+    blocks = scratch.put(blocks, "blocks")
+    # Blocks with the same parts ask the same; one of them stays.
+    same = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("part").cast("decimal(38,0)")).alias("one"), F.sum(F.xxhash64("part").cast("decimal(38,0)")).alias("two"))
+    asking = scratch.put(same.groupBy("n", "one", "two").agg(F.min("block").alias("block")).select("block"), "asking")
+    blocks = scratch.put(blocks.join(asking, "block"), "asked")
+    other = blocks.select("block", F.col("whole").alias("whole2"), F.col("part").alias("part2"))
+    pairs = blocks.join(other, "block").filter("part <= part2 and (whole is null or whole2 is null or whole <> whole2)")
+    tile = F.struct(F.lit(0).cast("long").alias("cluster"), "part", "part2").alias("tile")
+    pairs = scratch.put(pairs.select("part", "part2").distinct(), "tiles")
+    one = placed.join(pairs, "part").select(tile, F.when(F.col("part") == F.col("part2"), -1).otherwise(0).alias("side"), "node", "comp")
+    two = placed.withColumnRenamed("part", "part2").join(pairs.filter("part < part2"), "part2").select(tile, F.lit(1).alias("side"), "node", "comp")
+    tiled = small.unionByName(one).unionByName(two).join(sketched, "node").select("tile", "side", "node", "comp", F.col("sketch").alias("row"))
+    hopeful = scratch.put(_tiles(tiled, num, den, sketches=True).select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("centre")).distinct(), "more")
+    scratch.drop("split", "open", "large", "homes", "home-sizes", "home-loose", "placed", "blocks", "asking", "asked", "tiles", "sketches")
     more = verified(hopeful, "more")
     final = scratch.put(components(links.union(more), scratch, "final"), "components")
-
-    named = table.select("id", "n", "k1", "k2").join(classes.select("k1", "k2", F.col("id").alias("first")), ["k1", "k2"], "left")
-    result = named.join(final.withColumnRenamed("node", "first"), "first", "left")
-    component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("component", "first", "id"))
-    result = scratch.put(result.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")), "result")
-    scratch.drop("rows", "classes", "met", "members", "centres", "groups", "stars", "sketches", "hopeful", "links-stars", "found", "marked", "split", "open", "open-sizes", "clusters", "placed", "tiles", "more", "links-more", "components")
+    scratch.drop("hopeful", "more", "links-stars", "links-more")
+
+    # Ids come back: a component is named by the least id of its classes.
+    grouped = scratch.put(classes.join(final, "node", "left").select("k1", "k2", "first", F.coalesce("component", "node").alias("group")), "grouped")
+    names = scratch.put(grouped.groupBy("group").agg(F.min("first").alias("name")), "names")
+    grouped = scratch.put(grouped.join(names, "group").select("k1", "k2", "group", "name"), "named")
+    result = table.select("id", "text_key", "n", "k1", "k2").join(grouped, ["k1", "k2"], "left")
+    empty = F.col("n") == 0
+    result = result.select("id", "text_key", "n", F.when(~empty, F.col("group")).alias("group"), F.when(empty, F.col("id")).otherwise(F.coalesce("name", "id")).alias("name"))
+    result = scratch.put(result, "result")
+    scratch.drop("rows", "classes", "components", "grouped", "names", "named")
     return result
 
 
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
+    """(id, n_shingles, component_id): every row with its component under similarity >= num / den."""
+    found = _groups(docs, id_col, text_col, shingle, num, den, Scratch(docs.sparkSession, "ngram-join"))
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("name").alias("component_id"))
+
+
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
-    """The rows that represent their component (its least id), with all their columns."""
-    found = jaccard_components(docs, id_col, text_col, shingle, num, den)
-    gone = found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("__id")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__id"), "left_anti")
+    """One row of each component, with all its columns; rows with an empty set all stay.
+
+    The row has the component's least id (a null one only if there is no
+    other), and of several texts under that id the one with the least hash; of
+    rows that agree in id and text, any one.
+    """
+    scratch = Scratch(docs.sparkSession, "representatives")
+    found = _groups(docs, id_col, text_col, shingle, num, den, scratch).filter("group is not null")
+    own = F.struct(F.col("id").isNull().alias("none"), "id", "text_key")
+    first = scratch.put(found.groupBy("group").agg(F.min(own).alias("stays")), "stays")
+    gone = found.join(first, "group").filter(~own.eqNullSafe(F.col("stays"))).select(F.col("id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    gone = scratch.put(gone, "gone")
+    again = scratch.put(found.groupBy("id", "text_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("id").alias("gone_id"), F.col("text_key").alias("gone_key")), "again")
+    rows = docs.select(F.struct(*[named(docs, c) for c in docs.columns]).alias("row"), named(docs, id_col).alias("id"), F.xxhash64(named(docs, text_col)).alias("text_key"))
+    is_it = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("text_key") == F.col("gone_key"))
+    kept = rows.join(gone, is_it, "left_anti")
+    if not again.isEmpty():
+        kept = kept.join(again, is_it, "left_anti").union(kept.join(again, is_it, "left_semi").groupBy("id", "text_key").agg(F.first("row").alias("row")).select("row", "id", "text_key"))
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
