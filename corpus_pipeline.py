@@ -7,7 +7,6 @@ the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tessera.llm import language_id, line_dedup, ngram_join, packing, toxicity
 from tessera.llm.scratch import Scratch
@@ -25,9 +24,7 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = line_dedup.dedup_lines(docs)
-    size = F.when(F.col("lines_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", size).select(docs.columns)
+    return line_dedup.drop_repeated_runs(docs, size_col="n_chars")
 
 
 def keep_representatives(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
