@@ -16,13 +16,18 @@ is compared whole, all vectors with all, in tiles of ``WHOLE`` by ``WHOLE``.
 
 Every list in the search is bounded, and longer groups are worked off in
 chunks of ``CHUNK`` vectors, so a crowded leaf or a popular neighbour fills no
-task. The search doesn't compare across chunks; the audit finds labels in
-which that loses links.
-
-Defined results: a null label or id, a null or zero vector, or one with null
-or non-finite components links with nothing and is its own component; vectors
-of different lengths never link; of different vectors under one id the least
-counts; repeated rows are vectors of their own, linked with each other.
+task. Chunks are dealt anew in each round, by hash, so a run can be repeated;
+pairs that never share one are what the audit finds labels by.
+
+Nodes are numbers of their own, and ids come in only at the end, so rows that
+share an id are vectors of their own, whatever they hold.
+
+Defined results: a null label, a null or zero vector, or one with null or
+non-finite components links with nothing and is its own component; vectors of
+different lengths never link; repeated rows are vectors of their own, linked
+with each other; a row with a null id links like any other, but a null id
+names a component only if there is no other id in it; ids and labels may have
+any type that can be compared.
 """
 
 from __future__ import annotations
@@ -35,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
-from .scratch import Scratch, ship
+from .scratch import Scratch, named, ship
 
 THRESHOLD = 0.93
 LIST, LEAF, CHUNK, TILE = 8, 48, 96, 256
@@ -72,9 +77,9 @@ def _groups(batches, width: int):
         yield rows
 
 
-def _emit(out, kind, names=("u", "v", "s")):
+def _emit(out):
     u, v, s = zip(*out)
-    return pa.RecordBatch.from_arrays([pa.array(u, kind), pa.array(v, kind), pa.array(s, pa.float32())], names=list(names))
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float32())], names=["u", "v", "s"])
 
 
 def _nearest(ids: list, x: np.ndarray, lists: int) -> list:
@@ -86,8 +91,8 @@ def _nearest(ids: list, x: np.ndarray, lists: int) -> list:
     return [(ids[i], ids[j], float(s[i, j])) for i in range(len(ids)) for j in best[i] if ids[i] != ids[j]]
 
 
-def _local_join(rows: DataFrame, kind: str, arrow_kind: pa.DataType, lists: int) -> DataFrame:
-    """(group, id, x): near pairs within each group."""
+def _local_join(rows: DataFrame, lists: int, turn: int) -> DataFrame:
+    """(group, id, x): near pairs within each group; ``turn`` deals crowded groups into other chunks."""
 
     def run(batches):
         out = []
@@ -96,13 +101,13 @@ def _local_join(rows: DataFrame, kind: str, arrow_kind: pa.DataType, lists: int)
             if len(known) > 1:
                 out += _nearest(list(known), np.stack([np.frombuffer(v, np.float32) for v in known.values()]), lists)
             if len(out) > 50_000:
-                yield _emit(out, arrow_kind)
+                yield _emit(out)
                 out = []
         if out:
-            yield _emit(out, arrow_kind)
+            yield _emit(out)
 
-    placed = rows.repartition("group").sortWithinPartitions("group")
-    return placed.select("group", "id", "x").mapInArrow(run, f"u {kind}, v {kind}, s float")
+    placed = rows.repartition("group").sortWithinPartitions("group", F.xxhash64("id", F.lit(turn)))
+    return placed.select("group", "id", "x").mapInArrow(run, "u long, v long, s float")
 
 
 def _best(edges: DataFrame, lists: int) -> DataFrame:
@@ -112,7 +117,7 @@ def _best(edges: DataFrame, lists: int) -> DataFrame:
     return edges.withColumn("rank", rank).filter(F.col("rank") <= lists).drop("rank")
 
 
-def _trees(nodes: DataFrame, kind: str, arrow_kind: pa.DataType, first: int, count: int, lists: int, scratch: Scratch) -> DataFrame:
+def _trees(nodes: DataFrame, first: int, count: int, lists: int, scratch: Scratch) -> DataFrame:
     """Near pairs within the leaves of ``count`` random-projection trees."""
 
     def codes(batches):
@@ -135,16 +140,16 @@ def _trees(nodes: DataFrame, kind: str, arrow_kind: pa.DataType, first: int, cou
         return cache[dim, tree]
 
     label = nodes.schema["label"].dataType.simpleString()
-    placed = nodes.select("id", "label", "dim", "depth", "x").mapInArrow(codes, f"tree int, label {label}, dim int, code long, id {kind}, x binary")
+    placed = nodes.select("id", "label", "dim", "depth", "x").mapInArrow(codes, f"tree int, label {label}, dim int, code long, id long, x binary")
     leaf = ["tree", "label", "dim", "code"]
     placed = scratch.put(placed, f"leaves-{first}")
     sizes = scratch.put(placed.groupBy(leaf).agg(F.count(F.lit(1)).alias("n")), f"leaf-sizes-{first}")
     share = F.pmod(F.xxhash64("id", "tree"), F.ceil(F.col("n") / CHUNK).cast("long"))
     grouped = placed.join(sizes, leaf).select(F.struct(*leaf, share.alias("share")).alias("group"), "id", "x")
-    return _local_join(grouped, kind, arrow_kind, lists)
+    return _local_join(grouped, lists, first)
 
 
-def _rows_of_tiles(found: DataFrame, nodes: DataFrame, kind: str, arrow_kind: pa.DataType, threshold: float, scratch: Scratch, step: int | str, width: int = TILE) -> DataFrame:
+def _rows_of_tiles(found: DataFrame, nodes: DataFrame, threshold: float, scratch: Scratch, step: int | str, width: int = TILE) -> DataFrame:
     """(id, links, root): by tile, the weight of each node's links, and its component's least node there."""
     size = scratch.put(found.groupBy("component").agg(F.count(F.lit(1)).alias("n")), f"component-sizes-{step}")
     part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / width).cast("long"))
@@ -193,7 +198,7 @@ def _rows_of_tiles(found: DataFrame, nodes: DataFrame, kind: str, arrow_kind: pa
 
         def emit(out):
             i, n, r = zip(*out)
-            return pa.RecordBatch.from_arrays([pa.array(i, arrow_kind), pa.array(n, pa.int64()), pa.array(r, arrow_kind)], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(n, pa.int64()), pa.array(r, pa.int64())], names=names)
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -208,10 +213,10 @@ def _rows_of_tiles(found: DataFrame, nodes: DataFrame, kind: str, arrow_kind: pa
             yield emit(out)
 
     placed = rows.select("tile", "side", "id", "n_copies", "vector").repartition("tile").sortWithinPartitions("tile", "side")
-    return placed.mapInArrow(run, f"id {kind}, links long, root {kind}")
+    return placed.mapInArrow(run, "id long, links long, root long")
 
 
-def _true_links(nodes: DataFrame, kind: str, arrow_kind: pa.DataType, threshold: float) -> DataFrame:
+def _true_links(nodes: DataFrame, threshold: float) -> DataFrame:
     """(id, n): the weight of all links of each audited node, against every vector of its label."""
     parts = F.ceil(F.col("n") / WHOLE).cast("long")
     audited = nodes.filter(F.pmod(F.xxhash64("id", F.lit("audit")), F.ceil(F.col("n") / AUDIT).cast("long")) == 0)
@@ -244,9 +249,9 @@ def _true_links(nodes: DataFrame, kind: str, arrow_kind: pa.DataType, threshold:
             out += product(group)
         if out:
             i, n = zip(*out)
-            yield pa.RecordBatch.from_arrays([pa.array(i, arrow_kind), pa.array(n, pa.int64())], names=["id", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(n, pa.int64())], names=["id", "n"])
 
-    return rows.mapInArrow(run, f"id {kind}, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD) -> DataFrame:
@@ -254,14 +259,13 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     spark = vectors.sparkSession
     ship(spark)
     scratch = Scratch(spark, "nn-descent")
-    kind = vectors.schema[id_col].dataType.simpleString()
-    arrow_kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    source = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).alias("v"))
+    source = vectors.select(named(vectors, id_col).alias("id"), named(vectors, label_col).alias("label"), named(vectors, vector_col).alias("v"))
     number = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    good = source.filter(F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull()).filter(number & F.exists("v", lambda c: c != 0))
-    classes = good.groupBy("label", "v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n_copies"))
-    classes = scratch.put(classes.groupBy("id").agg(F.min(F.struct("label", "v", "n_copies")).alias("c")).select("id", "c.label", "c.v", "c.n_copies"), "classes")
-    per_label = classes.groupBy("label", F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
+    good = source.filter(F.col("label").isNotNull() & F.col("v").isNotNull()).filter(number & F.exists("v", lambda c: c != 0))
+    # ``id`` is a node's number from here on; the table is written, so it stays.
+    classes = good.groupBy("label", "v").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n_copies"))
+    classes = scratch.put(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    per_label = scratch.put(classes.groupBy("label", F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")), "labels")
     deep = F.least(F.lit(40), F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / LEAF)))).cast("int").alias("depth")
     depths = per_label.select("label", "dim", "n", deep)
 
@@ -278,19 +282,19 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                 out32.append(v.astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), batch.column(4), pa.array(out, pa.binary()), pa.array(out32, pa.binary())], names=["id", "label", "n_copies", "dim", "vector", "x"])
 
-    units = classes.select("id", "label", "v", "n_copies", F.size("v").alias("dim")).mapInArrow(unit, f"id {kind}, label {label}, n_copies long, dim int, vector binary, x binary")
+    units = classes.select("id", "label", "v", "n_copies", F.size("v").alias("dim")).mapInArrow(unit, f"id long, label {label}, n_copies long, dim int, vector binary, x binary")
     nodes = scratch.put(units.join(depths, ["label", "dim"]), "nodes")
     depth = nodes.agg(F.coalesce(F.max("depth"), F.lit(0))).first()[0]
     trees = trees_needed(depth, threshold)
     near = F.col("s") >= threshold - 1e-4  # in single precision; the tiles decide in double
 
-    true = _true_links(nodes, kind, arrow_kind, threshold).filter("n > 0").withColumnRenamed("n", "true_links")
+    true = _true_links(nodes, threshold).filter("n > 0").withColumnRenamed("n", "true_links")
     judges = scratch.put(true.join(nodes.select("id", "label", "dim"), "id"), "judges")
     sizes = scratch.put(nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).filter("n > 1"), "label-sizes")
 
     edges, step, used = None, 0, 0
     for _ in range(MOST_SEARCHES):
-        found = _trees(nodes, kind, arrow_kind, used, trees, LIST, scratch)
+        found = _trees(nodes, used, trees, LIST, scratch)
         used += trees
         edges = scratch.put(_best(found if edges is None else edges.union(found), LIST), f"edges-{step}")
         scratch.drop(f"leaves-{used - trees}", f"leaf-sizes-{used - trees}")
@@ -300,7 +304,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             itself = nodes.select(F.col("id").alias("group"), "id")
             joined = both.union(itself).distinct().join(nodes.select("id", "x"), "id")
             step += 1
-            edges = scratch.put(_best(edges.union(_local_join(joined, kind, arrow_kind, LIST)), LIST), f"edges-{step}")
+            edges = scratch.put(_best(edges.union(_local_join(joined, LIST, step)), LIST), f"edges-{step}")
             scratch.drop(f"edges-{step - 1}")
             scratch.settle()
             now = edges.filter(near).count()
@@ -309,7 +313,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                 break
         links = edges.filter(near).select(F.col("u").alias("a"), F.col("v").alias("b"))
         clusters = scratch.put(components(links, scratch, f"c{step}"), f"clusters-{step}")
-        tiles = scratch.put(_rows_of_tiles(clusters, nodes, kind, arrow_kind, threshold, scratch, step), f"tiles-{step}")
+        tiles = scratch.put(_rows_of_tiles(clusters, nodes, threshold, scratch, step), f"tiles-{step}")
         seen = tiles.groupBy("id").agg(F.sum("links").alias("links"))
         recalls = judges.join(seen, "id", "left").withColumn("recall", F.coalesce("links", F.lit(0)) / F.col("true_links"))
         marks = recalls.groupBy("label", "dim").agg(F.avg("recall").alias("recall"), F.count(F.lit(1)).alias("judges"))
@@ -321,7 +325,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     if not weak.isEmpty():
         labels = nodes.select("id", "label", "dim")
         whole = labels.join(weak, ["label", "dim"]).select(F.col("id").alias("node"), F.col("least").alias("component"))
-        exact = _rows_of_tiles(whole, nodes, kind, arrow_kind, threshold, scratch, "whole", WHOLE)
+        exact = _rows_of_tiles(whole, nodes, threshold, scratch, "whole", WHOLE)
         others = tiles.join(labels.join(weak, ["label", "dim"], "left_anti").select("id"), "id", "left_semi")
         tiles = scratch.put(others.select("id", "links", "root").union(exact), "tiles-whole")
     # Over audited nodes that have links; those of labels compared whole count as found.
@@ -329,14 +333,15 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     recall = 1.0 if recall is None else recall
     final = components(tiles.select(F.col("id").alias("a"), F.col("root").alias("b")), scratch, "final")
     weights = tiles.groupBy("id").agg(F.sum("links").alias("links"))
-    named = classes.join(weights, "id", "left").join(final.withColumnRenamed("node", "id"), "id", "left")
-    named = named.select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    named = scratch.put(named, "named")
-    rows = source.join(named, ["label", "v"], "left")
-    named_row = F.col("id").isNotNull()
-    component = F.when(named_row, F.coalesce("component_id", "id"))
-    links = F.when(named_row, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long")
-    result = rows.select(F.col("id").alias(id_col), links.alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), F.lit(float(recall)).alias("audit_recall"))
+    # Ids come back: a component is named by the least id of its vectors.
+    linked = classes.join(weights, "id", "left").join(final.withColumnRenamed("node", "id"), "id", "left")
+    linked = linked.select("label", "v", "first", (F.coalesce("links", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
+    linked = scratch.put(linked, "linked")
+    names = scratch.put(linked.groupBy("component").agg(F.min("first").alias("name")), "names")
+    linked = scratch.put(linked.join(names, "component").select("label", "v", "n_links", "name", F.lit(True).alias("compared")), "named")
+    rows = source.join(linked, ["label", "v"], "left")
+    component = F.when(F.col("compared"), F.col("name")).otherwise(F.col("id"))
+    result = rows.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), F.lit(float(recall)).alias("audit_recall"))
     result = scratch.put(result, "result")
-    scratch.drop("classes", "nodes", "named", f"edges-{step}", f"clusters-{step}", f"tiles-{step}", "tiles-whole", "weak", "judges", "label-sizes")
+    scratch.drop("classes", "labels", "nodes", "linked", "names", "named", f"edges-{step}", f"clusters-{step}", f"tiles-{step}", "tiles-whole", "weak", "judges", "label-sizes")
     return result
