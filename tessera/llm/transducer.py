@@ -32,6 +32,8 @@ from .scratch import ship
 
 #: Entries of the codec's memo: each holds ids and text.
 MEMO_ENTRIES = 350_000
+#: Bytes of a chunk whose tokens are no longer listed at once.
+LONG_CHUNK = 1 << 14
 
 
 def sufficient_lookahead(merges: Iterable[tuple[int, int, int]]) -> int:
@@ -140,6 +142,27 @@ class Transducer:
         last = len(word) - 1
         return list(self.stream(self.words.final[b] if k == last else inner[b] for k, b in enumerate(word)))
 
+    def batches(self, chunk: bytes, size: int = 4096) -> Iterator[list[int]]:
+        """Ids of a chunk of any length, some at a time; beside the chunk itself, memory is constant."""
+        out: list[int] = []
+        for p in self.words.iter_pre_tokens(chunk):
+            if isinstance(p, int):
+                out.append(p)
+            elif len(p) <= 64:
+                out += self.pre_token(p)
+            else:
+                last = len(p) - 1
+                for t in self.stream(self.words.final[b] if k == last else self.words.inner[b] for k, b in enumerate(p)):
+                    out.append(t)
+                    if len(out) >= size:
+                        yield out
+                        out = []
+            if len(out) >= size:
+                yield out
+                out = []
+        if out:
+            yield out
+
     def chunk(self, chunk: bytes) -> list[int]:
         """Ids of a space-separated chunk."""
         out: list[int] = []
@@ -202,23 +225,36 @@ class _Codec:
         def join(parts: list[tuple[int, bytes, bytes]]) -> tuple[int, bytes, bytes]:
             return sum(p[0] for p in parts), b" ".join([p[1] for p in parts]), decoder.joiner.join([p[2] for p in parts])
 
+        self.transducer = transducer
         self.memo = vocab.ChunkMemo(words, part, join, MEMO_ENTRIES)
 
+    def _entries(self, words: list[bytes]) -> Iterator[list[tuple[int, bytes, bytes]]]:
+        """The chunks' entries, in parts; a long chunk's in many, as its tokens become stable."""
+        if max(map(len, words), default=0) <= LONG_CHUNK:
+            yield [e for e in map(self.memo.__getitem__, words) if e[0]]
+            return
+        for chunk in words:
+            if len(chunk) <= LONG_CHUNK:
+                yield [e for e in (self.memo[chunk],) if e[0]]
+            else:
+                for ids in self.transducer.batches(chunk):
+                    yield [(len(ids), b" ".join([b"%d" % i for i in ids]), self.decoder.joiner.join([self.decoder.bytes[i] for i in ids]))]
+
     def digest(self, text: bytes | None) -> tuple[int, str, str]:
         """(tokens, sha256 of the ids, sha256 of the decoded text), in slices of the text."""
         n, ids_sha, text_sha = 0, hashlib.sha256(), hashlib.sha256()
         begun = False
         for words in vocab.pieces_of(text or b""):
-            entries = [e for e in map(self.memo.__getitem__, words) if e[0]]
-            if not entries:
-                continue
-            counts, ids, data = zip(*entries)
-            n += sum(counts)
-            if begun:
-                ids_sha.update(b" ")
-            ids_sha.update(b" ".join(ids))
-            text_sha.update(self.decoder.feed_bytes(b" ".join(data)).encode())
-            begun = True
+            for entries in self._entries(words):
+                if not entries:
+                    continue
+                counts, ids, data = zip(*entries)
+                n += sum(counts)
+                if begun:
+                    ids_sha.update(b" ")
+                ids_sha.update(b" ".join(ids))
+                text_sha.update(self.decoder.feed_bytes(b" ".join(data)).encode())
+                begun = True
         text_sha.update(self.decoder.finish().encode())
         return n, ids_sha.hexdigest(), text_sha.hexdigest()
 
@@ -229,8 +265,9 @@ _codecs: dict[str, _Codec] = {}
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) per row: encoded and decoded in one pass, without a shuffle.
 
-    Null text counts as empty (no tokens, digests of nothing); any text length
-    works in bounded memory; repeated rows give repeated results.
+    Null text counts as empty (no tokens, digests of nothing); a text of any
+    length, blanks or not, needs little memory beside itself; repeated rows
+    give repeated results.
     """
     ship(docs.sparkSession)
     path = path or vocab.vocabulary_path()

@@ -73,16 +73,24 @@ class WordVocabulary:
                 return [low]
             if self.ascii_splits and b"<|" not in low:
                 return ASCII_PATTERN.findall(low)
+        return list(self.iter_pre_tokens(chunk))
+
+    def iter_pre_tokens(self, chunk: bytes):
+        """As ``pre_tokens``, one by one: of a long chunk no list is made."""
         text = chunk.decode("utf-8", "replace")
         if self.special_pattern is None or "<|" not in text:
-            return [p.encode() for p in self.pattern.findall(self.normalise(text))]
-        out: list[bytes | int] = []
-        for part in self.special_pattern.split(text):
-            if part in self.specials:
-                out.append(self.specials[part])
-            elif part:
-                out += [p.encode() for p in self.pattern.findall(self.normalise(part))]
-        return out
+            for p in self.pattern.finditer(self.normalise(text)):
+                yield p.group().encode()
+            return
+        at = 0
+        for special in [*self.special_pattern.finditer(text), None]:
+            part = text[at : special.start()] if special else text[at:]
+            if part:
+                for p in self.pattern.finditer(self.normalise(part)):
+                    yield p.group().encode()
+            if special:
+                yield self.specials[special.group()]
+                at = special.end()
 
 
 _loaded: dict[str, WordVocabulary] = {}
@@ -111,22 +119,23 @@ def library(path: str):
     return _library[path]
 
 
+_BLANK = re.compile(rb"[\t-\r ]")
+
+
 def pieces_of(text: bytes, limit: int = 1 << 20):
-    """Lists of a text's space-separated chunks, from slices of about ``limit`` bytes, so a very long text needs little memory."""
+    """Lists of a text's space-separated chunks, from slices of ``limit`` bytes that go on to the next white space.
+
+    Linear in the text: a chunk that is longer than the limit is a slice of its own.
+    """
     if len(text) <= limit:
         yield text.split()
         return
-    at, rest = 0, b""
+    at = 0
     while at < len(text):
-        part = rest + text[at : at + limit]
-        at += limit
-        words = part.split()
-        rest = b""
-        if words and at < len(text) and not part[-1:].isspace():
-            rest = words.pop()
-        yield words
-    if rest:
-        yield [rest]
+        gap = _BLANK.search(text, at + limit)
+        end = gap.start() if gap else len(text)
+        yield text[at:end].split()
+        at = end
 
 
 class ChunkMemo(dict):
