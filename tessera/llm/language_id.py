@@ -11,18 +11,23 @@ Texts are scored in one pass without a shuffle: a space-separated chunk has a
 row of log probabilities that is computed once for each worker and summed by
 document, however long the document is.
 
-Defined results: null text, or one without a letter, is ``und`` with score 0;
+Words of any length are scored whole. Those of up to ``LONGEST`` letters go
+through the lattice many at a time; a longer one goes letter by letter, its
+sums kept in logarithms over a window as long as the longest piece.
+
+Defined results: null text, or one without a letter (Unicode category L), is
+``und`` with score 0;
 rows with null text or language teach nothing, and with no teaching rows every
 text is ``und``; repeated rows count as often as they occur.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,19 +39,21 @@ FOLDS, TEST_FOLD = 5, 0
 SAMPLE = 400
 UNDETERMINED = "und"
 ROUNDS = 3
-#: Words are cut after this many letters, so that probabilities stay in range.
-LONGEST = 60
+#: Letters of the words that share a lattice: their sums stay in range, and the lattice small.
+LONGEST = 40
 _SCALE = 30.0
 _UNKNOWN = 1e-7
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
+#: Bytes of chunks and words that a worker remembers.
+MEMO_BYTES = 48 << 20
 
 
 def words_of(chunk: bytes) -> list[str]:
     """Lower-case letter runs of a chunk."""
-    out = []
-    for w in _LETTERS.findall(chunk.decode("utf-8", "replace").lower()):
-        out += [w] if len(w) <= LONGEST else [w[i : i + LONGEST] for i in range(0, len(w), LONGEST)]
-    return out
+    low = chunk.lower()
+    if low.isalpha():
+        return [low.decode()]
+    return _LETTERS.findall(chunk.decode("utf-8", "replace").lower())
 
 
 _pieces: dict[str, dict[str, int]] = {}
@@ -121,19 +128,66 @@ class Lattice:
         return np.bincount(self.piece, weights=alpha[self.begin, self.word] * value * beta[self.end, self.word] * share[self.word], minlength=len(p))
 
 
+def _ends(word: str, pieces: dict[str, int], longest: int):
+    """(end, [(begin, piece)]) for each letter of a word, the unknown piece for letters that are none."""
+    unknown, get = len(pieces), pieces.get
+    for j in range(1, len(word) + 1):
+        found = []
+        for i in range(max(0, j - longest), j):
+            p = get(word[i:j] if i else "▁" + word[:j])
+            if p is not None:
+                found.append((i, p))
+            elif i == j - 1:
+                found.append((i, unknown))
+        yield j, found
+
+
+def long_word(word: str, table: np.ndarray, pieces: dict[str, int], longest: int) -> np.ndarray:
+    """Log probabilities of a word of any length, one for each column of ``table``; memory as for its longest piece."""
+    size = longest + 1
+    logs = np.zeros((size, table.shape[1]))
+    n = 0
+    for n, found in _ends(word, pieces, longest):
+        parts = np.stack([logs[i % size] for i, _ in found]) + np.log(table[[p for _, p in found]])
+        top = parts.max(0)
+        logs[n % size] = top + np.log(np.exp(parts - top).sum(0))
+    return logs[n % size].copy()
+
+
+def long_expected(word: str, p: np.ndarray, pieces: dict[str, int], longest: int) -> np.ndarray:
+    """Expected piece counts of one word of any length."""
+    logs, edges = np.zeros(len(word) + 1), []
+    for j, found in _ends(word, pieces, longest):
+        i, q = (np.array(x) for x in zip(*found))
+        parts = logs[i] + np.log(p[q])
+        top = parts.max()
+        logs[j] = top + np.log(np.exp(parts - top).sum())
+        edges.append((j, i, q, parts - logs[j]))  # the share of the sum at j that comes over each edge
+    out, reach = np.zeros(len(p)), np.zeros(len(word) + 1)
+    reach[len(word)] = 1  # the expected number of piece ends at each letter
+    for j, i, q, share in reversed(edges):
+        flow = reach[j] * np.exp(share)
+        np.add.at(reach, i, flow)
+        np.add.at(out, q, flow)
+    return out
+
+
 def learn(counts: dict[str, dict[str, int]], pieces: dict[str, int], rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
     """(languages, pieces + 1 by languages) probabilities from word counts by language."""
     languages = sorted(counts)
     longest = max((len(p) for p in pieces), default=1)
     table = np.full((len(pieces) + 1, len(languages)), _UNKNOWN)
     for k, language in enumerate(languages):
-        words = sorted(counts[language])
+        words = sorted(w for w in counts[language] if len(w) <= LONGEST)
+        rest = sorted(w for w in counts[language] if len(w) > LONGEST)
         weight = np.array([counts[language][w] for w in words], np.float64)
         p = np.full(len(pieces) + 1, 1 / (len(pieces) + 1))
         p[-1] = _UNKNOWN
         parts = [(Lattice(words[i : i + 20_000], pieces, longest), weight[i : i + 20_000]) for i in range(0, len(words), 20_000)]
         for _ in range(rounds):
             got = sum((lattice.expected(p, w) for lattice, w in parts), np.zeros(len(p)))
+            for w in rest:
+                got += counts[language][w] * long_expected(w, p, pieces, longest)
             p = (got + 0.01) / (got.sum() + 0.01 * len(p))
             p[-1] = _UNKNOWN
         table[:, k] = p
@@ -153,6 +207,7 @@ class _Scorer(dict):
     def clear(self) -> None:
         super().clear()
         self.words.clear()
+        self.held = 0
         self.new: list[bytes] = []
         self.of_words = np.zeros((0, self.table.shape[1]))
         self.of_chunks = np.zeros((0, self.table.shape[1] + 1))
@@ -160,6 +215,7 @@ class _Scorer(dict):
     def __missing__(self, chunk: bytes) -> int:
         self[chunk] = k = len(self)
         self.new.append(chunk)
+        self.held += len(chunk)
         return k
 
     def rows(self) -> np.ndarray:
@@ -175,8 +231,14 @@ class _Scorer(dict):
                     owner.append(k)
                     place.append(at)
             if fresh:
-                lattice = Lattice(fresh, self.pieces, self.longest)
-                self.of_words = np.concatenate([self.of_words, np.stack([lattice.log_probability(self.table[:, c]) for c in range(self.table.shape[1])], 1)])
+                short = np.array([len(w) <= LONGEST for w in fresh])
+                got = np.empty((len(fresh), self.table.shape[1]))
+                lattice = Lattice([w for w, s in zip(fresh, short) if s], self.pieces, self.longest)
+                for c in range(self.table.shape[1] if short.any() else 0):
+                    got[short, c] = lattice.log_probability(self.table[:, c])
+                for k in np.flatnonzero(~short):
+                    got[k] = long_word(fresh[k], self.table, self.pieces, self.longest)
+                self.of_words = np.concatenate([self.of_words, got])
             got = np.zeros((len(self.new), self.table.shape[1] + 1))
             if owner:
                 for c in range(self.table.shape[1]):
@@ -201,7 +263,7 @@ def _sums(texts: list[bytes], scorer: _Scorer) -> np.ndarray:
         np.add.at(out, rows, sums)
         held.clear()
         rows.clear()
-        if len(scorer) >= vocab.MEMO_ENTRIES:
+        if len(scorer) >= vocab.MEMO_ENTRIES or scorer.held >= MEMO_BYTES:
             scorer.clear()
 
     size = 0
@@ -211,7 +273,7 @@ def _sums(texts: list[bytes], scorer: _Scorer) -> np.ndarray:
                 held.append(np.fromiter(map(scorer.__getitem__, words), np.int64, len(words)))
                 rows.append(k)
                 size += len(words)
-            if size >= 400_000:
+            if size >= 400_000 or scorer.held >= MEMO_BYTES:
                 flush()
                 size = 0
     if held:
