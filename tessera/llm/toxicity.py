@@ -12,7 +12,8 @@ document is then scored in one pass without a shuffle, over its whole text.
 Defined results: null text is empty and, like any text without a word, has no
 features, so its probabilities are the models' base rates; unlabelled rows and
 null labels teach nothing; without any labelled row all probabilities are 0;
-repeated rows give repeated results.
+repeated rows give repeated results; of several texts under one labelled id
+the least teaches.
 """
 
 from __future__ import annotations
@@ -147,6 +148,7 @@ def teach(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, catego
     known = labels.select(F.col(id_col).alias("__id"), *[c.cast("double").alias(n) for n, c in categories.items()]).dropna()
     drawn = known.orderBy(F.xxhash64("__id"), *names).limit(sample)
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(drawn), "__id")  # at most ``sample`` small rows
+    rows = rows.groupBy("__id", *names).agg(F.min("__text").alias("__text"))  # and no more come of it, however often an id occurs
     # The sample is small and read several times, so the documents are scanned for it once.
     scratch = Scratch(docs.sparkSession, "toxicity")
     rows = scratch.put(rows.select("__id", "__text", *names), "sample")
