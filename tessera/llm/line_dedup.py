@@ -128,7 +128,8 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, noise: int, guarantee: int
     found = repeated_runs(docs, id_col, text_col, noise, guarantee)
     cuts = found.groupBy("doc", "text_key").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("cuts"))
     rows = docs.select(F.struct(*[named(docs, c) for c in docs.columns]).alias("row"), named(docs, id_col).alias("id"), named(docs, text_col).alias("text"))
-    kept = rows.join(cuts, F.col("id").eqNullSafe(F.col("doc")) & (_key(F.col("text")) == F.col("text_key")), "left")
+    # The cuts grow with the input, so the plan is the one for large inputs at every size.
+    kept = rows.join(cuts.hint("merge"), F.col("id").eqNullSafe(F.col("doc")) & (_key(F.col("text")) == F.col("text_key")), "left")
     n_cuts = F.size("cuts")
     # Slices between the cuts: linear in the lines, also for very long texts.
     start = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.try_element_at("cuts", k)["last"] + 1)
