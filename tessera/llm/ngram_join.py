@@ -428,7 +428,8 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     again = scratch.put(found.groupBy("id", "text_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("id").alias("gone_id"), F.col("text_key").alias("gone_key")), "again")
     rows = docs.select(F.struct(*[named(docs, c) for c in docs.columns]).alias("row"), named(docs, id_col).alias("id"), F.xxhash64(named(docs, text_col)).alias("text_key"))
     is_it = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("text_key") == F.col("gone_key"))
-    kept = rows.join(gone, is_it, "left_anti")
+    # What goes grows with the input, so the plan is the one for large inputs at every size.
+    kept = rows.join(gone.hint("merge"), is_it, "left_anti")
     if not again.isEmpty():
         kept = kept.join(again, is_it, "left_anti").union(kept.join(again, is_it, "left_semi").groupBy("id", "text_key").agg(F.first("row").alias("row")).select("row", "id", "text_key"))
     return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
