@@ -1,12 +1,17 @@
 """Texts as lossless WebP files, many at a time.
 
 A text's payload is an RGB image 64 pixels wide; more than ``TILE_ROWS`` rows
-make several frames of an animation, so that no image is long. The images of a
-batch are encoded and decoded together, all at the same pixel: prefix codes
-are built and read as arrays over images, and back-references copy whole runs.
-The decoder for many images reads streams without transforms, groups or cache
-whose codes have at most ``LIMIT`` bits, which is what the encoder here
-writes; any other stream goes to the complete decoder in ``webp``.
+make several frames of an animation, so that no image is long. For each image
+the encoder picks what promises the fewest bits: no transform, subtract-green,
+a predictor (left or top), cross-colour, or a palette with bundled pixels; and
+a colour cache or none. Back-references copy periodic stretches.
+
+The images of a batch are encoded and decoded together, all at the same pixel:
+prefix codes are built and read as arrays over images, each image has a row of
+the colour caches, back-references copy whole runs, and the transforms are
+undone image by image as array operations. Streams with several prefix-code
+groups, an alpha channel, or codes of more than ``LIMIT`` bits go to the
+complete decoder in ``webp``; the encoder here writes none.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import webp
-from .scratch import ship
+from .scratch import Scratch, ship
 
 UNIT, WIDTH = 192, 64
 TILE_ROWS = 64
@@ -28,9 +33,17 @@ BATCH_BYTES = 1 << 20
 #: A tile counts as at least so many samples: its codes take memory, too.
 LEAST_TILE = 2048
 LIMIT = 11
+#: Bytes of files that a writer of the stored table holds.
+ROW_GROUP = 16 << 20
 #: Back-references: distances in pixels that are tried, and the least run.
 DISTANCES, LEAST_RUN, LONGEST_RUN = 24, 24, 4096
-_GREEN = 256 + webp.LENGTH_SYMBOLS
+#: Bits of a colour cache's slots.
+CACHE = 6
+_SLOTS = 256 + webp.LENGTH_SYMBOLS
+_GREEN = _SLOTS + (1 << CACHE)
+#: Transforms that an image may get, in the order of the estimates; and what a transform's head takes.
+PLAIN, GREEN, LEFT, TOP, CROSS = range(5)
+_HEAD_BITS = 72
 _REVERSED = np.array([webp.reverse(i, LIMIT) for i in range(1 << LIMIT)], np.uint16)
 _NIBBLE = np.array([webp.reverse(i, 4) for i in range(16)], np.uint8)
 #: Code lengths of code lengths: each of 0 to 15 in four bits, no repeats.
@@ -128,20 +141,134 @@ def _pack(values: np.ndarray, sizes: np.ndarray, at: np.ndarray, n_bytes: int) -
     return words.view(np.uint8)
 
 
+def _entropy(owner: np.ndarray, symbols: list[np.ndarray], n: int, width: int) -> np.ndarray:
+    """Bits of each image's symbols under the best codes of their own."""
+    total = np.zeros(n)
+    for s in symbols:
+        c = np.bincount(owner * width + s, minlength=n * width).reshape(n, width)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            total += np.where(c > 0, c * np.log2(c.sum(1, keepdims=True) / c), 0).sum(1)
+    return total
+
+
+def _form(raw: np.ndarray, place: np.ndarray, at: np.ndarray, kind: int) -> np.ndarray:
+    """Channels of the pixels ``at`` under a transform; ``place`` counts pixels within the image."""
+    own = raw[at]
+    r, g, b = own[:, 0], own[:, 1], own[:, 2]
+    if kind == PLAIN:
+        return own
+    if kind == GREEN:
+        return np.stack([r - g, g, b - g], 1)
+    if kind == CROSS:
+        return np.stack([r - g, g, b - r], 1)
+    where = place[at]
+    back = np.where(where % WIDTH == 0, WIDTH, 1) if kind == LEFT else np.where(where < WIDTH, 1, WIDTH)
+    guess = raw[np.maximum(at - back, 0)]
+    guess[where == 0] = 0
+    return own - guess
+
+
+def _section(kind: int) -> tuple[int, int]:
+    """(bits, their number) that announce a transform."""
+    out = webp.BitWriter()
+    if kind != PLAIN:
+        out.write(1, 1)
+        out.write({GREEN: webp.SUBTRACT_GREEN, LEFT: webp.PREDICTOR, TOP: webp.PREDICTOR, CROSS: webp.CROSS_COLOUR}[kind], 2)
+    if kind in (LEFT, TOP, CROSS):
+        out.write(7, 3)  # one block of 512 by 512 pixels, whose pixel holds the mode or the factors
+        pixel = {LEFT: 0xFF000100, TOP: 0xFF000200, CROSS: 0xFF200020}[kind]
+        webp._write_pixels(out, np.array([[pixel]], np.uint32), False)
+    return int.from_bytes(b"".join(out.parts) + out.value.to_bytes(out.size // 8 + 1, "little"), "little"), out.size + 8 * sum(map(len, out.parts))
+
+
+_SECTIONS = [_section(k) for k in range(5)]
+
+
+def _bundled(pixels: np.ndarray) -> tuple[np.ndarray, int, tuple[int, int]] | None:
+    """(bundled green values, width, bits that announce the palette) of an image with up to 16 colours, else None."""
+    colours, index = np.unique(pixels, return_inverse=True)
+    if len(colours) > 16:
+        return None
+    n = webp._bundle_bits(len(colours))
+    out = webp.BitWriter()
+    out.write(1, 1)
+    out.write(webp.PALETTE, 2)
+    out.write(len(colours) - 1, 8)
+    steps = np.diff(webp._channels(colours | np.uint32(0xFF000000)), axis=0, prepend=0)
+    webp._write_pixels(out, webp._joined(steps)[None, :], False)
+    each = 8 >> n
+    shift = (np.arange(WIDTH) & (1 << n) - 1) * each
+    packed = (index.reshape(-1, WIDTH) << shift).reshape(-1, WIDTH >> n, 1 << n).sum(2)
+    section = int.from_bytes(b"".join(out.parts) + out.value.to_bytes(out.size // 8 + 1, "little"), "little"), out.size + 8 * sum(map(len, out.parts))
+    return packed.reshape(-1).astype(np.uint8), WIDTH >> n, section
+
+
 def encode_tiles(tiles: list[bytes]) -> list[bytes]:
     """VP8L data of each tile (a positive multiple of 192 bytes)."""
     n = len(tiles)
     raw = np.frombuffer(b"".join(tiles), np.uint8).reshape(-1, 3)
     size = np.array([len(t) // 3 for t in tiles], np.int64)
+    height = size // WIDTH
     image = np.repeat(np.arange(n, dtype=np.int32), size)
-    pixels = raw[:, 0].astype(np.uint32) << 16 | raw[:, 1].astype(np.uint32) << 8 | raw[:, 2]
+    begin = np.cumsum(size) - size
+    place = np.arange(len(raw)) - np.repeat(begin, size)
+    # The estimates look at every fourth pixel; the choice changes the size of a file, never what it decodes to.
+    probe = np.flatnonzero(place % 4 == (place // WIDTH) % 4)
+    shown, times = image[probe], 4.0
+    cost = np.empty((5, n))
+    for k in range(5):
+        f = _form(raw, place, probe, k)
+        cost[k] = times * _entropy(shown, [f[:, 0], f[:, 1], f[:, 2]], n, 256) + (k > PLAIN) * _HEAD_BITS
+    kind = cost.argmin(0)
+    if kind.any():
+        coded = raw.copy()
+        for k in range(1, 5):
+            at = np.flatnonzero(kind[image] == k)
+            coded[at] = _form(raw, place, at, k)
+        raw = coded
+    sections = [_SECTIONS[k] for k in kind]
+    alpha = np.where((kind == LEFT) | (kind == TOP), 0, 255)
+    width = np.full(n, WIDTH)
+    # Few colours: pixels are bundled.
+    found = {}
+    colours_of = lambda k: np.frombuffer(tiles[k], np.uint8).reshape(-1, 3)
+    for k in np.flatnonzero(cost.min(0) < 6.0 * size):
+        c = colours_of(k).astype(np.uint32)
+        got = _bundled(c[:, 0] << 16 | c[:, 1] << 8 | c[:, 2])
+        if got is not None and got[2][1] + len(got[0]) * 8 < cost.min(0)[k]:
+            found[int(k)] = got
+    if found:
+        parts, at = [], 0
+        for k in sorted(found):
+            packed, w, section = found[k]
+            parts.append(raw[at : begin[k]])
+            parts.append(np.stack([np.zeros_like(packed), packed, np.zeros_like(packed)], 1))
+            at = int(begin[k] + size[k])
+            size[k], width[k], alpha[k], sections[k] = len(packed), w, 255, section
+        raw = np.concatenate([*parts, raw[at:]])
+        image = np.repeat(np.arange(n, dtype=np.int32), size)
+    pixels = raw[:, 0].astype(np.uint32) << 16 | raw[:, 1].astype(np.uint32) << 8 | raw[:, 2] | alpha.astype(np.uint32)[image] << np.uint32(24)
     literal = np.ones(len(pixels), bool)
     heads, copies = np.zeros(len(pixels), bool), _runs(pixels, image)
     for start, length, _ in copies:
         literal[start : start + length] = False
         heads[start] = True
+    # What a cache would hold at each pixel: the last one before it in its slot.
+    slot = (np.uint32(webp.CACHE_FACTOR) * pixels) >> np.uint32(32 - CACHE)
+    key = image.astype(np.uint32) << np.uint32(CACHE) | slot
+    order = np.argsort(key.astype(np.uint16) if n <= 1 << 16 - CACHE else key, kind="stable")
+    hit = np.zeros(len(pixels), bool)
+    hit[order[1:]] = (key[order[1:]] == key[order[:-1]]) & (pixels[order[1:]] == pixels[order[:-1]])
+    some = np.flatnonzero(literal)
+    owner = image[some]
+    without = _entropy(owner, [raw[some, 1], raw[some, 0], raw[some, 2]], n, 256)
+    missed = some[~hit[some]]
+    green = np.where(hit[some], slot[some].astype(np.int64) + 256, raw[some, 1])
+    within = _entropy(owner, [green], n, 256 + (1 << CACHE)) + _entropy(image[missed], [raw[missed, 0], raw[missed, 2]], n, 256) + (4 << CACHE)
+    cached = within < without
+    hit &= literal & cached[image]
     token = np.flatnonzero(literal | heads)
-    is_copy = heads[token]
+    is_copy, is_hit = heads[token], hit[token]
     owner = image[token].astype(np.int64)
     copy_fields = [(webp.copy_symbol(length), webp.copy_symbol(d + len(webp.NEIGHBOURS))) for _, length, d in copies]
     symbols = [raw[token, 1].astype(np.int64), raw[token, 0].astype(np.int64), raw[token, 2].astype(np.int64), np.zeros(len(token), np.int64)]
@@ -153,9 +280,11 @@ def encode_tiles(tiles: list[bytes]) -> list[bytes]:
         for j in range(2):
             extra[j, where] = [f[j][1] for f in copy_fields]
             extra_size[j, where] = [f[j][2] for f in copy_fields]
+    symbols[0][is_hit] = _SLOTS + slot[token[is_hit]].astype(np.int64)
     counts = np.zeros((n, 4, _GREEN), np.int64)
+    plain = ~is_copy & ~is_hit
     for c in range(4):
-        part = np.ones(len(token), bool) if c == 0 else is_copy if c == 3 else ~is_copy
+        part = np.ones(len(token), bool) if c == 0 else is_copy if c == 3 else plain
         counts[:, c] = np.bincount(owner[part] * _GREEN + symbols[c][part], minlength=n * _GREEN).reshape(n, _GREEN)
     counts = counts.reshape(-1, _GREEN)
     lengths = code_lengths(counts)
@@ -163,16 +292,18 @@ def encode_tiles(tiles: list[bytes]) -> list[bytes]:
     stream_code = codes(lengths)
     stream_size = np.where(lone[:, None], 0, lengths)
 
-    # The head of each stream: sizes, flags, then the five codes.
-    nothing = lambda k=1: np.zeros((n, k), np.int64)
-    field = lambda v, k: (np.broadcast_to(np.asarray(v, np.int64), (n,))[:, None], np.full((n, 1), k))
-    parts = [field(0x2F, 8), field(WIDTH - 1, 14), field(size // WIDTH - 1, 14), field(0, 1 + 3), field(0, 1 + 1 + 1)]
+    # The head of each stream: sizes, transforms, flags, then the five codes.
+    field = lambda v, k: (np.broadcast_to(np.asarray(v, np.int64), (n,))[:, None], np.broadcast_to(np.asarray(k, np.int64), (n,))[:, None])
+    parts = [field(0x2F, 8), field(WIDTH - 1, 14), field(height - 1, 14), field(0, 1 + 3)]
+    for at in range(0, max(k for _, k in sections), 32):
+        parts.append(field([v >> at & 0xFFFFFFFF for v, _ in sections], [min(32, max(0, k - at)) for _, k in sections]))
+    parts += [field(0, 1), field(np.where(cached, 1 | CACHE << 1, 0), np.where(cached, 5, 1)), field(0, 1)]
     of = lengths.reshape(n, 4, _GREEN)
     single, which = lone.reshape(n, 4), counts.reshape(n, 4, _GREEN).argmax(2)
     last = _GREEN - np.argmax(of[:, :, ::-1] > 0, 2)
     for c in (0, 1, 2, None, 3):
         if c is None:
-            parts.append(field(0b101 | 255 << 3, 11))  # alpha: the lone symbol 255
+            parts.append(field(0b101 | alpha << 3, 11))  # alpha: a lone symbol
             continue
         one = single[:, c]
         parts.append((np.where(one, 0b101 | which[:, c] << 3, 15 << 1)[:, None], np.where(one, 11, 5)[:, None]))
@@ -183,16 +314,15 @@ def encode_tiles(tiles: list[bytes]) -> list[bytes]:
         listed = (np.arange(alphabet)[None, :] < last[:, c, None]) & ~one[:, None]
         parts.append((np.where(listed, _NIBBLE[of[:, c, :alphabet]], 0), np.where(listed, 4, 0)))
     head, head_size = (np.concatenate(x, 1) for x in zip(*parts))
-    del nothing
 
     rows = [owner * 4 + c for c in range(4)]
     got = [stream_code[rows[c], symbols[c]] for c in range(4)]
     bits = [stream_size[rows[c], symbols[c]] for c in range(4)]
     # A literal is green, red, blue; a copy is length, its extra bits, distance, its extra bits.
-    second = np.where(is_copy, extra[0], got[1])
-    second_size = np.where(is_copy, extra_size[0], bits[1])
-    third = np.where(is_copy, got[3], got[2])
-    third_size = np.where(is_copy, bits[3], bits[2])
+    second = np.where(is_copy, extra[0], np.where(is_hit, 0, got[1]))
+    second_size = np.where(is_copy, extra_size[0], np.where(is_hit, 0, bits[1]))
+    third = np.where(is_copy, got[3], np.where(is_hit, 0, got[2]))
+    third_size = np.where(is_copy, bits[3], np.where(is_hit, 0, bits[2]))
     shift = bits[0] + second_size
     body = got[0] | second << bits[0] | third << shift | extra[1] << (shift + third_size)
     body_size = shift + third_size + extra_size[1]
@@ -238,34 +368,42 @@ def decode_tiles(data: list[bytes]) -> list[bytes]:
     lengths = np.zeros((n, 4, _GREEN), np.uint8)
     lone = np.zeros((n, 4), bool)
     position, size, plain = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool)
+    width, cache, alpha = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.uint32)
+    heads = []
     for k, stream in enumerate(data):
         bits = webp.Bits(stream)
-        if bits.read(8) != 0x2F:
-            raise ValueError("no VP8L signature")
-        width, height = bits.read(14) + 1, bits.read(14) + 1
-        if width != WIDTH or bits.read(4 + 3):  # alpha, version, transform, cache, groups
+        head = webp.read_head(bits)
+        heads.append(head)
+        cache[k] = bits.read(4) if bits.read(1) else 0
+        if head[2] or cache[k] > CACHE or bits.read(1):  # alpha, a large cache, groups
             continue
         for c in (0, 1, 2, None, 3):
             if c is None:
-                if bits.read(11) != 0b101 | 255 << 3:
+                used = webp.read_lengths(bits, 256)
+                if sum(u > 0 for u in used) > 1:
                     break
+                alpha[k] = np.argmax(used)
             else:
-                lone[k, c] = _lengths_of(bits, webp.DISTANCE_SYMBOLS if c == 3 else _GREEN if c == 0 else 256, lengths[k, c])
+                lone[k, c] = _lengths_of(bits, webp.DISTANCE_SYMBOLS if c == 3 else _SLOTS + (1 << cache[k] if cache[k] else 0) if c == 0 else 256, lengths[k, c])
         else:
             plain[k] = int(lengths[k].max()) <= LIMIT
-            position[k], size[k] = bits.at, width * height
+            position[k], width[k], size[k] = bits.at, head[4], head[4] * head[1]
     out: list[bytes] = [b""] * n
     for k in np.flatnonzero(~plain):
-        p = webp.decode_stream(data[k])
-        out[k] = np.stack([p >> 16 & 0xFF, p >> 8 & 0xFF, p & 0xFF], -1).astype(np.uint8).tobytes()
+        out[k] = _rgb(webp.decode_stream(data[k]))
     order = np.flatnonzero(plain)
     order = order[np.argsort(-size[order], kind="stable")]
     if len(order):
-        for k, rgb in zip(order, _decode_plain([data[k] for k in order], lengths[order], lone[order], position[order], size[order])):
-            out[k] = rgb
+        for k, pixels in zip(order, _decode_plain([data[k] for k in order], lengths[order], lone[order], position[order], size[order], width[order], cache[order], alpha[order])):
+            undo, w = heads[k][3], int(width[k])
+            out[k] = _rgb(webp.undo_transforms(pixels.reshape(-1, w), undo) if undo else pixels)
     return out
 
 
+def _rgb(p: np.ndarray) -> bytes:
+    return np.ascontiguousarray(p.reshape(-1).astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:]).tobytes()
+
+
 def _tables(lengths: np.ndarray, lone: np.ndarray) -> np.ndarray:
     """(rows, 2**LIMIT) of symbol * 16 + bits, by the next bits as they stand."""
     rows = len(lengths)
@@ -284,7 +422,7 @@ def _tables(lengths: np.ndarray, lone: np.ndarray) -> np.ndarray:
     return table[:, _REVERSED]
 
 
-def _decode_plain(data, lengths, lone, position, size) -> list[bytes]:
+def _decode_plain(data, lengths, lone, position, size, width, cache, alpha) -> list[np.ndarray]:
     n = len(data)
     sizes = np.array([len(d) for d in data], np.int64)
     begin = np.cumsum(sizes) - sizes
@@ -295,10 +433,15 @@ def _decode_plain(data, lengths, lone, position, size) -> list[bytes]:
     table = [_tables(lengths[:, c], lone[:, c]).reshape(-1) for c in range(4)]
     at = begin * 8 + position
     first = np.cumsum(size) - size
-    rgb = np.zeros((int(size.sum()), 3), np.uint8)
+    pixels = np.zeros(int(size.sum()), np.uint32)
     done = np.zeros(n, np.int64)  # pixels written so far
     base = np.arange(n, dtype=np.int64) << LIMIT
     mask = (1 << LIMIT) - 1
+    alpha = alpha << np.uint32(24)
+    slots = np.zeros(n << CACHE, np.uint32)
+    rows = np.arange(n, dtype=np.int64) << CACHE
+    shift = (32 - cache).astype(np.uint64)
+    caching = bool(cache.any())
 
     def symbol(c: int, who):
         where = at[who]
@@ -306,13 +449,17 @@ def _decode_plain(data, lengths, lone, position, size) -> list[bytes]:
         at[who] = where + (entry & 15)
         return entry >> 4
 
+    def slot(value, i):
+        return rows[i] + ((value * np.uint32(webp.CACHE_FACTOR)).astype(np.uint64) >> shift[i]).astype(np.int64)
+
     live = np.arange(n)
     while len(live):
         who = slice(0, len(live)) if live[-1] == len(live) - 1 else live
         green = symbol(0, who)
-        copying = np.flatnonzero(green >= 256)
-        if len(copying):
-            for k in copying:
+        special = np.flatnonzero(green >= 256)
+        if len(special):
+            what = green[special]
+            for k in special[what < _SLOTS]:
                 i = int(live[k])
                 stream = webp.Bits(data[i], int(at[i] - begin[i] * 8))
                 length = webp._copy_value(int(green[k]) - 256, stream)
@@ -324,24 +471,35 @@ def _decode_plain(data, lengths, lone, position, size) -> list[bytes]:
                 if code > len(webp.NEIGHBOURS):
                     d = code - len(webp.NEIGHBOURS)
                 else:
-                    d = max(1, webp.NEIGHBOURS[code - 1][0] + webp.NEIGHBOURS[code - 1][1] * WIDTH)
+                    d = max(1, webp.NEIGHBOURS[code - 1][0] + webp.NEIGHBOURS[code - 1][1] * int(width[i]))
                 p = int(first[i] + done[i])
                 if d > done[i] or done[i] + length > size[i]:
                     raise ValueError("back-reference out of the image")
-                rgb[p : p + length] = np.resize(rgb[p - d : p], (length, 3))
+                copied = np.resize(pixels[p - d : p], length)
+                pixels[p : p + length] = copied
+                if cache[i]:
+                    slots[slot(copied, np.full(length, i))] = copied  # the last of a slot stays
                 done[i] += length
+            kept = special[what >= _SLOTS]
+            if len(kept):  # pixels out of the caches, where they are already
+                i = live[kept]
+                pixels[first[i] + done[i]] = slots[rows[i] + green[kept] - _SLOTS]
+                done[i] += 1
             plain = np.flatnonzero(green < 256)
             who, green = live[plain], green[plain]
-        p = first[who] + done[who]
-        rgb[p, 1] = green
-        rgb[p, 0] = symbol(1, who)
-        rgb[p, 2] = symbol(2, who)
-        done[who] += 1
+        if len(green):
+            value = green.astype(np.uint32) << np.uint32(8)
+            value |= symbol(1, who).astype(np.uint32) << np.uint32(16)
+            value |= symbol(2, who)
+            value |= alpha[who]
+            pixels[first[who] + done[who]] = value
+            if caching:
+                slots[slot(value, who)] = value
+            done[who] += 1
         more = done[live] < size[live]
         if not more.all():
             live = live[more]
-    flat = rgb.reshape(-1).tobytes()
-    return [flat[3 * f : 3 * (f + k)] for f, k in zip(first.tolist(), size.tolist())]
+    return [pixels[f : f + k] for f, k in zip(first.tolist(), size.tolist())]
 
 
 def _spans(sizes: list[int], limit: int):
@@ -473,15 +631,9 @@ def read_back(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``read_back(media(docs))`` in one pass, whose files need not leave the task."""
-    ship(docs.sparkSession)
-    kind = docs.schema[id_col].dataType.simpleString()
-
-    def run(batches):
-        for batch in batches:
-            for ids, texts in _parts(batch):
-                sizes = pa.array([len(t) for t in texts], pa.int64())
-                digests = _digests(store([payload(t) for t in texts]))
-                yield pa.RecordBatch.from_arrays([ids, sizes, *digests], names=[id_col, *_NAMES])
-
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, {_DIGESTS}")
+    """``read_back`` of the files that ``media`` gives, stored as a table in between."""
+    scratch = Scratch(docs.sparkSession, "media")
+    files = scratch.put(media(docs, id_col, text_col), "files", ROW_GROUP)
+    result = scratch.put(read_back(files, id_col), "digests")
+    scratch.drop("files")
+    return result

@@ -59,9 +59,10 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
-    def put(self, df: DataFrame, table: str) -> DataFrame:
+    def put(self, df: DataFrame, table: str, row_group: int | None = None) -> DataFrame:
         path = f"{self.root}/{table}"
-        df.write.option("compression", "zstd").parquet(path)
+        writer = df.write.option("compression", "zstd")
+        (writer.option("parquet.block.size", row_group) if row_group else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *tables: str) -> None:

@@ -260,6 +260,15 @@ def _predictions(c: list, x: int, y: int, width: int, mode: int) -> list[int]:
 
 def undo_predictor(p: np.ndarray, modes: np.ndarray, bits: int) -> np.ndarray:
     h, w = p.shape
+    mode = np.unique(modes >> np.uint32(8) & np.uint32(0xF))
+    if len(mode) == 1 and mode[0] in (1, 2):  # running sums
+        c = _channels(p).astype(np.uint8)
+        c[0, 0, 0] += 255
+        if mode[0] == 1:
+            c[:, 0] = np.cumsum(c[:, 0], 0, dtype=np.uint8)
+            return _joined(np.cumsum(c, 1, dtype=np.uint8).astype(np.int64))
+        c[0] = np.cumsum(c[0], 0, dtype=np.uint8)
+        return _joined(np.cumsum(c, 0, dtype=np.uint8).astype(np.int64))
     c = _channels(p).tolist()
     for y in range(h):
         for x in range(w):
@@ -311,9 +320,8 @@ def undo_palette(p: np.ndarray, palette: np.ndarray, width: int) -> np.ndarray:
     return full[index]
 
 
-def decode_stream(data: bytes) -> np.ndarray:
-    """Pixels of a VP8L chunk's data."""
-    bits = Bits(data)
+def read_head(bits: Bits) -> tuple[int, int, int, list, int]:
+    """(width, height, alpha flag, transforms to undo, width of the coded image); each transform is (kind, width, block bits, data)."""
     if bits.read(8) != 0x2F:
         raise ValueError("no VP8L signature")
     width, height = bits.read(14) + 1, bits.read(14) + 1
@@ -333,7 +341,11 @@ def decode_stream(data: bytes) -> np.ndarray:
             w = _blocks(w, _bundle_bits(n))
         else:
             undo.append((kind, w, 0, None))
-    p = _decode_pixels(bits, w, height, True)
+    return width, height, has_alpha, undo, w
+
+
+def undo_transforms(p: np.ndarray, undo: list) -> np.ndarray:
+    """The image that the transforms, last one first, were applied to."""
     for kind, w, size, extra in reversed(undo):
         if kind == PREDICTOR:
             p = undo_predictor(p, extra, size)
@@ -343,6 +355,14 @@ def decode_stream(data: bytes) -> np.ndarray:
             p = _green(p, 1)
         else:
             p = undo_palette(p, extra, w)
+    return p
+
+
+def decode_stream(data: bytes) -> np.ndarray:
+    """Pixels of a VP8L chunk's data."""
+    bits = Bits(data)
+    _, height, has_alpha, undo, w = read_head(bits)
+    p = undo_transforms(_decode_pixels(bits, w, height, True), undo)
     return p if has_alpha else p | np.uint32(0xFF000000)
 
 
