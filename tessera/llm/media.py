@@ -141,13 +141,20 @@ def _pack(values: np.ndarray, sizes: np.ndarray, at: np.ndarray, n_bytes: int) -
     return words.view(np.uint8)
 
 
-def _entropy(owner: np.ndarray, symbols: list[np.ndarray], n: int, width: int) -> np.ndarray:
-    """Bits of each image's symbols under the best codes of their own."""
+def _entropy(owner: np.ndarray, symbols: list[np.ndarray], n: int, width: int, times: float = 1.0, distinct: np.ndarray | None = None) -> np.ndarray:
+    """Bits of each image's symbols under the best codes of their own, ``times`` over, and of the lists of these codes.
+
+    ``distinct`` gets the greatest number of different symbols in a channel.
+    """
     total = np.zeros(n)
     for s in symbols:
         c = np.bincount(owner * width + s, minlength=n * width).reshape(n, width)
+        used = c > 0
         with np.errstate(divide="ignore", invalid="ignore"):
-            total += np.where(c > 0, c * np.log2(c.sum(1, keepdims=True) / c), 0).sum(1)
+            total += times * np.where(used, c * np.log2(c.sum(1, keepdims=True) / c), 0).sum(1)
+        if distinct is not None:
+            np.maximum(distinct, used.sum(1), out=distinct)
+        total += np.where(used.sum(1) > 1, 4 * (width - np.argmax(used[:, ::-1], 1)), 0)
     return total
 
 
@@ -214,29 +221,39 @@ def encode_tiles(tiles: list[bytes]) -> list[bytes]:
     place = np.arange(len(raw)) - np.repeat(begin, size)
     # The estimates look at every fourth pixel; the choice changes the size of a file, never what it decodes to.
     probe = np.flatnonzero(place % 4 == (place // WIDTH) % 4)
-    shown, times = image[probe], 4.0
-    cost = np.empty((5, n))
+    shown = image[probe]
+    cost, distinct = np.empty((5, n)), np.zeros(n, np.int64)
     for k in range(5):
         f = _form(raw, place, probe, k)
-        cost[k] = times * _entropy(shown, [f[:, 0], f[:, 1], f[:, 2]], n, 256) + (k > PLAIN) * _HEAD_BITS
+        cost[k] = _entropy(shown, [f[:, 0], f[:, 1], f[:, 2]], n, 256, 4.0, distinct if k == PLAIN else None) + (k > PLAIN) * _HEAD_BITS
     kind = cost.argmin(0)
+    # Where copies do most of it already, the image stays as it is.
+    alpha = np.full(n, 255)
+    packed_pixels = lambda: raw[:, 0].astype(np.uint32) << 16 | raw[:, 1].astype(np.uint32) << 8 | raw[:, 2] | alpha.astype(np.uint32)[image] << np.uint32(24)
+    pixels = packed_pixels()
+    copies = _runs(pixels, image)
+    covered = np.zeros(n, np.int64)
+    for start, length, _ in copies:
+        covered[image[start]] += length
+    kind[2 * covered > size] = PLAIN
     if kind.any():
         coded = raw.copy()
         for k in range(1, 5):
             at = np.flatnonzero(kind[image] == k)
             coded[at] = _form(raw, place, at, k)
         raw = coded
+        alpha[(kind == LEFT) | (kind == TOP)] = 0
+        pixels = packed_pixels()
+        copies = _runs(pixels, image)
     sections = [_SECTIONS[k] for k in kind]
-    alpha = np.where((kind == LEFT) | (kind == TOP), 0, 255)
     width = np.full(n, WIDTH)
-    # Few colours: pixels are bundled.
+    # Few colours, and copies wouldn't do much: pixels are bundled.
     found = {}
-    colours_of = lambda k: np.frombuffer(tiles[k], np.uint8).reshape(-1, 3)
-    for k in np.flatnonzero(cost.min(0) < 6.0 * size):
-        c = colours_of(k).astype(np.uint32)
+    for k in np.flatnonzero((distinct <= 16) & (4 * covered <= size)).tolist():
+        c = np.frombuffer(tiles[k], np.uint8).reshape(-1, 3).astype(np.uint32)
         got = _bundled(c[:, 0] << 16 | c[:, 1] << 8 | c[:, 2])
         if got is not None and got[2][1] + len(got[0]) * 8 < cost.min(0)[k]:
-            found[int(k)] = got
+            found[k] = got
     if found:
         parts, at = [], 0
         for k in sorted(found):
@@ -247,9 +264,9 @@ def encode_tiles(tiles: list[bytes]) -> list[bytes]:
             size[k], width[k], alpha[k], sections[k] = len(packed), w, 255, section
         raw = np.concatenate([*parts, raw[at:]])
         image = np.repeat(np.arange(n, dtype=np.int32), size)
-    pixels = raw[:, 0].astype(np.uint32) << 16 | raw[:, 1].astype(np.uint32) << 8 | raw[:, 2] | alpha.astype(np.uint32)[image] << np.uint32(24)
-    literal = np.ones(len(pixels), bool)
-    heads, copies = np.zeros(len(pixels), bool), _runs(pixels, image)
+        pixels = packed_pixels()
+        copies = _runs(pixels, image)
+    literal, heads = np.ones(len(pixels), bool), np.zeros(len(pixels), bool)
     for start, length, _ in copies:
         literal[start : start + length] = False
         heads[start] = True
@@ -264,7 +281,7 @@ def encode_tiles(tiles: list[bytes]) -> list[bytes]:
     without = _entropy(owner, [raw[some, 1], raw[some, 0], raw[some, 2]], n, 256)
     missed = some[~hit[some]]
     green = np.where(hit[some], slot[some].astype(np.int64) + 256, raw[some, 1])
-    within = _entropy(owner, [green], n, 256 + (1 << CACHE)) + _entropy(image[missed], [raw[missed, 0], raw[missed, 2]], n, 256) + (4 << CACHE)
+    within = _entropy(owner, [green], n, 256 + (1 << CACHE)) + _entropy(image[missed], [raw[missed, 0], raw[missed, 2]], n, 256) + 4 * webp.LENGTH_SYMBOLS
     cached = within < without
     hit &= literal & cached[image]
     token = np.flatnonzero(literal | heads)

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -72,6 +73,56 @@ def test_batches():
     assert len(files[2]) < len(payloads[2]) / 10  # back-references are used
 
 
+def features_of(files):
+    """How many streams use each transform (predictors by mode), the cache, or neither."""
+    found = Counter()
+    for f in files:
+        for stream in webp.streams(f):
+            bits = webp.Bits(stream)
+            undo = webp.read_head(bits)[3]
+            for kind, _, _, data in undo:
+                found[kind if kind != webp.PREDICTOR else (kind, int(data.flat[0]) >> 8 & 15)] += 1
+            found["cache" if bits.read(1) else "no cache"] += 1
+    return found
+
+
+def test_files_use_every_feature():
+    """What the encoder of the query chooses, by kind of image, and that the batch decoder undoes it."""
+    rng = np.random.default_rng(3)
+    steps = rng.integers(-2, 3, (9000, 3), dtype=np.int64)
+    noise = rng.integers(0, 256, (40, 192), dtype=np.uint8)
+    grey = np.repeat(rng.integers(0, 256, (4000, 1), dtype=np.uint8), 3, 1)
+    pairs = rng.integers(0, 256, (4000, 2), dtype=np.uint8)
+    colours = rng.integers(0, 256, (11, 3), dtype=np.uint8)
+    texts = {
+        (webp.PREDICTOR, 1): np.cumsum(steps, 0).astype(np.uint8).tobytes(),
+        (webp.PREDICTOR, 2): (noise[:1] + np.cumsum(rng.integers(0, 3, (40, 192)), 0)).astype(np.uint8).tobytes(),
+        webp.SUBTRACT_GREEN: grey.tobytes(),
+        webp.CROSS_COLOUR: np.stack([pairs[:, 0], pairs[:, 0] + rng.integers(0, 2, 4000, dtype=np.uint8), pairs[:, 0] * 1], 1).tobytes(),
+        webp.PALETTE: colours[rng.integers(0, 11, 4000)].tobytes(),
+        "cache": (b"some words and other words and some more of them, " + b"".join(b"%d words " % (k % 7) for k in rng.integers(0, 9, 900))),
+    }
+    for feature, text in texts.items():
+        files = media.store([media.payload(text)] * 2)
+        assert media.load(files) == [media.payload(text)] * 2
+        got = features_of(files)
+        assert got[feature] or (feature == webp.CROSS_COLOUR and got[webp.SUBTRACT_GREEN])
+    red = rng.integers(0, 256, 4096, dtype=np.uint8)
+    text = np.stack([red, rng.integers(0, 4, 4096, dtype=np.uint8), red], 1).tobytes()  # blue follows red
+    files = media.store([media.payload(text)])
+    assert features_of(files)[webp.CROSS_COLOUR] and media.load(files) == [media.payload(text)]
+    everything = [media.payload(t) for t in texts.values()] + [media.payload(text)]
+    files = media.store(everything)
+    assert media.load(files) == everything
+    for p, f in zip(everything, files):
+        assert b"".join(media._rgb(x) for x in webp.decode(f)) == p  # as the complete decoder reads them
+
+
+def plain_feature(p):
+    share = Counter(b >> 4 for b in p)
+    return " ".join(str(share[k] * 1000 // len(p)) for k in range(16)) + f" {sum(p) * 1000 // len(p)}"
+
+
 def test_other_streams_in_a_batch():
     """Streams with transforms or a cache among plain ones."""
     p = image(np.random.default_rng(1), 6, 64, 20)
@@ -99,6 +150,7 @@ def test_query_rows(edge, edge_rows, nothing):
         p = media.payload(data)
         r = got[i, hashlib.sha256(p).hexdigest()]
         assert (r.n_bytes, r.payload_bytes, r.tail_crc32) == (len(data), len(p), zlib.crc32(p[-16:]))
-    assert len({r.media_sha256 for r in got.values() if r.n_bytes == len(edge_rows[0][1])}) == 1
+        stored = media.store([p])[0]
+        assert (r.media_bytes, r.media_sha256, r.feature) == (len(stored), hashlib.sha256(stored).hexdigest(), plain_feature(p))
     assert sorted(map(repr, media.round_trip(edge).collect())) == sorted(map(repr, got_rows))
     assert media.round_trip(nothing).count() == 0 and media.read_back(media.media(nothing)).count() == 0
