@@ -37,7 +37,7 @@ BLOCK_TOKENS = 2_500_000
 FOLDS, TEST_FOLD, TUNE_FOLD = 10, 0, 1
 BUCKETS = 40
 #: Steps of the logarithmic rounding of estimates in the EM histogram, a doubling.
-STEPS = 8
+STEPS = 4
 _END, _START = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _memo = WordHashes()
@@ -113,7 +113,7 @@ class Block:
     def __init__(self, folds: bytes, sizes: bytes, items: bytes, words: bytes):
         self.folds = np.frombuffer(folds, np.uint8)
         self.sizes = np.frombuffer(sizes, np.uint32).astype(np.int64)
-        self.items = _unpack(items, np.uint32).astype(np.int64)
+        self.items = _unpack(items, np.uint32)
         hashes = np.frombuffer(words, np.uint64)
         self.ends = np.cumsum(self.sizes)
         self.begins = self.ends - self.sizes
@@ -121,16 +121,18 @@ class Block:
             keys = mix(hashes * _STEP + np.uint64(1))
             self.uni_order = np.argsort(keys, kind="stable")
             self.uni_keys = keys[self.uni_order]
-            previous = np.empty(len(self.items), np.uint64)
             current = hashes[self.items]
-            previous[1:] = current[:-1]
-            previous[self.begins] = _START
-            self.raw = mix(mix(previous * _STEP + np.uint64(2)) ^ current)
+            self.raw = np.empty(len(self.items), np.uint64)
+            self.raw[1:] = current[:-1]
+            self.raw[self.begins] = _START
+            for i in range(0, len(current), 1 << 18):  # in slices, for small temporaries
+                j = slice(i, i + (1 << 18))
+                self.raw[j] = mix(mix(self.raw[j] * _STEP + np.uint64(2)) ^ current[j])
 
     def unigrams(self, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(keys, position of each chosen token among them)."""
-        place = np.empty(len(self.uni_order), np.int64)
-        place[self.uni_order] = np.arange(len(self.uni_order))
+        place = np.empty(len(self.uni_order), np.int32)
+        place[self.uni_order] = np.arange(len(self.uni_order), dtype=np.int32)
         return self.uni_keys, place[self.items if at is None else self.items[at]]
 
     def bigrams(self, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -138,8 +140,8 @@ class Block:
             order = np.argsort(self.raw)
             ranked = self.raw[order]
             new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-            place = np.empty(len(order), np.int64)
-            place[order] = np.cumsum(new) - 1
+            place = np.empty(len(order), np.int32)
+            place[order] = np.cumsum(new, dtype=np.int32) - 1
             return ranked[new], place
         keys = np.sort(self.raw)
         keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
@@ -182,15 +184,15 @@ def ngram_counts(table: DataFrame, ranges: int) -> DataFrame:
                 for kind, (keys, place) in enumerate((block.unigrams(), block.bigrams())):
                     tuned = np.bincount(place[f == TUNE_FOLD], minlength=len(keys)).astype(np.uint32)
                     kept = np.bincount(place[(f != TUNE_FOLD) & (f != TEST_FOLD)], minlength=len(keys)).astype(np.uint32)
-                    cuts = np.searchsorted(keys, np.arange(ranges, dtype=np.uint64) << shift) if ranges > 1 else np.zeros(1, np.int64)
-                    for r, (i, j) in enumerate(zip(cuts, [*cuts[1:], len(keys)])):
-                        if i < j:
-                            rows.append((r, number, kind, j - i, _squeeze(keys[i:j]), _pack(kept[i:j]), _pack(tuned[i:j])))
+                    of = (keys >> shift).astype(np.int64)
+                    cuts = np.flatnonzero(np.diff(of, prepend=-1))  # ranges that have keys only
+                    for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)]):
+                        rows.append((int(of[i]), number, kind, j - i, _squeeze(keys[i:j]), _pack(kept[i:j]), _pack(tuned[i:j])))
                 columns = list(zip(*rows))
-                types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+                types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["range", "block", "kind", "n", "keys", "retained", "tuned"])
 
-    return table.select("block", "folds", "sizes", "items", "words").mapInArrow(run, "range int, block long, kind int, n int, keys binary, retained binary, tuned binary")
+    return table.select("block", "folds", "sizes", "items", "words").mapInArrow(run, "range long, block long, kind int, n int, keys binary, retained binary, tuned binary")
 
 
 def totals(counts: DataFrame) -> DataFrame:
@@ -200,7 +202,7 @@ def totals(counts: DataFrame) -> DataFrame:
     distinct keys in the retained and in all training texts.
     """
     names = ["block", "kind", "range", "retained", "train", "kinds_retained", "kinds_train"]
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
 
     def answer(group):
         every = [_spread(g[4], g[3]) for g in group]
@@ -235,7 +237,7 @@ def totals(counts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*answer(group)), types)], names=names)
 
     placed = counts.repartition("range", "kind").sortWithinPartitions("range", "kind", "block")
-    return placed.mapInArrow(run, "block long, kind int, range int, retained binary, train binary, kinds_retained long, kinds_train long")
+    return placed.mapInArrow(run, "block long, kind int, range long, retained binary, train binary, kinds_retained long, kinds_train long")
 
 
 def bucket(context_count: np.ndarray) -> np.ndarray:
@@ -296,8 +298,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     table = scratch.put(block_table(docs, id_col, text_col), "blocks")
     size = table.agg(F.count(F.lit(1)), F.coalesce(F.sum("train"), F.lit(0)), F.coalesce(F.sum("tune"), F.lit(0))).first()
     n_blocks, n_train, n_tune = size
-    # Key ranges follow the input; a range's entries and the rows that carry them both stay of moderate size.
-    ranges = min(65536, max(64, 1 << (8 * max(1, n_blocks) - 1).bit_length()))
+    # Key ranges follow the blocks, so that what one range gathers from all of them has the same size for any input.
+    ranges = max(64, 1 << (8 * max(1, n_blocks) - 1).bit_length())
     given = scratch.put(totals(ngram_counts(table, ranges)), "totals")
     scratch.settle()
     kinds_retained, kinds_train = given.filter("kind = 0").agg(F.coalesce(F.sum("kinds_retained"), F.lit(0)), F.coalesce(F.sum("kinds_train"), F.lit(0))).first()
@@ -327,7 +329,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     columns = ["folds", "sizes", "items", "words", "given"]
     histogram = opened.select(*columns).mapInArrow(tune, "bucket long, two long, one long, n long").groupBy("bucket", "two", "one").agg(F.sum("n").alias("n"))
-    rows = [tuple(r) for r in histogram.collect()]  # bounded by BUCKETS and the steps of both estimates
+    rows = sorted(tuple(r) for r in histogram.collect())  # bounded by BUCKETS and the steps of both estimates; EM sums in this order
     weights = learn_weights(rows, n_retained, kinds_retained)
     scratch.settle()
 
