@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+# Names of bands and layers, the legend, and the settings' defaults.
 BANDS = ("blue", "green", "red", "nir", "swir1", "swir2")
 TOPOGRAPHY = ("elevation", "slope", "aspect", "eastness", "northness")
 WATER = ("occurrence", "change_abs", "change_norm", "seasonality", "transition", "max_extent")
@@ -36,6 +37,9 @@ class CompositeConfig:
     cloud_probability: float = 40
     dark_nir: float = 0.15 * 10_000
     shadow_steps: int = 20
+    #: Sides, in cells, of the grids on which shadows are projected and masks eroded and dilated.
+    shadow_grid: int = 10
+    mask_grid: int = 2
     erode: int = 2
     dilate: int = 10
     approximate_percentiles: bool = False

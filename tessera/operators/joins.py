@@ -13,18 +13,19 @@ def save_first(primary: DataFrame, secondary: DataFrame, key: str, order: list[s
     return primary.join(first, key)
 
 
-def near_pairs(points: DataFrame, distance: float, id_col: str = "id", x: str = "x", y: str = "y") -> DataFrame:
-    """(id, other, distance) for all ordered pairs of different points within a distance.
+def near_pairs(points: DataFrame, distance: float, id_col: str = "id", x: str = "x", y: str = "y", class_col: str | None = None) -> DataFrame:
+    """(id, other, distance) for all ordered pairs of different points (of one class, if one is named) within a distance.
 
     Points are dealt to square cells of the distance's size; each looks into
     its own and the eight cells around it, so no point meets all others.
     """
     cell = lambda c: F.floor(F.col(c) / distance).cast("long")
-    placed = points.select(F.col(id_col).alias("id"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), cell(x).alias("cx"), cell(y).alias("cy"))
+    own = F.col(class_col) if class_col else F.lit(0)
+    placed = points.select(own.alias("class"), F.col(id_col).alias("id"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), cell(x).alias("cx"), cell(y).alias("cy"))
     around = F.array(*[F.struct(F.lit(i).cast("long").alias("i"), F.lit(j).cast("long").alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    seeking = placed.withColumn("o", F.explode(around)).select(F.col("id").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"), (F.col("cx") + F.col("o.i")).alias("cx"), (F.col("cy") + F.col("o.j")).alias("cy"))
+    seeking = placed.withColumn("o", F.explode(around)).select("class", F.col("id").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"), (F.col("cx") + F.col("o.i")).alias("cx"), (F.col("cy") + F.col("o.j")).alias("cy"))
     far = F.hypot(F.col("x") - F.col("ox"), F.col("y") - F.col("oy"))
-    return placed.join(seeking, ["cx", "cy"]).filter((F.col("id") != F.col("other")) & (far <= distance)).select("id", "other", far.alias("distance"))
+    return placed.join(seeking, ["class", "cx", "cy"]).filter((F.col("id") != F.col("other")) & (far <= distance)).select("id", "other", far.alias("distance"))
 
 
 def sample_regions(points: DataFrame, raster: DataFrame, scale: float, bands: list[str], x: str = "px", y: str = "py") -> DataFrame:

@@ -39,7 +39,8 @@ def speckle_filter(cells: DataFrame, band: str, enl: float = ENL, size: int = KE
     textured = F.try_divide(b * mean + root, alpha * 2.0)
     value = F.when(ci <= cu, to_db(mean)).when(ci < cmax, to_db(textured)).otherwise(update_mask(F.col("__db"), ci >= cmax))
     branch = F.when(ci <= cu, "mean").when(ci < cmax, "textured").when(ci >= cmax, "raw")
-    return joined.select(*on, value.alias(band), branch.alias("branch"))
+    there = F.col("__n").isNotNull()  # a masked cell stays masked, whatever is around it
+    return joined.select(*on, F.when(there, value).alias(band), F.when(there, branch).alias("branch"))
 
 
 def polarisation_ratio(df: DataFrame) -> DataFrame:
@@ -72,5 +73,5 @@ def terrain_correction(cells: DataFrame, keys: tuple[str, ...] = (), scale: floa
 
 
 def two_week_mean(obs: DataFrame, keys: list[str], bands: list[str], factor: int = 10_000) -> DataFrame:
-    """Means by pixel, times a factor, as whole numbers (cut, not rounded)."""
-    return obs.groupBy(*keys).agg(*[(F.avg(b) * factor).cast("long").alias(b) for b in bands])
+    """Means by pixel, times a factor, cut to whole numbers (after rounding to thousandths, which sums in any order agree on)."""
+    return obs.groupBy(*keys).agg(*[F.round(F.avg(b) * factor, 3).cast("long").alias(b) for b in bands])

@@ -6,12 +6,14 @@ partitioning and after any retry.
 
 from __future__ import annotations
 
+import math
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import bounds, contains
+from ..functions.geometry import area, bounds, contains
 from ..functions.hashing import DEFAULT_SEED, uniform
 from .joins import near_pairs, sample_regions
 
@@ -60,18 +62,50 @@ def stratified_sample(df: DataFrame, class_col: str, id_cols: list[str], n_point
     return limit_per_class(rows.filter(F.col("__n") > 0), class_col, F.col("__n"), ["random", *id_cols]).drop("__n")
 
 
-def random_points(polygons: DataFrame, n: int | str | Column, seed: int = DEFAULT_SEED, id_col: str = "fid", ring_col: str = "geom") -> DataFrame:
-    """Up to n hash-random points of each polygon's box that lie inside it: (polygon columns, k, px, py)."""
-    n = F.lit(n) if isinstance(n, int) else F.col(n) if isinstance(n, str) else n
-    box = bounds(F.col(ring_col))
-    spread = polygons.filter(n > 0).withColumn("k", F.explode(F.sequence(F.lit(1), n.cast("int"))))
-    at = lambda lo, hi, salt: lo + uniform(seed, F.col(id_col), F.col("k"), salt=salt) * (hi - lo)
-    spread = spread.withColumns({"px": at(box["x0"], box["x1"], "x"), "py": at(box["y0"], box["y1"], "y")})
-    return spread.filter(contains(F.col(ring_col), F.col("px"), F.col("py")))
+def attempts(n: float, share: float) -> int:
+    """How many draws make ``n`` hits, each with probability ``share``, all but certain (eight deviations)."""
+    need = n / share
+    return math.ceil(need + 8 * math.sqrt(need * (1 - share) / share + 1)) if share < 1 else math.ceil(n)
+
 
+def random_points(polygons: DataFrame, n: int | dict[int, int], seed: int = DEFAULT_SEED, class_col: str | None = None, id_col: str = "fid", ring_col: str = "geom") -> DataFrame:
+    """n points, uniform over the area of all polygons, or of each class's: (polygon columns, k, px, py).
 
-def distance_filter(points: DataFrame, distance: float, id_col: str = "id", x: str = "x", y: str = "y", checkpoint: str | None = None) -> DataFrame:
-    """Greedy thinning in id order: a point goes if a kept point of smaller id lies within the distance.
+    A draw picks a polygon by the area of its box and a place in that box; it
+    counts if it lies inside. Draws are numbered, and the first n that count
+    are taken, so every point of the area is as likely as any other, whatever
+    the polygons' sizes and shapes. ``n`` is one number or one for each class.
+    """
+    spark = polygons.sparkSession
+    own = F.col(class_col) if class_col else F.lit(0)
+    wanted = None if isinstance(n, int) else F.create_map(*[F.lit(v) for k in n.items() for v in k])
+    n_of = F.lit(n) if wanted is None else F.try_element_at(wanted, own.cast("int"))
+    box = bounds(F.col(ring_col))
+    boxes = polygons.withColumns({"__class": own, "__n": n_of, "__size": (box["x1"] - box["x0"]) * (box["y1"] - box["y0"]), "__area": area(F.col(ring_col))}).filter("__n > 0 and __area > 0")
+    totals = boxes.groupBy("__class").agg(F.max("__n").alias("n"), F.sum("__size").alias("size"), F.sum("__area").alias("area")).collect()  # a row for each class
+    if not totals:
+        return polygons.limit(0).select("*", F.lit(0).alias("k"), F.lit(0.0).alias("px"), F.lit(0.0).alias("py"))
+    kind = boxes.schema["__class"].dataType.simpleString()
+    draws = spark.createDataFrame([(t[0], attempts(t["n"], min(1.0, t["area"] / t["size"])), float(t["size"])) for t in totals], f"__class {kind}, m int, total double")
+    draws = draws.select("__class", F.explode(F.sequence(F.lit(1), "m")).alias("k"), "total")
+    parts = [F.col("__class")] if class_col else []
+    at = lambda salt: uniform(seed, *parts, F.col("k"), salt=salt)
+    draws = draws.select("__class", "k", (at("p") * F.col("total")).alias("__at"))
+    # Boxes of a class lie one after the other on a line, and a draw falls on one of them.
+    before = F.sum("__size").over(Window.partitionBy("__class").orderBy(id_col)) - F.col("__size")
+    held = boxes.select("__class", before.alias("__at"), F.struct(*polygons.columns, "__n").alias("__poly"))
+    line = draws.unionByName(held, allowMissingColumns=True)
+    along = Window.partitionBy("__class").orderBy(F.col("__at"), F.col("k").isNotNull(), "k").rowsBetween(Window.unboundedPreceding, 0)
+    line = line.withColumn("__poly", F.last("__poly", ignorenulls=True).over(along)).filter("k is not null").select("__class", "k", "__poly.*")
+    place = lambda lo, hi, salt: lo + at(salt) * (hi - lo)
+    points = line.withColumns({"px": place(box["x0"], box["x1"], "x"), "py": place(box["y0"], box["y1"], "y")})
+    points = points.filter(contains(F.col(ring_col), F.col("px"), F.col("py")))
+    rank = F.row_number().over(Window.partitionBy("__class").orderBy("k"))
+    return points.withColumn("__rank", rank).filter(F.col("__rank") <= F.col("__n")).select(*polygons.columns, "k", "px", "py")
+
+
+def distance_filter(points: DataFrame, distance: float, id_col: str = "id", x: str = "x", y: str = "y", checkpoint: str | None = None, class_col: str | None = None) -> DataFrame:
+    """Greedy thinning in id order: a point goes if a kept point of smaller id (and the same class, if one is named) lies within the distance.
 
     Rounds decide points all of whose smaller neighbours are decided, until
     none is open; this equals the one-by-one scan. Each round is a table in
@@ -86,7 +120,7 @@ def distance_filter(points: DataFrame, distance: float, id_col: str = "id", x: s
         df.write.parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
-    edges = put(near_pairs(points, distance, id_col, x, y).filter("other < id").select("id", "other"), "edges")
+    edges = put(near_pairs(points, distance, id_col, x, y, class_col).filter("other < id").select("id", "other"), "edges")
     status = put(edges.select("id").union(edges.select(F.col("other").alias("id"))).distinct().withColumn("kept", F.lit(None).cast("boolean")), "status-0")
     step = 0
     while status.filter("kept is null").limit(1).count():
@@ -100,32 +134,38 @@ def distance_filter(points: DataFrame, distance: float, id_col: str = "id", x: s
 
 
 def _local_dir(spark: SparkSession) -> str:
-    """Only where no shared folder is set, as in tests."""
+    """Only where no shared folder is set and the master is this machine alone, as in tests."""
     import tempfile
 
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir is unset: it must name a folder that driver and executors share")
     return "file://" + tempfile.mkdtemp(prefix="tessera-")
 
 
-def sample_points(polygons: DataFrame, class_col: str, n_points: dict[int, int], seed: int = DEFAULT_SEED, distance: float | None = None, id_col: str = "fid", ring_col: str = "geom") -> DataFrame:
-    """Random points of each class's polygons, thinned by distance, shuffled, cut to n for each class."""
+def _class_points(polygons: DataFrame, class_col: str, n_points: dict[int, int], seed: int, id_col: str, ring_col: str) -> DataFrame:
+    """Twice the wanted points over each class's area, with an id."""
+    many = {k: OVERSAMPLE * n for k, n in n_points.items()}
+    points = random_points(polygons, many, seed, class_col, id_col, ring_col)
+    return points.withColumn("id", F.concat_ws("_", F.col(class_col).cast("string"), F.lpad(F.col("k").cast("string"), 9, "0")))
+
+
+def _first_of_class(points: DataFrame, class_col: str, n_points: dict[int, int], seed: int) -> DataFrame:
     wanted = F.create_map(*[F.lit(v) for k in n_points.items() for v in k])
-    chosen = polygons.withColumn("__n", F.try_element_at(wanted, F.col(class_col).cast("int"))).filter("__n is not null")
-    points = random_points(chosen, F.col("__n") * OVERSAMPLE, seed, id_col, ring_col)
-    points = points.withColumn("id", F.concat_ws("_", F.col(id_col).cast("string"), F.lpad(F.col("k").cast("string"), 9, "0")))
+    return limit_per_class(random_column(points, ["id"], seed), class_col, F.try_element_at(wanted, F.col(class_col).cast("int")), ["random", "id"]).drop("k")
+
+
+def sample_points(polygons: DataFrame, class_col: str, n_points: dict[int, int], seed: int = DEFAULT_SEED, distance: float | None = None, id_col: str = "fid", ring_col: str = "geom") -> DataFrame:
+    """Random points over each class's area, thinned by distance within the class, shuffled, cut to n for each class."""
+    points = _class_points(polygons, class_col, n_points, seed, id_col, ring_col)
     if distance:
-        points = distance_filter(points, distance, "id", "px", "py")
-    points = random_column(points, ["id"], seed)
-    return limit_per_class(points, class_col, F.col("__n"), ["random", "id"]).drop("__n", "k")
+        points = distance_filter(points, distance, "id", "px", "py", class_col=class_col)
+    return _first_of_class(points, class_col, n_points, seed)
 
 
 def sample_with_extraction(polygons: DataFrame, raster: DataFrame, class_col: str, n_points: dict[int, int], scale: float, bands: list[str], seed: int = DEFAULT_SEED, id_col: str = "fid", ring_col: str = "geom") -> DataFrame:
-    """Random points with the raster's bands; points on masked cells go before the cut to n."""
-    wanted = F.create_map(*[F.lit(v) for k in n_points.items() for v in k])
-    chosen = polygons.withColumn("__n", F.try_element_at(wanted, F.col(class_col).cast("int"))).filter("__n is not null")
-    points = random_points(chosen, F.col("__n") * OVERSAMPLE, seed, id_col, ring_col)
-    points = points.withColumn("id", F.concat_ws("_", F.col(id_col).cast("string"), F.lpad(F.col("k").cast("string"), 9, "0")))
-    sampled = random_column(sample_regions(points, raster, scale, bands), ["id"], seed)
-    return limit_per_class(sampled, class_col, F.col("__n"), ["random", "id"]).drop("__n", "k", ring_col)
+    """Random points over each class's area with the raster's bands; points on masked cells go before the cut to n."""
+    points = _class_points(polygons, class_col, n_points, seed, id_col, ring_col)
+    return _first_of_class(sample_regions(points, raster, scale, bands), class_col, n_points, seed).drop(ring_col)
 
 
 def split_train_test(df: DataFrame, id_cols: list[str], seed: int = DEFAULT_SEED, share: float = TRAIN_SHARE) -> tuple[DataFrame, DataFrame]:

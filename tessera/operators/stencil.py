@@ -1,16 +1,25 @@
 """Neighbourhood operators on grids of integer cells (x, y).
 
-A stencil scatters: each cell sends its value to the cells whose
-neighbourhoods hold it, and a combinable aggregate meets them there. Only
-cells that can change a result are sent.
+Wide ones work on tiles with a margin (``tiles``): one exchange, and little
+more than a row for each cell in it, whatever the radius. The small ones (the
+four neighbours, the three by three square) scatter: each cell sends its value
+to the cells whose neighbourhoods hold it, and a combinable aggregate meets
+them there, so neighbours within an input partition meet before the exchange.
 """
 
 from __future__ import annotations
 
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tiles import Group, Plane, by_tile
+
+
+#: Steps this close to the middle between two cells go to the nearer to the start, whatever the last bit of a cosine.
+EDGE = 1e-9
+
 
 def circle(radius: int) -> list[tuple[int, int]]:
     return [(dx, dy) for dx in range(-radius, radius + 1) for dy in range(-radius, radius + 1) if dx * dx + dy * dy <= radius * radius]
@@ -31,17 +40,35 @@ def scatter(cells: DataFrame, offsets: list[tuple[int, int]], keys: tuple[str, .
 
 
 def focal_min(cells: DataFrame, band: str, radius: int, keys: tuple[str, ...] = ()) -> DataFrame:
-    """(keys, x, y, band): the least value within a circle; cells outside the grid don't count."""
-    on = [*keys, "x", "y"]
-    spread = scatter(cells.select(*on, band), circle(radius)).groupBy(*on).agg(F.min(band).alias(band))
-    return spread.join(cells.select(*on), on, "left_semi")
+    """(keys, x, y, band): the least value within a circle; cells outside the grid and NULLs don't count."""
+
+    def work(rows: Group) -> list[pa.Array]:
+        plane, v = Plane(rows.x, rows.y, radius), rows.column("__v")
+        at = plane.at(rows.g, rows.x, rows.y)
+        order = np.lexsort((v, at))  # of rows on one cell the least comes first
+        marks, least, best = at[order], v[order], np.full(len(v), np.nan)
+        for dx, dy in circle(radius):
+            there = at + (dy * plane.width + dx)
+            k = np.minimum(np.searchsorted(marks, there), len(marks) - 1)
+            best = np.fmin(best, np.where(marks[k] == there, least[k], np.nan))
+        return [pa.array(best, pa.float64(), mask=np.isnan(best))]
+
+    out = by_tile(cells.select(*keys, "x", "y", F.col(band).cast("double").alias("__v")), radius, work, "__out double", keys)
+    return out.select(*keys, "x", "y", F.col("__out").cast(cells.schema[band].dataType).alias(band))
 
 
 def focal_max(cells: DataFrame, band: str, radius: int, keys: tuple[str, ...] = ()) -> DataFrame:
-    """(keys, x, y, band): the greatest value of a 0/1 band within a circle; only ones are sent out."""
-    on = [*keys, "x", "y"]
-    ones = scatter(cells.filter(F.col(band) == 1).select(*on), circle(radius)).distinct().withColumn("__one", F.lit(1))
-    return cells.select(*on).join(ones, on, "left").select(*on, F.coalesce("__one", F.lit(0)).alias(band))
+    """(keys, x, y, band): the greatest value of a 0/1 band within a circle; of the margin only ones are sent."""
+
+    def work(rows: Group) -> list[pa.Array]:
+        plane = Plane(rows.x, rows.y, radius)
+        at = plane.at(rows.g, rows.x, rows.y)
+        marks = np.unique(at[rows.table["__one"].to_numpy(zero_copy_only=False)])
+        return [pa.array(plane.within(at, marks, radius).astype(np.int32))]
+
+    one = F.coalesce(F.col(band) == 1, F.lit(False))
+    out = by_tile(cells.select(*keys, "x", "y", one.alias("__one")), 0, work, "__out int", keys, radius, F.col("__one"))
+    return out.select(*keys, "x", "y", F.col("__out").alias(band))
 
 
 def project(cells: DataFrame, flag: str, azimuth: float | Column, steps: int, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -49,8 +76,9 @@ def project(cells: DataFrame, flag: str, azimuth: float | Column, steps: int, ke
     on = [*keys, "x", "y"]
     angle = F.radians(F.lit(azimuth) if isinstance(azimuth, (int, float)) else azimuth)
     cast = cells.filter(F.col(flag)).withColumn("__k", F.explode(F.sequence(F.lit(1), F.lit(steps))))
-    x = (F.col("x") + F.round(F.col("__k") * F.cos(angle)).cast("long")).alias("x")
-    y = (F.col("y") + F.round(F.col("__k") * F.sin(angle)).cast("long")).alias("y")
+    step = lambda v: (F.signum(v) * F.floor(F.abs(v) + (0.5 - EDGE))).cast("long")
+    x = (F.col("x") + step(F.col("__k") * F.cos(angle))).alias("x")
+    y = (F.col("y") + step(F.col("__k") * F.sin(angle))).alias("y")
     return cast.select(*keys, x, y).distinct().join(cells.select(*on), on, "left_semi")
 
 
@@ -96,5 +124,3 @@ def topography(cells: DataFrame, elevation: str = "elevation", scale: float = 1.
 
 def shadow_azimuth(solar: Column) -> Column:
     return F.lit(90.0) - solar
-
-

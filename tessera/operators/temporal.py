@@ -67,28 +67,40 @@ def percentile_columns(bands: list[str], at: tuple[int, ...]) -> list[Column]:
 
 
 _TERMS = ("t", "c", "s")
+#: Years are counted from here in the sums, which keeps them exact enough; it changes no coefficient but the constant.
+_MIDDLE = 30.0
 
 
-def trend_moments(band: str, ts: Column, days: HarmonicRange | None = None) -> list[Column]:
-    """The centred moments of a least-squares fit of band on t, cos and sin, as combinable aggregates."""
-    y = F.col(band).cast("double")
-    use = y.isNotNull()
-    if days is not None:
-        use = use & day_of_year(ts, days.start, days.end, days.inclusive_end)
-    terms = harmonic_terms(fractional_years(ts))
-    x = {"t": F.when(use, terms["t"]), "c": F.when(use, terms["cos"]), "s": F.when(use, terms["sin"])}
-    y = F.when(use, y)
-    out = [F.count(y).alias(f"__n_{band}")]
-    for i, a in enumerate(_TERMS):
-        out.append(F.covar_pop(x[a], y).alias(f"__{a}y_{band}"))
-        for b in _TERMS[i:]:
-            out.append(F.covar_pop(x[a], x[b]).alias(f"__{a}{b}_{band}"))
-    return out
+def trend_terms(obs: DataFrame, harmonics: dict[str, HarmonicRange | None], ts: str) -> DataFrame:
+    """The observations with t, cos and sin once, and their masked values for each fitted band."""
+    terms = harmonic_terms(fractional_years(F.col(ts)))
+    out = obs.withColumns({"__t": terms["t"] - _MIDDLE, "__c": terms["cos"], "__s": terms["sin"]})
+    masked = {}
+    for band, days in harmonics.items():
+        use = F.col(band).isNotNull()
+        if days is not None:
+            use = use & day_of_year(F.col(ts), days.start, days.end, days.inclusive_end)
+        masked |= {f"__{a}_{band}": F.when(use, F.col(f"__{a}")) for a in _TERMS}
+        masked[f"__y_{band}"] = F.when(use, F.col(band).cast("double"))
+    return out.withColumns(masked)
+
+
+def trend_sums(band: str) -> list[Column]:
+    """Sums and sums of products for a least-squares fit of band on t, cos and sin: plain, combinable sums."""
+    x = {a: F.col(f"__{a}_{band}") for a in (*_TERMS, "y")}
+    out = [F.count(x["y"]).alias(f"__n_{band}")] + [F.sum(x[a]).alias(f"__sum_{a}_{band}") for a in x]
+    pairs = [(a, b) for i, a in enumerate(_TERMS) for b in (*_TERMS[i:], "y")]
+    return out + [F.sum(x[a] * x[b]).alias(f"__sum_{a}{b}_{band}") for a, b in pairs]
 
 
 def trend_coefficients(band: str) -> dict[str, Column]:
     """Coefficients of t, cos and sin by Cramer's rule; NULL where the fit is not determined."""
-    m = lambda k: F.col(f"__{k}_{band}")
+    n = F.col(f"__n_{band}")
+
+    def m(ab: str) -> Column:  # the covariance
+        one = lambda a: F.col(f"__sum_{a}_{band}")
+        return F.try_divide(F.col(f"__sum_{ab}_{band}") - F.try_divide(one(ab[0]) * one(ab[1]), n), n)
+
     tt, tc, ts, cc, cs, ss = (m(k) for k in ("tt", "tc", "ts", "cc", "cs", "ss"))
     ty, cy, sy = (m(k) for k in ("ty", "cy", "sy"))
 
@@ -96,7 +108,7 @@ def trend_coefficients(band: str) -> dict[str, Column]:
         return a * (e * i - f * h) - b * (d * i - f * g) + c * (d * h - e * g)
 
     whole = det(tt, tc, ts, tc, cc, cs, ts, cs, ss)
-    good = F.when((F.col(f"__n_{band}") >= 4) & (F.abs(whole) > 1e-12), whole)
+    good = F.when((n >= 4) & (F.abs(whole) > 1e-12), whole)
     return {
         "t": F.try_divide(det(ty, tc, ts, cy, cc, cs, sy, cs, ss), good),
         "cos": F.try_divide(det(tt, ty, ts, tc, cy, cs, ts, sy, ss), good),
@@ -114,8 +126,10 @@ def composite(obs: DataFrame, keys: list[str], bands: list[str], at: tuple[int,
     """One row per pixel: percentiles of every band, phase and amplitude of some."""
     harmonics = harmonics or {}
     aggregates = percentiles(bands, at, approximate) if at else []
-    for band, days in harmonics.items():
-        aggregates += trend_moments(band, F.col(ts), days)
+    if harmonics:
+        obs = trend_terms(obs, harmonics, ts)
+    for band in harmonics:
+        aggregates += trend_sums(band)
     out = percentile_columns(bands, at) if at else []
     for band in harmonics:
         out += phase_amplitude(band)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import BANDS, TOPOGRAPHY, WATER, CompositeConfig
+from ..functions.geometry import extent
 from ..functions.indices import add_indices, add_tasselled_cap
-from ..functions.masks import update_mask
-from ..operators.joins import save_first, static_layers
+from ..operators.clouds import mask_scenes
+from ..operators.joins import static_layers
 from ..operators.temporal import between_dates, composite
 
 #: Sensor bands and their names here.
@@ -25,11 +28,24 @@ def scenes_of_year(scenes: DataFrame, first: int, last: int, config: CompositeCo
 
 
 def masked_observations(obs: DataFrame, scenes: DataFrame, clouds: DataFrame, config: CompositeConfig) -> DataFrame:
-    """Observations of the scenes, without values where their cloud image says cloud or dark shadow."""
-    paired = save_first(scenes, clouds, "scene", ["probability", "cloud_id"]).select("scene", "probability")
-    joined = obs.join(paired, "scene")
-    clear = F.col("probability") <= config.cloud_probability
-    return joined.withColumns({b: update_mask(F.col(b), clear) for b in BANDS}).drop("probability")
+    """Observations of the scenes, without values under each scene's cloud and shadow mask.
+
+    ``clouds`` holds the pixels of cloud images (scene, cloud_id, x, y,
+    probability); a scene takes its first image, one without any goes.
+    """
+    images = clouds.join(scenes.select("scene"), "scene", "left_semi")
+    images = images.withColumn("__first", F.min("cloud_id").over(Window.partitionBy("scene"))).filter(F.col("cloud_id") == F.col("__first"))
+    paired = scenes.join(images.select("scene").distinct(), "scene", "left_semi").select("scene", "azimuth")
+    return mask_scenes(obs.join(paired, "scene"), images, config).drop("azimuth")
+
+
+def near_polygons(df: DataFrame, polygons: DataFrame, margin: int, ring_col: str = "geom") -> DataFrame:
+    """Rows whose cells lie in the box around all polygons, grown by a margin: bare comparisons, so they reach the scan."""
+    corners = polygons.select(F.explode(ring_col).alias("p")).select("p.x", "p.y")
+    x0, y0, x1, y1 = extent(corners).first()  # one row
+    if x0 is None:
+        return df.limit(0)
+    return df.filter(F.col("x").between(math.floor(x0) - margin, math.ceil(x1) + margin) & F.col("y").between(math.floor(y0) - margin, math.ceil(y1) + margin))
 
 
 def feature_stack(obs: DataFrame, keys: list[str], config: CompositeConfig | None = None, topography: DataFrame | None = None, water: DataFrame | None = None, footprint: DataFrame | None = None) -> DataFrame:

@@ -176,16 +176,16 @@ def join_save_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.save_first(primary, views.clouds(spark, sf_dir), "scene", ["probability", "cloud_id"]).select("scene", "cloud_id", "probability")
 
 
-@query("static_join_unmask", f", s AS (SELECT px, {sr('avg(nir)', 'nir')} FROM obs GROUP BY px) SELECT s.px, s.nir, coalesce(round(g.elevation, 6), 0.0) AS elevation, coalesce(g.probability, 0.0) AS occurrence FROM s LEFT JOIN (SELECT * FROM grid WHERE cell % 3 <> 0) g ON g.cell = s.px", "obs", "grid")
+@query("static_join_unmask", f", s AS (SELECT px, {sr('avg(nir)', 'nir')} FROM obs GROUP BY px) SELECT s.px, s.nir, coalesce(round(g.elevation, 6), 0.0) AS elevation, coalesce(nullif(g.probability, 50.0), 0.0) AS occurrence FROM s LEFT JOIN grid g ON g.cell = s.px", "obs", "grid")
 def static_join_unmask(spark: SparkSession, sf_dir: str) -> DataFrame:
     stack = rounded(temporal.mean_composite(views.obs(spark, sf_dir), ["px"], ["nir"]), ["nir"])
-    layers = views.grid(spark, sf_dir).filter("cell % 3 <> 0").select(F.col("cell").alias("px"), F.round("elevation", 6).alias("elevation"), F.col("probability").alias("occurrence"))
+    layers = views.grid(spark, sf_dir).select(F.col("cell").alias("px"), F.round("elevation", 6).alias("elevation"), F.nullif(F.col("probability"), F.lit(50.0)).alias("occurrence"))
     return joins.static_layers(stack, layers, ["px"], ["elevation", "occurrence"])
 
 
-@query("distance_pairs", "SELECT a.cell AS id, b.cell AS other, CAST(round(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)), 6) AS DOUBLE) AS distance FROM grid a JOIN grid b ON a.cell <> b.cell AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 9 WHERE a.probability > 80 AND b.probability > 80", "grid")
+@query("distance_pairs", "SELECT a.cell AS id, b.cell AS other, CAST(round(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)), 6) AS DOUBLE) AS distance FROM grid a JOIN grid b ON a.cell <> b.cell AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 2.25", "grid")
 def distance_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(joins.near_pairs(views.grid(spark, sf_dir).filter("probability > 80"), 3.0, "cell"), ["distance"])
+    return rounded(joins.near_pairs(views.grid(spark, sf_dir), 1.5, "cell"), ["distance"])
 
 
 # Composites and harmonics.
@@ -275,27 +275,63 @@ def reproject_coarse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(stencil.coarsen(df, 5, [F.max("elevation").alias("elevation"), F.max("probability").alias("probability")]), ["elevation"])
 
 
-_S_CAST = ", cast_ AS (SELECT DISTINCT g.x + CAST(round(k * cos(radians(30))) AS BIGINT) AS x, g.y + CAST(round(k * sin(radians(30))) AS BIGINT) AS y FROM grid g CROSS JOIN (SELECT unnest(range(1, 21)) AS k) WHERE g.probability > 90)"
+def _s_steps(v: str) -> str:
+    return f"CAST(sign({v}) * floor(abs({v}) + 0.499999999) AS BIGINT)"
 
 
-@query("shadow_project", _S_CAST + " SELECT x, y FROM cast_ WHERE EXISTS (SELECT 1 FROM grid g WHERE g.x = cast_.x AND g.y = cast_.y)", "grid")
+def _s_cast(name: str, grid: int, steps: int, clouds: str, keys: str = "", azimuth: str = "30") -> str:
+    """Cells of a coarse grid that lie up to some steps from a cloud, away from the sun."""
+    x, y = (f"{c} // {grid} + {_s_steps(f'k * {f}(radians({azimuth}))')} AS {c}" for c, f in (("x", "cos"), ("y", "sin")))
+    return f"{name} AS (SELECT DISTINCT {keys}{x}, {y} FROM {clouds}, (SELECT unnest(range(1, {steps + 1})) AS k))"
+
+
+def _s_disc(radius: int) -> str:
+    return f"(SELECT a.dx, b.dy FROM (SELECT unnest(range(-{radius}, {radius + 1})) AS dx) a, (SELECT unnest(range(-{radius}, {radius + 1})) AS dy) b WHERE a.dx * a.dx + b.dy * b.dy <= {radius * radius})"
+
+
+def _s_dilated(config: CompositeConfig, marked: str, keys: tuple[str, ...] = ()) -> str:
+    """Erosion and dilation of marks ``m`` on the mask's grid: ``dil`` has its cells (u, v) that end up set."""
+    k, on = "".join(f"{c}, " for c in keys), "".join(f"z.{c} = e.{c} AND " for c in keys)
+    g = config.mask_grid
+    return (
+        f"mid AS (SELECT {k}x // {g} AS u, y // {g} AS v, bool_or(m) AS m FROM {marked} GROUP BY ALL), "
+        f"bad AS (SELECT DISTINCT {''.join(f'z.{c}, ' for c in keys)}z.u + o.dx AS u, z.v + o.dy AS v FROM mid z, {_s_disc(config.erode)} o WHERE NOT z.m), "
+        f"ero AS (SELECT e.* FROM mid e LEFT JOIN bad z ON {on}z.u = e.u AND z.v = e.v WHERE e.m AND z.u IS NULL), "
+        f"dil AS (SELECT DISTINCT {''.join(f'e.{c}, ' for c in keys)}e.u + o.dx AS u, e.v + o.dy AS v FROM ero e, {_s_disc(config.dilate)} o)"
+    )
+
+
+@query("shadow_project", ", " + _s_cast("kast", 1, 20, "(SELECT * FROM grid WHERE probability > 90)") + " SELECT x, y FROM kast WHERE EXISTS (SELECT 1 FROM grid g WHERE g.x = kast.x AND g.y = kast.y)", "grid")
 def shadow_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = views.grid(spark, sf_dir).withColumn("cloud", F.col("probability") > 90)
     return stencil.project(df, "cloud", stencil.shadow_azimuth(F.lit(60.0)), 20)
 
 
+_MASK = CompositeConfig(cloud_probability=98, shadow_grid=4)
+
+
 @query(
     "cloud_mask",
-    _S_CAST
-    + f", m AS (SELECT g.x, g.y, CAST(g.probability > 90 AS INTEGER) AS clouds, CAST(k.x IS NOT NULL AND g.nir < 1500 AND g.scl <> 6 AS INTEGER) AS shadows FROM grid g LEFT JOIN cast_ k ON k.x = g.x AND k.y = g.y), e AS (SELECT m.x, m.y, min(CASE WHEN h.clouds + h.shadows > 0 THEN 1 ELSE 0 END) AS v FROM m CROSS JOIN {_S_C2} o JOIN m h ON h.x = m.x + o.dx AND h.y = m.y + o.dy GROUP BY 1, 2), d AS (SELECT e.x, e.y, max(h.v) AS v FROM e CROSS JOIN {_S_C10} o JOIN e h ON h.x = e.x + o.dx AND h.y = e.y + o.dy GROUP BY 1, 2) SELECT m.x, m.y, m.clouds, m.shadows, CAST(d.v AS INTEGER) AS cloudmask FROM m JOIN d ON d.x = m.x AND d.y = m.y",
+    ", "
+    + _s_cast("kast", _MASK.shadow_grid, _MASK.shadow_steps, f"(SELECT * FROM grid WHERE probability > {_MASK.cloud_probability})")
+    + f", m AS (SELECT g.x, g.y, CAST(g.probability > {_MASK.cloud_probability} AS INTEGER) AS clouds, CAST(k.x IS NOT NULL AND g.nir < 1500 AND g.scl <> 6 AS INTEGER) AS shadows, clouds + shadows > 0 AS m FROM grid g LEFT JOIN kast k ON k.x = g.x // {_MASK.shadow_grid} AND k.y = g.y // {_MASK.shadow_grid}), "
+    + _s_dilated(_MASK, "m")
+    + f" SELECT m.x, m.y, m.clouds, m.shadows, CAST(d.u IS NOT NULL AS INTEGER) AS cloudmask FROM m LEFT JOIN dil d ON d.u = m.x // {_MASK.mask_grid} AND d.v = m.y // {_MASK.mask_grid}",
     "grid",
 )
 def cloud_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clouds.cloud_shadow_mask(views.grid(spark, sf_dir), CompositeConfig(cloud_probability=90), stencil.shadow_azimuth(F.lit(60.0)))
+    return clouds.cloud_shadow_mask(views.grid(spark, sf_dir), _MASK, stencil.shadow_azimuth(F.lit(60.0)))
 
 
+_FULL = CompositeConfig()
 _S_MASKED = (
-    f", first_cloud AS (SELECT *, row_number() OVER (PARTITION BY scene ORDER BY probability, cloud_id) AS k FROM clouds), clear AS (SELECT o.px, o.ts, {', '.join(f'CASE WHEN c.probability <= 40 THEN o.{b} END AS {b}' for b in BANDS)} FROM obs o JOIN scenes s ON s.scene = o.scene JOIN first_cloud c ON c.scene = o.scene AND c.k = 1 WHERE s.cloudy_pct <= 70 AND s.ts >= TIMESTAMP '1996-01-01' AND s.ts < TIMESTAMP '1999-12-31')"
+    ", img AS (SELECT * FROM (SELECT *, min(cloud_id) OVER (PARTITION BY scene) AS f FROM cloudpix) WHERE cloud_id = f)"
+    + f", sel AS (SELECT s.* FROM scenes s WHERE s.cloudy_pct <= {_FULL.cloudy_percentage} AND s.ts >= TIMESTAMP '1996-01-01' AND s.ts < TIMESTAMP '1999-12-31' AND s.scene IN (SELECT scene FROM img))"
+    + ", pix AS (SELECT scene, x, y, max(probability) AS p FROM img GROUP BY ALL), ob AS (SELECT o.*, s.azimuth, pix.p FROM obs o JOIN sel s ON s.scene = o.scene LEFT JOIN pix ON pix.scene = o.scene AND pix.x = o.x AND pix.y = o.y), "
+    + _s_cast("kast", _FULL.shadow_grid, _FULL.shadow_steps, f"(SELECT i.*, s.azimuth FROM img i JOIN sel s USING (scene) WHERE i.probability > {_FULL.cloud_probability})", "scene, ", "90 - azimuth")
+    + f", mk AS (SELECT o.scene, o.x, o.y, o.p > {_FULL.cloud_probability} OR (o.nir < {_FULL.dark_nir} AND o.scl <> 6 AND k.x IS NOT NULL) AS m FROM ob o LEFT JOIN kast k ON k.scene = o.scene AND k.x = o.x // {_FULL.shadow_grid} AND k.y = o.y // {_FULL.shadow_grid} WHERE o.p IS NOT NULL), "
+    + _s_dilated(_FULL, "mk", ("scene",))
+    + f", clear AS (SELECT o.px, o.ts, {', '.join(f'CASE WHEN o.p IS NOT NULL AND d.u IS NULL THEN o.{b} END AS {b}' for b in BANDS)} FROM ob o LEFT JOIN dil d ON d.scene = o.scene AND d.u = o.x // {_FULL.mask_grid} AND d.v = o.y // {_FULL.mask_grid})"
 )
 _S_FULL = (
     _S_MASKED
@@ -303,7 +339,7 @@ _S_FULL = (
     + f", tt AS ({_s_terms('clear', 'dayofyear(ts) >= 1 AND dayofyear(ts) < 365')}), fn AS ({_s_fit('nir', 'tt')}), fs AS ({_s_fit('swir1', 'tt')})"
     + _S_SIDES.replace(", ter AS", ", ter AS", 1)
 )
-_FULL_NAMES = CompositeConfig().feature_names()
+_FULL_NAMES = _FULL.feature_names()
 
 
 def _digits(name: str) -> int:
@@ -327,14 +363,12 @@ def _s_full_select() -> str:
     return ", ".join(out)
 
 
-@query("composite_full", _S_FULL + f" SELECT {_s_full_select()} FROM p LEFT JOIN fn ON fn.px = p.px LEFT JOIN fs ON fs.px = p.px LEFT JOIN topo t ON t.x + 50 * t.y = p.px", "obs", "scenes", "clouds", "grid")
+@query("composite_full", _S_FULL + f" SELECT {_s_full_select()} FROM p LEFT JOIN fn ON fn.px = p.px LEFT JOIN fs ON fs.px = p.px LEFT JOIN topo t ON t.x + 50 * t.y = p.px", "obs", "scenes", "cloudpix", "grid")
 def composite_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    config = CompositeConfig()
-    chosen = scenes_of_year(views.scenes(spark, sf_dir), 1996, 1999, config)
-    obs = masked_observations(views.obs(spark, sf_dir), chosen, views.clouds(spark, sf_dir), config)
-    topography = stencil.topography(views.grid(spark, sf_dir)).withColumn("px", F.col("x") + 50 * F.col("y"))
-    stack = feature_stack(obs, ["px"], config, topography)
-    return stack.select("px", *[r(n, _digits(n)).alias(n) for n in config.feature_names()])
+    chosen = scenes_of_year(views.scenes(spark, sf_dir), 1996, 1999, _FULL)
+    obs = masked_observations(views.obs(spark, sf_dir), chosen, views.cloud_pixels(spark, sf_dir), _FULL)
+    stack = feature_stack(obs, ["x", "y"], _FULL, stencil.topography(views.grid(spark, sf_dir)))
+    return stack.select((F.col("x") + 50 * F.col("y")).alias("px"), *[r(n, _digits(n)).alias(n) for n in _FULL.feature_names()])
 
 
 # Radar.
@@ -375,4 +409,4 @@ def s1_terrain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s1_two_week_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = temporal.advance(temporal.from_ymd(1997, 1, 4), 1)
     df = views.obs(spark, sf_dir).filter((F.col("ts") >= start) & (F.col("ts") < temporal.advance(start, 2)))
-    return df.groupBy("px").agg(F.round(F.avg("nir") * 10_000, 3).cast("long").alias("nir"))
+    return radar.two_week_mean(df, ["px"], ["nir"])

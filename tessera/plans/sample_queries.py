@@ -56,42 +56,64 @@ def strat_sample_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.stratified_sample(df, "class", ["c_custkey"], class_values=list(_POINTS), class_points=list(_POINTS.values()))
 
 
-def _s_points(n: str, seed: int = DEFAULT_SEED) -> str:
-    ux, uy = uniform_sql(seed, "fid", "k", salt="x"), uniform_sql(seed, "fid", "k", salt="y")
-    return f"(SELECT p.*, k, x0 + {ux} * (x1 - x0) AS px, y0 + {uy} * (y1 - y0) AS py FROM polys p, unnest(range(1, {n} + 1)) u(k))"
+def _s_points(n: dict[int, int], seed: int = DEFAULT_SEED) -> str:
+    """CTEs up to ``pts``: n points over each class's rectangles. All of a rectangle is its box, so every draw counts."""
+    u = {salt: uniform_sql(seed, "class", "k", salt=salt) for salt in "pxy"}
+    rows = ", ".join(f"({c}, {m})" for c, m in n.items())
+    return (
+        f", w AS (SELECT * FROM (VALUES {rows}) v(class, n)), b AS (SELECT p.*, (x1 - x0) * (y1 - y0) AS size, sum((x1 - x0) * (y1 - y0)) OVER (PARTITION BY class ORDER BY fid) AS upto FROM polys p),"
+        f" d AS (SELECT class, n, CAST(unnest(range(1, n + 1)) AS INTEGER) AS k FROM w), t AS (SELECT class, sum(size) AS total FROM b GROUP BY class),"
+        f" a AS (SELECT d.*, {u['p']} * t.total AS at FROM d JOIN t USING (class)),"
+        f" pts AS (SELECT a.class, a.n, a.k, b.fid, x0 + {u['x'].replace('class', 'a.class').replace('CAST(k', 'CAST(a.k')} * (x1 - x0) AS px, y0 + {u['y'].replace('class', 'a.class').replace('CAST(k', 'CAST(a.k')} * (y1 - y0) AS py FROM a JOIN b ON a.class = b.class AND a.at >= b.upto - b.size AND a.at < b.upto)"
+    )
 
 
-@query("random_points_in_polygon", f"SELECT fid, CAST(k AS INTEGER) AS k, {sr('px', 'px', 9)}, {sr('py', 'py', 9)} FROM {_s_points('20')} WHERE px >= x0 AND px < x1 AND py >= y0 AND py < y1", "polys")
+_FEW = {k: 60 for k in range(5)}
+_S_FEW = _s_points(_FEW)
+
+
+@query("random_points_in_polygon", _S_FEW + f" SELECT class, fid, k, {sr('px', 'px', 9)}, {sr('py', 'py', 9)} FROM pts", "polys")
 def random_points_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = sampling.random_points(views.polys(spark, sf_dir), 20)
-    return rounded(out, ["px", "py"], 9).select("fid", "k", "px", "py")
+    out = sampling.random_points(views.polys(spark, sf_dir), _FEW, class_col="class")
+    return rounded(out, ["px", "py"], 9).select("class", "fid", "k", "px", "py")
 
 
-@query("sample_regions", f"SELECT s.fid, CAST(s.k AS INTEGER) AS k, g.cell, {sr('g.elevation', 'elevation')}, g.probability FROM {_s_points('20')} s JOIN grid g ON g.x = floor(s.px) AND g.y = floor(s.py) WHERE g.probability <> 50", "polys", "grid")
+@query("sample_regions", _S_FEW + f" SELECT s.class, s.k, g.cell, {sr('g.elevation', 'elevation')}, g.probability FROM pts s JOIN grid g ON g.x = floor(s.px) AND g.y = floor(s.py) WHERE g.probability <> 50", "polys", "grid")
 def sample_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = sampling.random_points(views.polys(spark, sf_dir), 20).select("fid", "k", "px", "py")
+    points = sampling.random_points(views.polys(spark, sf_dir), _FEW, class_col="class").select("class", "k", "px", "py")
     raster = views.grid(spark, sf_dir).withColumn("probability", F.nullif(F.col("probability"), F.lit(50.0)))
     out = joins.sample_regions(points, raster, 1.0, ["cell", "elevation", "probability"])
-    return rounded(out, ["elevation"]).select("fid", "k", "cell", "elevation", "probability")
+    return rounded(out, ["elevation"]).select("class", "k", "cell", "elevation", "probability")
 
 
-_ID = "(CAST(fid AS VARCHAR) || '_' || lpad(CAST(k AS VARCHAR), 9, '0'))"
-_S_EXTRACT = f", w AS (SELECT * FROM (VALUES {', '.join(f'({k}, {n})' for k, n in _POINTS.items())}) v(class, n)), pts AS (SELECT p.fid, p.class, w.n, k, x0 + {uniform_sql(DEFAULT_SEED, 'fid', 'k', salt='x')} * (x1 - x0) AS px, y0 + {uniform_sql(DEFAULT_SEED, 'fid', 'k', salt='y')} * (y1 - y0) AS py FROM polys p JOIN w ON w.class = p.class, unnest(range(1, 2 * w.n + 1)) u(k)), ext AS (SELECT {_ID} AS id, pts.class, pts.n, g.cell, g.elevation FROM pts JOIN grid g ON g.x = floor(px) AND g.y = floor(py)), ran AS (SELECT *, {uniform_sql(DEFAULT_SEED, 'id')} AS random FROM ext)"
+_ID = "(CAST(class AS VARCHAR) || '_' || lpad(CAST(k AS VARCHAR), 9, '0'))"
+_S_TWICE = _s_points({k: sampling.OVERSAMPLE * n for k, n in _POINTS.items()})
+_S_CUT = f", ran AS (SELECT *, {uniform_sql(DEFAULT_SEED, 'id')} AS random FROM ext), cut AS (SELECT *, row_number() OVER (PARTITION BY class ORDER BY random, id) AS r FROM ran)"
 
 
-@query("strat_sample_extraction", _S_EXTRACT + f" SELECT id, class, cell, {sr('elevation', 'elevation')}, random FROM (SELECT *, row_number() OVER (PARTITION BY class ORDER BY random, id) AS r FROM ran) WHERE r <= n", "polys", "grid")
+@query("strat_sample_extraction", _S_TWICE + f", ext AS (SELECT {_ID} AS id, pts.class, pts.n, g.cell, g.elevation FROM pts JOIN grid g ON g.x = floor(px) AND g.y = floor(py))" + _S_CUT + f" SELECT id, class, cell, {sr('elevation', 'elevation')}, random FROM cut WHERE r <= n // {sampling.OVERSAMPLE}", "polys", "grid")
 def strat_sample_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sampling.sample_with_extraction(views.polys(spark, sf_dir), views.grid(spark, sf_dir), "class", _POINTS, 1.0, ["cell", "elevation"])
     return rounded(out, ["elevation"]).select("id", "class", "cell", "elevation", "random")
 
 
-@query("distance_filter", None)
+def _s_thinned(distance: float, source: str = "pts") -> str:
+    """CTEs up to ``thin``: the points one by one in the order of their ids, each kept if no kept one of its class is near."""
+    return (
+        f", num AS (SELECT *, row_number() OVER (PARTITION BY class ORDER BY k) AS i FROM {source}),"
+        " step AS (SELECT class, CAST(0 AS BIGINT) AS i, CAST([] AS STRUCT(k INTEGER, x DOUBLE, y DOUBLE)[]) AS kept FROM (SELECT DISTINCT class FROM num)"
+        f" UNION ALL SELECT s.class, n.i, CASE WHEN len(list_filter(s.kept, lambda q: sqrt((q.x - n.px) * (q.x - n.px) + (q.y - n.py) * (q.y - n.py)) <= {distance})) = 0 THEN list_append(s.kept, {{'k': n.k, 'x': n.px, 'y': n.py}}) ELSE s.kept END FROM step s JOIN num n ON n.class = s.class AND n.i = s.i + 1),"
+        " done AS (SELECT class, unnest(max_by(kept, i)).k AS k FROM step GROUP BY class), thin AS (SELECT num.* FROM num JOIN done USING (class, k))"
+    )
+
+
+@query("distance_filter", _S_FEW + _s_thinned(0.8) + f" SELECT class * 1000 + k AS id, {sr('px', 'px', 9)}, {sr('py', 'py', 9)} FROM thin", "polys")
 def distance_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = sampling.random_points(views.polys(spark, sf_dir), 40).select((F.col("fid") * 1000 + F.col("k")).alias("id"), "px", "py")
-    return rounded(sampling.distance_filter(points, 0.8, "id", "px", "py"), ["px", "py"], 9)
+    points = sampling.random_points(views.polys(spark, sf_dir), _FEW, class_col="class").select("class", (F.col("class") * 1000 + F.col("k")).alias("id"), "px", "py")
+    return rounded(sampling.distance_filter(points, 0.8, "id", "px", "py", class_col="class"), ["px", "py"], 9).drop("class")
 
 
-@query("strat_sample_thinned", None)
+@query("strat_sample_thinned", _S_TWICE + _s_thinned(0.5) + f", ext AS (SELECT {_ID} AS id, class, n, px, py FROM thin)" + _S_CUT + f" SELECT id, class, {sr('px', 'px', 9)}, {sr('py', 'py', 9)}, random FROM cut WHERE r <= n // {sampling.OVERSAMPLE}", "polys")
 def strat_sample_thinned(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sampling.sample_points(views.polys(spark, sf_dir), "class", _POINTS, distance=0.5)
     return out.select("id", "class", r("px", 9).alias("px"), r("py", 9).alias("py"), "random")
@@ -158,11 +180,11 @@ def share_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(accuracy.share_summary(accuracy.area_by_class(df, "class", "size")), ["mean_share", "median_share"])
 
 
-@query("merge_training", "SELECT o_orderkey, o_orderstatus, CAST(NULL AS VARCHAR) AS o_orderpriority FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 3 = 0")
+@query("merge_training", "SELECT o_orderkey, o_orderstatus, CAST(NULL AS VARCHAR) AS o_orderpriority FROM orders UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders")
 def merge_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = views.table(spark, sf_dir, "orders")
-    one = orders.filter("o_orderkey % 2 = 0").select("o_orderkey", "o_orderstatus")
-    two = orders.filter("o_orderkey % 3 = 0").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    one = orders.select("o_orderkey", "o_orderstatus")
+    two = orders.select("o_orderkey", "o_orderstatus", "o_orderpriority")
     return sampling.merge_sets(one, two)
 
 
@@ -229,14 +251,13 @@ def class_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "area_estimate_ci",
-    f", mapped AS (SELECT pred, count(*) * 100.0 AS area FROM labelled GROUP BY pred), s AS (SELECT label, pred, count(*) AS n FROM labelled WHERE id % 7 = 0 GROUP BY 1, 2), j AS (SELECT s.label, s.n, sum(s.n) OVER (PARTITION BY s.pred) AS ni, m.area / (SELECT sum(area) FROM mapped) AS w FROM s JOIN mapped m ON m.pred = s.pred) SELECT label AS class, {sr('sum(w * n / ni) * (SELECT sum(area) FROM mapped)', 'area', 4)}, {sr('1.96 * sqrt(sum(w * w * (n / ni) * (1 - n / ni) / nullif(ni - 1, 0))) * (SELECT sum(area) FROM mapped)', 'half_width', 4)} FROM j GROUP BY label",
+    f", mapped AS (SELECT pred, count(*) * 100.0 AS area FROM labelled GROUP BY pred), s AS (SELECT label, pred, count(*) AS n FROM labelled GROUP BY 1, 2), j AS (SELECT s.label, s.n, sum(s.n) OVER (PARTITION BY s.pred) AS ni, m.area / (SELECT sum(area) FROM mapped) AS w FROM s JOIN mapped m ON m.pred = s.pred) SELECT label AS class, {sr('sum(w * n / ni) * (SELECT sum(area) FROM mapped)', 'area', 4)}, {sr('1.96 * sqrt(sum(w * w * (n / ni) * (1 - n / ni) / nullif(ni - 1, 0))) * (SELECT sum(area) FROM mapped)', 'half_width', 4)} FROM j GROUP BY label",
     "labelled",
 )
 def area_estimate_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = views.labelled(spark, sf_dir)
     mapped = every.groupBy(F.col("pred").alias("class")).agg((F.count(F.lit(1)) * 100.0).alias("area"))
-    # Reference rows are a systematic sample, as the estimator supposes.
-    return rounded(accuracy.area_estimates(every.filter("id % 7 = 0"), "label", "pred", mapped), ["area", "half_width"], 4)
+    return rounded(accuracy.area_estimates(every, "label", "pred", mapped), ["area", "half_width"], 4)
 
 
 # Random forests of the library's defaults, for all classes and features; no SQL gives their figures.

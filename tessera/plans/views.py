@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from ..functions.geometry import rectangle
 
 SQL = {
-    "obs": "SELECT l_orderkey AS scene, l_suppkey AS px, l_shipdate AS ts, 10000 * l_tax AS blue, 10000 * l_discount AS green, 40 * l_quantity AS red, l_extendedprice / 20 AS nir, l_extendedprice / l_quantity AS swir1, CAST(20 * ((l_suppkey % 50) + l_linenumber) AS DOUBLE) AS swir2, l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem",
+    "obs": "SELECT l_orderkey AS scene, l_suppkey AS px, l_suppkey % 50 AS x, l_suppkey // 50 AS y, CAST(2 * l_linenumber AS INTEGER) AS scl, l_shipdate AS ts, 10000 * l_tax AS blue, 10000 * l_discount AS green, 40 * l_quantity AS red, l_extendedprice / 20 AS nir, l_extendedprice / l_quantity AS swir1, CAST(20 * ((l_suppkey % 50) + l_linenumber) AS DOUBLE) AS swir2, l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem",
     "scenes": "SELECT o_orderkey AS scene, o_orderdate AS ts, o_orderkey % 100 AS cloudy_pct, (o_custkey * 7) % 360 AS azimuth FROM orders",
-    "clouds": "SELECT o_orderkey AS scene, o_custkey AS cloud_id, CAST((o_custkey * 13) % 100 AS DOUBLE) AS probability FROM orders WHERE o_orderkey % 10 <> 0",
+    "clouds": "SELECT o_orderkey AS scene, o_custkey AS cloud_id, CAST((o_custkey * 13) % 100 AS DOUBLE) AS probability FROM orders",
+    "cloudpix": "SELECT l_orderkey AS scene, CAST(l_linenumber % 2 AS BIGINT) AS cloud_id, l_suppkey % 50 AS x, l_suppkey // 50 AS y, CAST((l_partkey * 13) % 100 AS DOUBLE) AS probability FROM lineitem",
     "grid": "SELECT p_partkey % 50 AS x, p_partkey // 50 AS y, p_partkey AS cell, p_retailprice AS elevation, CAST(2 * p_size AS DOUBLE) AS probability, CAST(60 * p_size AS DOUBLE) AS nir, CAST(p_size % 12 AS INTEGER) AS scl, -5 - CAST(p_size AS DOUBLE) / 5 AS VV, -12 - CAST(p_size % 17 AS DOUBLE) / 3 AS VH, 30 + CAST((p_partkey % 50) AS DOUBLE) / 10 + CAST((p_partkey // 50) % 7 AS DOUBLE) / 20 AS angle FROM part",
     "polys": "SELECT CAST(n_nationkey AS BIGINT) AS fid, CAST(n_regionkey AS INTEGER) AS class, CAST((n_nationkey * 7) % 40 AS DOUBLE) AS x0, CAST((n_nationkey * 3) % 35 AS DOUBLE) AS y0, CAST((n_nationkey * 7) % 40 + 4 + n_regionkey AS DOUBLE) AS x1, CAST((n_nationkey * 3) % 35 + 3 + n_nationkey % 4 AS DOUBLE) AS y1 FROM nation",
     "labelled": "SELECT l_orderkey AS id, CAST(l_quantity AS INTEGER) % 8 + 1 AS label, CASE WHEN l_partkey % 5 = 0 THEN l_suppkey % 8 + 1 ELSE CAST(l_quantity AS INTEGER) % 8 + 1 END AS pred FROM lineitem",
@@ -29,6 +30,9 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         c("l_orderkey").alias("scene"),
         c("l_suppkey").alias("px"),
+        (c("l_suppkey") % 50).alias("x"),
+        F.floor(c("l_suppkey") / 50).cast("long").alias("y"),
+        (2 * c("l_linenumber")).cast("int").alias("scl"),
         c("l_shipdate").alias("ts"),
         (10000 * c("l_tax")).alias("blue"),
         (10000 * c("l_discount")).alias("green"),
@@ -50,7 +54,14 @@ def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clouds(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
-    return table(spark, sf_dir, "orders").filter(c("o_orderkey") % 10 != 0).select(c("o_orderkey").alias("scene"), c("o_custkey").alias("cloud_id"), ((c("o_custkey") * 13) % 100).cast("double").alias("probability"))
+    return table(spark, sf_dir, "orders").select(c("o_orderkey").alias("scene"), c("o_custkey").alias("cloud_id"), ((c("o_custkey") * 13) % 100).cast("double").alias("probability"))
+
+
+def cloud_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col
+    image = (c("l_linenumber") % 2).cast("long").alias("cloud_id")
+    x, y = (c("l_suppkey") % 50).alias("x"), F.floor(c("l_suppkey") / 50).cast("long").alias("y")
+    return table(spark, sf_dir, "lineitem").select(c("l_orderkey").alias("scene"), image, x, y, ((c("l_partkey") * 13) % 100).cast("double").alias("probability"))
 
 
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,4 +102,4 @@ def labels_px(spark: SparkSession, sf_dir: str, width: int = 64) -> DataFrame:
 def with_views(sql: str, *names: str) -> str:
     """A query with the named views as leading CTEs."""
     head = ", ".join(f"{n} AS ({SQL[n]})" for n in names)
-    return f"WITH {head}{sql}" if sql.lstrip().startswith(",") else f"WITH {head} {sql}"
+    return f"WITH RECURSIVE {head}{sql}" if sql.lstrip().startswith(",") else f"WITH {head} {sql}"

@@ -110,6 +110,101 @@ def test_thinning_equals_scan(spark):
     assert pairs == {(a[0], b[0]) for a in pts for b in pts if a[0] != b[0] and math.hypot(a[1] - b[1], a[2] - b[2]) <= 6}
 
 
+def test_thinning_within_classes(spark):
+    """Classes over the same square don't thin each other."""
+    square = geometry.ring([(0, 0), (10, 0), (10, 10), (0, 10)])
+    polys = spark.range(2).select(F.col("id").alias("fid"), (F.col("id") + 1).cast("int").alias("class"), square.alias("geom"))
+    got = sampling.sample_points(polys, "class", {1: 30, 2: 30}, distance=3.0).collect()
+    for c in (1, 2):
+        mine = [(r.px, r.py) for r in got if r["class"] == c]
+        assert len(mine) >= 5 and all(math.hypot(a - x, b - y) > 3 for k, (a, b) in enumerate(mine) for x, y in mine[:k])
+
+
+def test_points_are_uniform(spark):
+    """Over polygons of very unequal size and shape, every part of the area gets its share (chi-square)."""
+    shapes = [[(0, 0), (30, 0), (30, 30), (0, 30)], [(100, 0), (101, 0), (101, 1), (100, 1)], [(200, 0), (240, 0), (200, 40)], [(300, 0), (306, 0), (306, 2), (302, 2), (302, 6), (300, 6)]]
+    polys = None
+    for k, s in enumerate(shapes):
+        one = spark.range(1).select(F.lit(k).alias("fid"), F.lit(5).alias("class"), geometry.ring(s).alias("geom"))
+        polys = one if polys is None else polys.union(one)
+    n = 4000
+    got = sampling.random_points(polys, {5: n}, class_col="class")
+    assert got.count() == n
+    areas = np.array([900, 1, 800, 20.0])
+    hits = np.zeros(4)
+    for r in got.groupBy("fid").count().collect():
+        hits[r.fid] = r["count"]
+    want = areas / areas.sum() * n
+    assert ((hits - want) ** 2 / want).sum() < 16.3  # three degrees of freedom, one in a thousand
+    quarters = got.filter("fid = 0").groupBy((F.col("px") > 15).alias("a"), (F.col("py") > 15).alias("b")).count().collect()
+    mean = hits[0] / 4
+    assert sum((q["count"] - mean) ** 2 / mean for q in quarters) < 16.3
+    assert sampling.random_points(polys, 50).count() == 50 and sampling.random_points(polys.limit(0), 50).count() == 0
+
+
+def brute_mask(cells, config, azimuth):
+    """cells: (x, y) -> (cloud, dark); the mask by its definition."""
+    step = lambda v: int(math.copysign(math.floor(abs(v) + 0.5 - stencil.EDGE), v))
+    s, m = config.shadow_grid, config.mask_grid
+    cast = {(x // s + step(k * math.cos(math.radians(azimuth))), y // s + step(k * math.sin(math.radians(azimuth)))) for (x, y), c in cells.items() if c[0] for k in range(1, config.shadow_steps + 1)}
+    hit = {p: c[0] or (c[1] and (p[0] // s, p[1] // s) in cast) for p, c in cells.items()}
+    mid = {}
+    for (x, y), h in hit.items():
+        mid[x // m, y // m] = mid.get((x // m, y // m), False) or h
+    eroded = {p for p in mid if all(mid.get((p[0] + a, p[1] + b), True) for a, b in stencil.circle(config.erode))}
+    grown = {(x + a, y + b) for x, y in eroded for a, b in stencil.circle(config.dilate)}
+    return {p: (p[0] // m, p[1] // m) in grown for p in cells}
+
+
+def test_cloud_masks_by_definition(spark, monkeypatch):
+    """Sparse cells, several scenes, small tiles: masks go over tile borders."""
+    from tessera.config import BANDS
+    from tessera.operators import clouds, tiles
+
+    monkeypatch.setattr(tiles, "TILE", 40)
+    monkeypatch.setattr(clouds, "TILE", 40)
+    monkeypatch.setattr(tiles, "ROWS", 500)
+    config = CompositeConfig(shadow_grid=4, shadow_steps=6, dilate=4, erode=1)
+    rng = random.Random(4)
+    scenes, rows = {}, []
+    for scene, azimuth in ((1, 0.0), (2, 30.0), (3, 200.0)):
+        cells = {}
+        for _ in range(3):
+            cx, cy = rng.randrange(110), rng.randrange(90)
+            cells |= {(x, y): (True, False) for x in range(cx, cx + 9) for y in range(cy, cy + 9)}
+        for x in range(0, 120):
+            for y in range(-20, 100):
+                if rng.random() < 0.7:
+                    cells[x, y] = (cells.get((x, y), (False, False))[0], rng.random() < 0.4)
+        scenes[scene] = azimuth, cells
+        rows += [(scene, x, y, 99.0 if c else 3.0, 1000.0 if d else 3000.0, 4, 90.0 - azimuth) for (x, y), (c, d) in cells.items()]
+    df = spark.createDataFrame(rows, "scene long, x long, y long, probability double, nir double, scl int, azimuth double").repartition(5)
+    got = {(r.scene, r.x, r.y): r for r in clouds.cloud_shadow_mask(df, config, F.lit(90.0) - F.col("azimuth"), ("scene",)).collect()}
+    want = {(s, *p): v for s, (azimuth, cells) in scenes.items() for p, v in brute_mask(cells, config, azimuth).items()}
+    assert {k: r.cloudmask == 1 for k, r in got.items()} == want and 0.05 < np.mean(list(want.values())) < 0.95
+    obs = df.withColumns({b: F.lit(1.0) for b in BANDS if b != "nir"}).drop("probability")
+    masked = clouds.mask_scenes(obs, df.select("scene", "x", "y", "probability"), config)
+    assert {(r.scene, r.x, r.y): r.blue is None for r in masked.collect()} == want
+    # Without a probability a cell is masked, and repeated observations share a cell's mask.
+    twice = clouds.mask_scenes(obs.union(obs), df.filter("x < 60").select("scene", "x", "y", "probability"), config)
+    assert twice.count() == 2 * len(want) and twice.filter("x >= 60 and blue is not null").count() == 0
+
+
+def test_wide_stencils_cross_tiles(spark, monkeypatch):
+    from tessera.operators import tiles
+
+    monkeypatch.setattr(tiles, "TILE", 10)
+    rng = random.Random(6)
+    values = {(x, y): rng.randrange(50) for x in range(-12, 25) for y in range(30) if rng.random() < 0.8}
+    df = spark.createDataFrame([(x, y, v, int(v > 46)) for (x, y), v in values.items()], "x long, y long, v int, one int")
+    low = {(r.x, r.y): r.v for r in stencil.focal_min(df, "v", 3).collect()}
+    assert low == {(x, y): min(values[x + a, y + b] for a, b in stencil.circle(3) if (x + a, y + b) in values) for x, y in values}
+    big = {(r.x, r.y): r.one for r in stencil.focal_max(df, "one", 5).collect()}
+    assert big == {(x, y): int(any(values.get((x + a, y + b), 0) > 46 for a, b in stencil.circle(5))) for x, y in values}
+    plan = stencil.focal_max(df, "one", 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_polygons(spark):
     ell = [(0, 0), (6, 0), (6, 2), (2, 2), (2, 6), (0, 6)]
     polys = spark.range(1).select(F.lit(1).alias("fid"), F.lit(3).alias("class"), geometry.ring(ell).alias("geom"))
