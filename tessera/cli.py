@@ -1,4 +1,4 @@
-"""Command line: sample, composite, train-test, primitives, assemble.
+"""Command line: sample, composite, train-test, primitives, assemble, radar, basemap.
 
 Inputs and outputs are Parquet paths. ``--dry-run`` checks everything and
 explains the plan without running it.
@@ -7,6 +7,7 @@ explains the plan without running it.
 from __future__ import annotations
 
 import argparse
+from datetime import date
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 from .config import CompositeConfig
 from .functions.hashing import DEFAULT_SEED, reshuffled_seed
 from .operators import classify, sampling
-from .plans.composite import feature_stack, masked_observations, scenes_of_year
+from .operators.clouds import margin
+from .plans.composite import SENSOR_BANDS, feature_stack, masked_observations, near_polygons, scenes_of_year, select_bands
+from .plans.sensors import basemap_stack, radar_composite
 from .sources import io
 
 
@@ -52,15 +55,21 @@ def sample(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def composite(spark: SparkSession, args: argparse.Namespace) -> None:
-    """The yearly feature stack, everywhere or inside polygons only."""
+    """The yearly feature stack, everywhere or inside polygons only; only the year's folders, the named tiles and the polygons' surroundings are read."""
     _need(spark, args.observations, args.scenes, args.clouds, args.topography)
     _free(spark, args.output)
     config = CompositeConfig(approximate_percentiles=args.approximate)
     scenes = scenes_of_year(io.read(spark, args.scenes), args.year, args.year, config)
-    obs = masked_observations(io.read(spark, args.observations), scenes, io.read(spark, args.clouds), config)
-    footprint = None
+    tiles = args.tiles.split(",") if args.tiles else None
+    obs, clouds = (io.read_collection(spark, p, (args.year, args.year), tiles) for p in (args.observations, args.clouds))
+    if set(SENSOR_BANDS) <= set(obs.columns):
+        obs = select_bands(obs.withColumnRenamed("SCL", "scl"), ["scene", "ts", "x", "y", "scl"])
     if args.polygons:
         _need(spark, args.polygons)
+        obs, clouds = (near_polygons(df, io.read(spark, args.polygons), margin(config)) for df in (obs, clouds))
+    obs = masked_observations(obs, scenes, clouds, config)
+    footprint = None
+    if args.polygons:
         cells = obs.select("x", "y").distinct()
         footprint = sampling.paint(cells, io.read(spark, args.polygons), args.label).filter(F.col(args.label).isNotNull())
     stack = feature_stack(obs, ["x", "y"], config, io.read(spark, args.topography), footprint=footprint)
@@ -96,11 +105,29 @@ def primitives(spark: SparkSession, args: argparse.Namespace) -> None:
         points.explain("formatted")
         return
     io.make_folder(spark, args.output)
-    for fit in classify.train_primitives(points, args.label, features):
+    forests = {"trees": args.trees, "depth": args.depth}
+    for fit in classify.train_primitives(points, args.label, features, **forests):
         scored = classify.probabilities(stack.select("x", "y", *features), [fit])
         io.write_primitives(scored, args.output, fit.value, f"Class{fit.value}", ["x", "y"])
-        oob = classify.out_of_bag(points, args.label, fit.value, fit.features, ["id"])
-        io.write_metrics(args.metrics, fit.value, fit.importance_top, oob)
+        oob_all, oob = (classify.out_of_bag(points, args.label, fit.value, names, ["id"], **forests) for names in (features, fit.features))
+        io.write_metrics(args.metrics, fit.value, fit.importance_top, oob, oob_all)
+
+
+def radar(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Radar backscatter of two weeks."""
+    _need(spark, args.observations, args.scenes, args.elevation)
+    _free(spark, args.output)
+    image = radar_composite(io.read(spark, args.observations), io.read(spark, args.scenes), io.read(spark, args.elevation), args.start)
+    io.write_image(image, args.output, args.dry_run)
+
+
+def basemap(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Monthly basemaps of a year with their indices, and the terrain."""
+    _need(spark, args.images, *([args.topography] if args.topography else []))
+    _free(spark, args.output)
+    images = io.read_collection(spark, args.images, (args.year, args.year))
+    image = basemap_stack(images, args.year, io.read(spark, args.topography) if args.topography else None)
+    io.write_image(image, args.output, args.dry_run)
 
 
 def assemble(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -147,12 +174,20 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--polygons")
     p.add_argument("--label", default="LANDCOVER")
     p.add_argument("--approximate", action="store_true")
+    p.add_argument("--tiles", help="names of tiles, separated by commas")
     p = command("train-test", train_test, "polygons", "stack")
     points(p)
     p.add_argument("--label", default="LANDCOVER")
     p = command("primitives", primitives, "stack", "metrics")
     p.add_argument("--training", nargs="+", required=True)
     p.add_argument("--label", default="LANDCOVER")
+    p.add_argument("--trees", type=int, default=classify.TREES)
+    p.add_argument("--depth", type=int, default=classify.DEPTH)
+    p = command("radar", radar, "observations", "scenes", "elevation")
+    p.add_argument("--start", type=date.fromisoformat, required=True, help="first day of the two weeks")
+    p = command("basemap", basemap, "images")
+    p.add_argument("--year", type=int, required=True)
+    p.add_argument("--topography")
     command("assemble", assemble, "primitives")
     return top
 

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform
 
+# The forests' settings.
 TREES, BAG, SEED, DEPTH, TOP = 100, 0.7, 51515, 30, 20
+#: Fits at a time.
+AT_ONCE = 8
 
 
 def one_vs_rest(points: DataFrame, label: str, value: int, name: str = "PRIM") -> DataFrame:
@@ -56,6 +61,12 @@ class Primitive:
     importance_top: dict[str, float]
 
 
+def at_once(work, items: list) -> list:
+    """``work`` of each item, some at a time, so that many small jobs share the cluster."""
+    with ThreadPool(AT_ONCE) as pool:
+        return pool.map(inheritable_thread_target(SparkSession.active())(work), items)
+
+
 def train_primitive(points: DataFrame, label: str, value: int, features: list[str], trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> Primitive:
     rows = one_vs_rest(points, label, value)
     fit = lambda names: forest(trees, depth, seed).fit(VectorAssembler(inputCols=names, outputCol="features").transform(rows))
@@ -69,7 +80,7 @@ def train_primitives(points: DataFrame, label: str, features: list[str], values:
     """A primitive for each class; the driver loops over classes, never over rows."""
     points = points.select(label, *features).persist()
     try:
-        return [train_primitive(points, label, v, features, **options) for v in (values or labels_of(points, label))]
+        return at_once(lambda v: train_primitive(points, label, v, features, **options), list(values or labels_of(points, label)))
     finally:
         points.unpersist()
 
@@ -93,11 +104,13 @@ def out_of_bag(points: DataFrame, label: str, value: int, features: list[str], i
     rows = rows.withColumn("__fold", F.floor(uniform(seed, *[F.col(c) for c in id_cols]) * folds).cast("int"))
     rows = VectorAssembler(inputCols=features, outputCol="features").transform(rows).select("features", "PRIM", "__fold", *id_cols).persist()
     try:
-        parts = []
-        for b in range(folds):
+
+        def part(b: int) -> DataFrame:
             held = F.col("__fold").isin([(b + k) % folds for k in range(out)])
             model = forest(max(1, trees // folds), depth, seed + b).setSubsamplingRate(1.0).fit(rows.filter(~held))
-            parts.append(model.transform(rows.filter(held)).select(*id_cols, "PRIM", F.element_at(vector_to_array("__probability"), 2).alias("p")))
+            return model.transform(rows.filter(held)).select(*id_cols, "PRIM", F.element_at(vector_to_array("__probability"), 2).alias("p"))
+
+        parts = at_once(part, list(range(folds)))
         every = parts[0]
         for p in parts[1:]:
             every = every.union(p)
@@ -118,8 +131,3 @@ def most_probable(df: DataFrame, columns: dict[int, str], name: str = "LANDCOVER
 def to_bands(images: DataFrame, keys: list[str], index: str, values: list, band: str) -> DataFrame:
     """A column for each image: a pivot with known values, so one aggregation."""
     return images.groupBy(*keys).pivot(index, values).agg(F.first(band, ignorenulls=True))
-
-
-def confidence(columns: list[str]) -> Column:
-    """The greatest probability."""
-    return F.greatest(*[F.col(c) for c in columns])

@@ -27,9 +27,9 @@ def read(spark: SparkSession, path: str, columns: list[str] | None = None, schem
 
 
 def read_collection(spark: SparkSession, path: str, years: tuple[int, int] | None = None, tiles: list[str] | None = None) -> DataFrame:
-    """Observations; ``year`` and ``tile`` are partition folders, so these filters prune files."""
+    """Observations; where ``year`` and ``tile`` are partition folders, these filters prune files."""
     df = spark.read.parquet(path)
-    if years:
+    if years and "year" in df.columns:
         df = df.filter(df["year"].between(*years))
     if tiles:
         df = df.filter(df["tile"].isin(tiles))
@@ -82,13 +82,16 @@ def read_primitives(spark: SparkSession, collection: str, keys: list[str], value
     return wide.select(*keys, *[wide[str(v)].alias(f"Class{v}") for v in values])
 
 
-def write_metrics(folder: str, value: int, importance: dict[str, float], oob: float) -> None:
-    """A class's variable importances as CSV and its out-of-bag error as text, on the driver."""
+def write_metrics(folder: str, value: int, importance: dict[str, float], oob: float, oob_all: float | None = None) -> None:
+    """A class's variable importances as CSV and its out-of-bag errors (of the last fit, and of the one on all features) as text, on the driver."""
     os.makedirs(folder, exist_ok=True)
     with open(os.path.join(folder, f"varImportanceClass{value}.csv"), "w") as f:
         f.write(",0\n" + "".join(f"{k},{v}\n" for k, v in importance.items()))
     with open(os.path.join(folder, f"oobErrorClass{value}.txt"), "w") as f:
         f.write(str(oob))
+    if oob_all is not None:
+        with open(os.path.join(folder, f"oobErrorAllClass{value}.txt"), "w") as f:
+            f.write(str(oob_all))
 
 
 def write_report(folder: str, classes: DataFrame, confusion: DataFrame, overall: DataFrame) -> None:
