@@ -155,8 +155,8 @@ def _back(docs: DataFrame, replaced: dict[str, Column]) -> list[Column]:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", noise: int = NOISE_WORDS, guarantee: int = GUARANTEE_WORDS) -> DataFrame:
     """The documents with later repeated runs deleted from their text; every input row stays.
 
-    Adds ``lines_total``, ``lines_removed`` and ``runs_removed`` (with ``_``
-    behind the name where the input has such a column).
+    Adds ``lines_total``, ``lines_removed`` and ``runs_removed`` (stretches;
+    with ``_`` behind the name where the input has such a column).
     """
     cut = _cut(docs, id_col, text_col, noise, guarantee)
     names = added(docs, ["lines_total", "lines_removed", "runs_removed"])

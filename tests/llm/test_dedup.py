@@ -31,7 +31,7 @@ def test_line_edges(edge, edge_rows, nothing, passage):
     assert by[3][0].text == passage(1) + " tail"  # another line
     assert by[4][0].text is None and by[5][0].text == "" and by[6][0].text == "   \n\t \n"
     assert by[10][0].lines_removed == 0
-    assert by[11][0].text == "other start" and by[11][0].runs_removed == 2 and by[11][0].lines_removed == 4
+    assert by[11][0].text == "other start" and by[11][0].runs_removed == 1 and by[11][0].lines_removed == 4  # adjoining runs are one stretch
     assert [r.text for r in by[13]] == ["two words"] * 2  # short lines are no runs
     assert line_dedup.dedup_lines(nothing).count() == 0
 
@@ -58,6 +58,70 @@ def test_guarantee(spark):
         assert got[i - 1].lines_removed == 0
 
 
+def brute_lines(rows, key, guarantee=line_dedup.GUARANTEE_WORDS):
+    """(id, text) -> what stays, by the definition: lines of runs that stand at an earlier place go."""
+    docs = sorted(set(rows), key=lambda d: (d[0] is not None, d[0] or 0, key[d[1]]))
+    lines = {d: [x.strip(" ") for x in d[1].split("\n")] for d in docs}
+    first, runs = {}, {}
+    for d in docs:
+        at = [k for k, x in enumerate(lines[d]) if x]
+        size = [len(lines[d][k].split(" ")) for k in at]
+        runs[d] = [(a, b, tuple(lines[d][k] for k in at[a : b + 1])) for a in range(len(at)) for b in range(a, len(at)) if sum(size[a : b + 1]) >= guarantee]
+        for a, _, run in runs[d]:
+            first.setdefault(run, (d, a))
+    out = {}
+    for d in docs:
+        at = [k for k, x in enumerate(lines[d]) if x]
+        gone = sorted({k for a, b, run in runs[d] if first[run] != (d, a) for k in range(a, b + 1)})
+        cut = set()
+        for k in gone:
+            cut |= set(range(at[k], at[k] + 1)) | (set(range(at[k - 1], at[k])) if k - 1 in gone else set())
+        out[d] = "\n".join(x for k, x in enumerate(d[1].split("\n")) if k not in cut) if gone else d[1]
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_lines_brute_force(spark, seed):
+    """Many documents out of few lines, ids that repeat over different texts, null ids, blank lines."""
+    rng = random.Random(seed)
+    bank = [" ".join(f"w{k}x{j}" for j in range(rng.choice([1, 3, 8, 20, 30, 55]))) for k in range(12)] + ["", "  "]
+    rows = [(rng.choice([None, *range(20)]), "\n".join(rng.choice(bank) for _ in range(rng.randint(1, 9)))) for _ in range(70)]
+    rows += rows[:5]
+    df = spark.createDataFrame([(i, t, t) for i, t in rows], "doc_id long, text string, was string")
+    key = {r.was: r.k for r in df.selectExpr("was", "xxhash64(was) AS k").distinct().collect()}
+    want = brute_lines(rows, key)
+    for parts in (1, 5):
+        got = line_dedup.dedup_lines(df.repartition(parts)).collect()
+        assert len(got) == len(rows) and all(r.text == want[r.doc_id, r.was] for r in got)
+    assert sum(r.lines_removed for r in got) > 20
+
+
+def test_no_stitched_runs(spark):
+    """Lines that occur earlier pair by pair, but not as one run, stay."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(20)) for x in "abc")
+    df = spark.createDataFrame([(1, f"{a}\n{b}"), (2, f"{b}\n{c}"), (3, f"{a}\n{b}\n{c}")], "doc_id long, text string")
+    assert [r.lines_removed for r in line_dedup.dedup_lines(df).collect()] == [0, 0, 0]
+
+
+def test_ids_with_several_texts(spark, passage):
+    p, u = passage(1), passage(5)
+    df = spark.createDataFrame([(1, p), (2, u), (2, p), (None, u + " more")], "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.text) for r in line_dedup.dedup_lines(df).collect())
+    assert got == sorted([(1, p), (2, u), (2, ""), (0, u + " more")])
+
+
+def test_clashing_columns(spark, passage):
+    names = ["lines_total", "lines_removed", "runs_removed", "row", "id", "text_key", "cuts", "lines", "kept", "group", "name", "a.b"]
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    df = spark.createDataFrame([(i, passage(1), *[f"mine {n}" for n in names]) for i in (1, 2)], schema)
+    out = line_dedup.dedup_lines(df)
+    assert out.columns == [*df.columns, "lines_total_", "lines_removed_", "runs_removed_"]
+    for frame in (out, line_dedup.drop_repeated_runs(df), ngram_join.keep_representatives(df)):
+        assert all(r[n] == f"mine {n}" for r in frame.collect() for n in names)
+    assert [r.lines_removed_ for r in out.orderBy("doc_id").collect()] == [0, 1]
+    assert sorted(map(tuple, nn_descent.near_duplicates(spark.createDataFrame([(1, [1.0], 1, 7, 8)], "vec_id int, embedding array<double>, label int, id int, component int")).collect())) == [(1, 0, 1, True, 1.0)]
+
+
 def test_lines_stay_native(spark, edge):
     plan = line_dedup.dedup_lines(edge)._jdf.queryExecution().executedPlan().toString()
     assert not any(k in plan for k in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
@@ -67,26 +131,37 @@ def test_lines_stay_native(spark, edge):
 
 
 def brute_components(docs, shingle, num, den):
-    sets, first = {}, {}
-    for i, t in docs:
+    """Sizes and component of each row, by its place in ``docs``; a component's name is its least id."""
+    sets = []
+    for _, t in docs:
         w = (t or "").encode().lower().split()
-        s = frozenset(tuple(w[k : k + shingle]) for k in range(max(1, len(w) - shingle + 1))) if w else frozenset()
-        sets.setdefault(i, []).append(s)
-    ids = [i for i in sets if i is not None]
-    root = {i: i for i in ids}
+        sets.append(frozenset(tuple(w[k : k + shingle]) for k in range(max(1, len(w) - shingle + 1))) if w else frozenset())
+    root = list(range(len(docs)))
 
     def top(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    for a in ids:
-        for b in ids:
-            if a < b and any(x and y and den * len(x & y) >= num * len(x | y) for x in sets[a] for y in sets[b]):
-                p, q = top(a), top(b)
-                root[max(p, q)] = min(p, q)
-    del first
-    return sets, {i: top(i) for i in ids}
+    for a, x in enumerate(sets):
+        for b in range(a):
+            if x and sets[b] and den * len(x & sets[b]) >= num * len(x | sets[b]):
+                root[top(a)] = top(b)
+    named = {}
+    for k, (i, _) in enumerate(docs):
+        if i is not None:
+            named[top(k)] = min(i, named.get(top(k), i))
+    return [len(x) for x in sets], [named.get(top(k)) if x else docs[k][0] for k, x in enumerate(sets)]
+
+
+def joined(df, **options):
+    """The rows' (id, size, component), sorted."""
+    return sorted(map(tuple, ngram_join.jaccard_components(df, **options).collect()), key=repr)
+
+
+def wanted(docs, shingle, num, den):
+    sizes, roots = brute_components(docs, shingle, num, den)
+    return sorted(((i, n, c) for (i, _), n, c in zip(docs, sizes, roots)), key=repr)
 
 
 @pytest.mark.parametrize("shingle,num,den", [(3, 90, 100), (5, 80, 100)])
@@ -104,11 +179,36 @@ def test_join_brute_force(spark, shingle, num, den):
             i += 1
     common = " ".join(f"c{k}" for k in range(30))  # a passage in many texts links nobody
     docs += [(i + k, common + " " + " ".join(f"u{k}x{j}" for j in range(60))) for k in range(30)]
-    got = ngram_join.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"), shingle=shingle, num=num, den=den).collect()
-    sets, roots = brute_components(docs, shingle, num, den)
-    assert {r.doc_id: r.component_id for r in got} == roots
-    assert all(r.n_shingles == len(sets[r.doc_id][0]) for r in got)
-    assert len(set(roots.values())) < len(roots) - 20
+    want = wanted(docs, shingle, num, den)
+    assert joined(spark.createDataFrame(docs, "doc_id long, text string"), shingle=shingle, num=num, den=den) == want
+    assert len({c for _, _, c in want}) < len(want) - 20
+
+
+def test_join_repeated_ids(spark):
+    """One id over different texts, and null ids: rows link by their texts, in any partitioning."""
+    rng = random.Random(7)
+    bases = [[f"b{k}w{j}" for j in range(60)] for k in range(8)]
+    docs = []
+    for _ in range(60):
+        words = list(rng.choice(bases))
+        if rng.random() < 0.5:
+            words[rng.choice([0, 59])] = "other"
+        docs.append((rng.choice([None, *range(9)]), " ".join(words)))
+    docs += [(3, ""), (3, None), (None, "")]
+    want = wanted(docs, 3, 90, 100)
+    kept = None
+    for parts in (1, 4):
+        df = spark.createDataFrame(docs, "doc_id long, text string").repartition(parts)
+        assert joined(df) == want
+        rows = sorted(((r.doc_id, r.text) for r in ngram_join.keep_representatives(df).collect()), key=repr)
+        assert kept is None or rows == kept
+        kept = rows
+    # One of each component, and all the empty ones.
+    sizes, roots = brute_components(docs, 3, 90, 100)
+    full = [(t, c) for (_, t), n, c in zip(docs, sizes, roots) if n]
+    groups = {frozenset(u for u, d in full if d == c) for _, c in full}
+    assert [t or "" for _, t in kept].count("") == 3 and len(kept) >= 3 + len(groups)
+    assert len({(i, t) for i, t in kept if t}) == sum(1 for _, t in kept if t)
 
 
 def test_join_open_group(spark):
@@ -122,8 +222,7 @@ def test_join_open_group(spark):
             words[k] = f"x{i}y{k}"
         docs.append((i, " ".join(words)))
     docs += [(300, " ".join(base)), (301, " ".join(base[:118]))]
-    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert got == brute_components(docs, 3, 90, 100)[1]
+    assert joined(spark.createDataFrame(docs, "doc_id long, text string")) == wanted(docs, 3, 90, 100)
 
 
 def test_join_edges(edge, edge_rows, nothing):
@@ -136,7 +235,7 @@ def test_join_edges(edge, edge_rows, nothing):
     assert ngram_join.jaccard_components(nothing).count() == 0
     kept = ngram_join.keep_representatives(edge)
     assert sorted(tag(r.doc_id) for r in kept.filter("doc_id is not null").collect()) == [1, 4, 5, 6, 7, 8, 9, 10, 11, 12, 14]
-    assert kept.columns == edge.columns
+    assert kept.columns == edge.columns and kept.filter("doc_id is null").count() == 0
 
 
 def test_bands_guarantee():
@@ -215,10 +314,41 @@ def test_vector_edges(spark):
     by = {r.vec_id: r for r in got}
     assert all(by[i].n_links == 0 and by[i].kept for i in (3, 4, 5, 6, 7, 8, 9, 10))
     assert by[2].component_id == by[11].component_id == by[12].component_id == 1
-    assert by[1].n_links == 4 and by[2].n_links == 4 and by[None].n_links == 0
+    assert by[1].n_links == 5 and by[2].n_links == 5
+    assert by[None].n_links == 5 and by[None].component_id == 1 and not by[None].kept
     assert nn_descent.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["smallint", "string"])
+def test_vectors_repeated_ids(spark, kind):
+    """One id over different vectors, null ids, ids of any type: rows link by their vectors."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(5, 8))
+    rows = []
+    for k in range(60):
+        i = [None, *range(12)][int(rng.integers(13))]
+        v = centres[rng.integers(5)] + 0.08 * rng.normal(size=8) * int(rng.integers(2))
+        rows.append((i, v.tolist(), int(rng.integers(2))))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").selectExpr(f"cast(vec_id as {kind}) as vec_id", "embedding", "label")
+    v = np.array([r[1] for r in rows])
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    hit = (v @ v.T >= 0.93) & (label[:, None] == label[None, :])
+    np.fill_diagonal(hit, False)
+    root = np.arange(len(rows))
+    while True:
+        new = np.array([min(root[k], root[hit[k]].min(initial=root[k])) for k in range(len(rows))])
+        if (new == root).all():
+            break
+        root = new
+    cast = (lambda i: i) if kind == "smallint" else (lambda i: None if i is None else str(i))
+    ids = [cast(r[0]) for r in rows]
+    name = {c: min((i for i, d in zip(ids, root) if d == c and i is not None), default=None) for c in root}
+    want = sorted(((i, int(n), name[c], i == name[c], 1.0) for i, n, c in zip(ids, hit.sum(1), root)), key=repr)
+    for parts in (1, 4):
+        assert sorted(map(tuple, nn_descent.near_duplicates(df.repartition(parts)).collect()), key=repr) == want
+
+
 def test_crowded_label(spark):
     """Vectors that share a direction crowd the trees' leaves, and few pairs among them link: every pair is found still."""
     rng = np.random.default_rng(0)

@@ -1,6 +1,7 @@
 """LM scoring and language ID against brute force."""
 
 import math
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -89,6 +90,84 @@ def test_forward_sums_all_segmentations():
     assert counts @ sizes == pytest.approx(sum(map(len, words)))
 
 
+def test_long_words():
+    """Words of any length are scored whole, in range, and teach as the lattice does."""
+    pieces = {"▁a": 0, "▁ab": 1, "b": 2, "bc": 3, "c": 4, "▁abc": 5}
+    p = np.array([0.2, 0.1, 0.3, 0.15, 0.2, 0.05, 1e-3])
+    for word in ["abc", "a", "abcb", "zzb", "bca", "abcbcbcabcbbbcc"]:
+        assert np.exp(language_id.long_word(word, p[:, None], pieces, 4)[0]) == pytest.approx(brute(word, p, pieces))
+        assert language_id.long_expected(word, p, pieces, 4) == pytest.approx(language_id.Lattice([word], pieces, 4).expected(p, np.ones(1)))
+    assert language_id.long_word("z" * 3000, p[:, None], pieces, 4)[0] == pytest.approx(3000 * math.log(1e-3))
+    both = language_id._Scorer(pieces, np.stack([p, p[::-1]], 1))
+    words = ["abc" * 30, "abc", "zb" * 21]  # on both sides of the bound
+    sums = language_id._sums([" ".join(words).encode()], both)[0]
+    assert sums[0] == pytest.approx(sum(language_id.long_word(w, p[:, None], pieces, 4)[0] for w in words)) and sums[2] == 3
+
+
+def test_letters():
+    assert language_id.words_of("½ ② Ⅷ 12 _ !".encode()) == []
+    assert language_id.words_of("ÉTÉ a1b 日本".encode()) == ["été", "a", "b", "日本"]
+
+
+def test_languages_by_definition(spark, sf_dir, monkeypatch):
+    """Every prediction of the query equals a plain scorer's: products of word sums, one segmentation step at a time."""
+    from tessera.llm import queries, vocab
+
+    taught = []
+    teach = language_id.teach
+    monkeypatch.setattr(language_id, "teach", lambda *a: taught.append(teach(*a)) or taught[-1])
+    got = {r.doc_id: r for r in queries.QUERIES["op9_language_id"](spark, sf_dir).collect()}
+    languages, table = taught[0]
+    pieces = language_id.piece_ids(vocab.vocabulary_path("piece_bpe_32k.model"))
+    longest, logs, known = max(map(len, pieces)), np.log(table), {}
+
+    def word(w):
+        ends = [np.zeros(len(languages))]
+        for j in range(1, len(w) + 1):
+            parts = []
+            for i in range(max(0, j - longest), j):
+                k = pieces.get(w[i:j] if i else "▁" + w[:j], len(pieces) if i == j - 1 else None)
+                if k is not None:
+                    parts.append(ends[i] + logs[k])
+            ends.append(np.logaddexp.reduce(parts))
+        return ends[-1]
+
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
+        letters = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in (r.text or "").lower())
+        total = np.zeros(len(languages))
+        for w in letters.split():
+            if w not in known:
+                known[w] = word(w)
+            total = total + known[w]
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        if not letters.split():
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0)
+            continue
+        share = np.exp(total - np.logaddexp.reduce(total))
+        assert got[r.doc_id].score == pytest.approx(share.max(), rel=1e-6)
+        assert got[r.doc_id].lang_pred == languages[int(share.argmax())] or np.sort(share)[-2] == pytest.approx(share.max())
+
+
+def test_weights_by_plain_em():
+    """The buckets' weights equal expectation-maximisation over single tokens, but for the rounding of estimates."""
+    rng = np.random.default_rng(2)
+    rows = [(int(b), int(rng.integers(-1, 40)), int(rng.integers(0, 60)), int(rng.integers(1, 9))) for b in rng.integers(0, 4, 60)]
+    got = lm_scoring.learn_weights(rows, 1000, 500)
+    single = [(b, 0.0 if two < 0 else 2 ** (-two / lm_scoring.STEPS), 2 ** (-one / lm_scoring.STEPS), 1 / 501) for b, two, one, n in rows for _ in range(n)]
+    w = np.full((lm_scoring.BUCKETS, 3), 1 / 3)
+    w[0] = 0, 0.5, 0.5
+    for _ in range(40):
+        mass = np.zeros_like(w)
+        for b, *p in single:
+            part = w[b] * p
+            mass[b] += part / part.sum()
+        mean = mass.sum(0) / mass.sum()
+        for b in range(len(w)):
+            mass[b] += 5 * (np.array([0, mean[1], mean[0] + mean[2]]) if b == 0 else mean)
+        w = mass / mass.sum(1, keepdims=True)
+    assert got[:4] == pytest.approx(w[:4], rel=1e-4)
+
+
 def test_languages(spark, sf_dir, edge, nothing):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = language_id.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out")

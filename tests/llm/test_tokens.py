@@ -109,14 +109,44 @@ def test_counts_equal_library(edge, edge_rows, library):
 
 
 def test_small_blocks(edge, edge_rows, library, monkeypatch):
+    """Many blocks, and texts counted slice by slice, give the same counts."""
     monkeypatch.setattr(token_counts, "BLOCK_BYTES", 1)
     monkeypatch.setattr(token_counts, "LONG_TEXT", 100)
-    splitter = token_counts._Splitter(vocab.load(PATH))
+    words, splitter = vocab.load(PATH), token_counts._Splitter(vocab.load(PATH))
+    encode = vocab.library_encoder(PATH)
+    pieces = vocab.pieces_of
+    monkeypatch.setattr(vocab, "pieces_of", lambda text: pieces(text, 64))
     for _, t in edge_rows:
         block = token_counts._Block(splitter)
         block.add(1, (t or "").encode())
         row = block.row(0)
-        assert sum(len(w) for _, w in row["vocabulary"]) >= 0 and row["docs"] == [1]
+        listed = [w for _, part in row["vocabulary"] for w in zlib.decompress(part).split(b"\n")]
+        items = np.cumsum(token_counts._unpack(row["items"], np.uint32), dtype=np.uint32)
+        freqs = token_counts._unpack(row["freqs"], np.uint32)
+        count = sum(int(n) * (1 if listed[k].decode() in words.specials else len(encode(listed[k]))) for k, n in zip(items, freqs))
+        assert count == len(library.encode(t or "", add_special_tokens=False).ids)
+
+
+def test_slices_are_whole():
+    """Slices go on to white space; a text without any is one slice, in time that grows with it."""
+    rng = random.Random(3)
+    for _ in range(40):
+        text = "".join(rng.choice("ab \t\n\x0b\r\x0c") for _ in range(400)).encode()
+        for limit in (1, 7, 100, 1000):
+            assert [w for words in vocab.pieces_of(text, limit) for w in words] == text.split()
+    text = b"x" * (3 << 20) + b" y " + b"z" * (2 << 20)
+    assert [len(w) for words in vocab.pieces_of(text) for w in words] == [3 << 20, 1, 2 << 20]
+
+
+@pytest.mark.parametrize("text", ["thinaerou" * 8000 + "'s<|endoftext|>X1 9'll", "é日本" * 20_000, " a b " + "x1" * 30_000 + "<|endoftext|>" * 3000 + " end", "q" * 70_000, "a " * 700_000])
+def test_long_chunks_equal_library(text, library):
+    """Chunks whose tokens are never listed at once, and texts of more than one slice."""
+    codec = transducer._Codec(PATH)
+    ids = library.encode(text, add_special_tokens=False).ids
+    decoded = library.decode(ids, skip_special_tokens=False)
+    assert codec.digest(text.encode()) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
+    sizes = [len(b) for c in text.encode().split() if len(c) > transducer.LONG_CHUNK for b in codec.transducer.batches(c)]
+    assert max(sizes, default=0) <= 4096 + 200
 
 
 def test_packing_is_whole(edge, edge_rows, library):
