@@ -119,7 +119,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = found.withColumn("stretch", F.sum("new").over(by_first.rowsBetween(Window.unboundedPreceding, 0)))
     stretches = found.groupBy(*doc, "stretch").agg(F.min("first").alias("first"), F.max("last").alias("last")).select(*doc, F.col("first.at").alias("first"), F.col("last.at").alias("last"))
     stretches = scratch.put(stretches, "stretches")
-    scratch.drop("lines", "prints", "candidates", "partners")
+    scratch.keep("stretches")
     return stretches
 
 

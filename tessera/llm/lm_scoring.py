@@ -350,5 +350,5 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     scored = opened.select("docs", *columns).mapInArrow(score, f"`{id_col}` {id_kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     result = scratch.put(scored, "scores")
-    scratch.drop("blocks", "totals")
+    scratch.keep("scores")
     return result

@@ -652,5 +652,5 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     scratch = Scratch(docs.sparkSession, "media")
     files = scratch.put(media(docs, id_col, text_col), "files", ROW_GROUP)
     result = scratch.put(read_back(files, id_col), "digests")
-    scratch.drop("files")
+    scratch.keep("digests")
     return result

@@ -402,7 +402,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, shingle: int, num: int,
     empty = F.col("n") == 0
     result = result.select("id", "text_key", "n", F.when(~empty, F.col("group")).alias("group"), F.when(empty, F.col("id")).otherwise(F.coalesce("name", "id")).alias("name"))
     result = scratch.put(result, "result")
-    scratch.drop("rows", "classes", "components", "grouped", "names", "named")
+    scratch.keep("result")
     return result
 
 

@@ -343,5 +343,5 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     component = F.when(F.col("compared"), F.col("name")).otherwise(F.col("id"))
     result = rows.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), F.lit(float(recall)).alias("audit_recall"))
     result = scratch.put(result, "result")
-    scratch.drop("classes", "labels", "nodes", "linked", "names", "named", f"edges-{step}", f"clusters-{step}", f"tiles-{step}", "tiles-whole", "weak", "judges", "label-sizes")
+    scratch.keep("result")
     return result

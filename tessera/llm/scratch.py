@@ -53,14 +53,19 @@ def added(df: DataFrame, names: list[str]) -> dict[str, str]:
 
 
 class Scratch:
-    """Tables of one operator call: ``put`` writes one and reads it back, ``drop`` deletes."""
+    """Tables of one operator call: ``put`` writes one and reads it back, ``drop`` and ``keep`` delete.
+
+    An operator leaves its result, which is read later, and nothing else.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.tables: set[str] = set()
 
     def put(self, df: DataFrame, table: str, row_group: int | None = None) -> DataFrame:
         path = f"{self.root}/{table}"
+        self.tables.add(table)
         writer = df.write.option("compression", "zstd")
         (writer.option("parquet.block.size", row_group) if row_group else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
@@ -71,6 +76,11 @@ class Scratch:
         for table in tables:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
             path.getFileSystem(conf).delete(path, True)
+            self.tables.discard(table)
+
+    def keep(self, *tables: str) -> None:
+        """Deletes all tables but these: what a result that is written needs no longer."""
+        self.drop(*sorted(self.tables.difference(tables)))
 
     def settle(self) -> None:
         """Let Spark delete the shuffle files of finished phases now, not when the driver next collects garbage.

@@ -219,5 +219,5 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays([docs_k, n_bytes, pa.array(n, pa.int64()), pa.array(n > limit, pa.bool_())], names=[id_col, "n_bytes", "n_tokens", "over_limit"])
 
     result = scratch.put(joined.mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, n_tokens long, over_limit boolean"), "counts")
-    scratch.drop("blocks")
+    scratch.keep("counts")
     return result
