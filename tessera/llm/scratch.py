@@ -19,6 +19,9 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Masters that are one process.
+LOCAL = r"local(\[|$)"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a temporary one where it is unset and the master is this machine alone."""
@@ -28,7 +31,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = getattr(spark.sparkContext, "_tessera_scratch", None)
         if path is None:
-            if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            if not re.match(LOCAL, spark.sparkContext.master):
                 raise ValueError("spark.checkpoint.dir is unset: it must name a folder that driver and executors share")
             path = "file://" + tempfile.mkdtemp(prefix="tessera-")
             spark.sparkContext._tessera_scratch = path
@@ -86,8 +89,11 @@ class Scratch:
         """Let Spark delete the shuffle files of finished phases now, not when the driver next collects garbage.
 
         The first collection releases what listeners still held, the second
-        the shuffles themselves; files go in the background.
+        the shuffles themselves; files go in the background. Where everything
+        runs in this process, its own collections come soon enough.
         """
+        if re.match(LOCAL, self.spark.sparkContext.master):
+            return
         for _ in range(2):
             gc.collect()
             self.spark.sparkContext._jvm.System.gc()
