@@ -172,6 +172,7 @@ def teach(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, catego
     counted = scratch.put(counted, "words")
     totals = rows.agg(F.count(F.lit(1)), *[F.coalesce(F.sum(n), F.lit(0.0)) for n in names]).first()
     if not totals[0]:
+        scratch.keep()
         return {}, []
     selected: list[str] = []
     for c in range(len(names)):
