@@ -25,7 +25,8 @@ def near_pairs(points: DataFrame, distance: float, id_col: str = "id", x: str =
     around = F.array(*[F.struct(F.lit(i).cast("long").alias("i"), F.lit(j).cast("long").alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     seeking = placed.withColumn("o", F.explode(around)).select("class", F.col("id").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"), (F.col("cx") + F.col("o.i")).alias("cx"), (F.col("cy") + F.col("o.j")).alias("cy"))
     far = F.hypot(F.col("x") - F.col("ox"), F.col("y") - F.col("oy"))
-    return placed.join(seeking, ["class", "cx", "cy"]).filter((F.col("id") != F.col("other")) & (far <= distance)).select("id", "other", far.alias("distance"))
+    # Both sides grow with the input: neither is ever broadcast, however small its file looks.
+    return placed.join(seeking.hint("merge"), ["class", "cx", "cy"]).filter((F.col("id") != F.col("other")) & (far <= distance)).select("id", "other", far.alias("distance"))
 
 
 def sample_regions(points: DataFrame, raster: DataFrame, scale: float, bands: list[str], x: str = "px", y: str = "py") -> DataFrame:

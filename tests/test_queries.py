@@ -33,6 +33,12 @@ def test_composite_has_one_exchange(spark, sf_dir):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_near_points_are_never_broadcast(spark, sf_dir):
+    """The points grow with the input, so the driver must not hold them, even where their file is small."""
+    plan = registry.QUERIES["distance_pairs"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_forests_of_the_defaults(spark, sf_dir, monkeypatch):
     """The forest queries take the library's trees and depth, all features and all classes."""
     from tessera.operators import classify
