@@ -16,8 +16,10 @@ from ..functions.hashing import uniform
 
 # The forests' settings.
 TREES, BAG, SEED, DEPTH, TOP = 100, 0.7, 51515, 30, 20
-#: Fits at a time.
-AT_ONCE = 8
+#: Fits at a time; the driver holds the trees of each.
+AT_ONCE = 6
+#: Rows that make a partition of a fit worth while.
+ROWS = 50_000
 
 
 def one_vs_rest(points: DataFrame, label: str, value: int, name: str = "PRIM") -> DataFrame:
@@ -31,7 +33,8 @@ def labels_of(points: DataFrame, label: str) -> list[int]:
 
 
 def forest(trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> RandomForestClassifier:
-    return RandomForestClassifier(featuresCol="features", labelCol="PRIM", numTrees=trees, minInstancesPerNode=1, subsamplingRate=BAG, seed=seed, maxDepth=depth, featureSubsetStrategy="sqrt", probabilityCol="__probability", rawPredictionCol="__raw", predictionCol="__prediction")
+    """The settings of a fit. Rows keep the node they are at, or each level would send all trees and walk them from the root."""
+    return RandomForestClassifier(featuresCol="features", labelCol="PRIM", numTrees=trees, minInstancesPerNode=1, subsamplingRate=BAG, seed=seed, maxDepth=depth, featureSubsetStrategy="sqrt", probabilityCol="__probability", rawPredictionCol="__raw", predictionCol="__prediction", cacheNodeIds=True)
 
 
 def importances(model: RandomForestClassificationModel, features: list[str]) -> dict[str, float]:
@@ -67,6 +70,16 @@ def at_once(work, items: list) -> list:
         return pool.map(inheritable_thread_target(SparkSession.active())(work), items)
 
 
+def together(rows: DataFrame) -> DataFrame:
+    """Persisted rows in no more partitions than they need.
+
+    A partition makes, sorts and sends sums for every open node of every tree,
+    so its cost goes by the trees' size; fits that run side by side use the
+    cores.
+    """
+    return rows.coalesce(-(-rows.count() // ROWS) or 1)
+
+
 def train_primitive(points: DataFrame, label: str, value: int, features: list[str], trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> Primitive:
     rows = one_vs_rest(points, label, value)
     fit = lambda names: forest(trees, depth, seed).fit(VectorAssembler(inputCols=names, outputCol="features").transform(rows))
@@ -80,7 +93,8 @@ def train_primitives(points: DataFrame, label: str, features: list[str], values:
     """A primitive for each class; the driver loops over classes, never over rows."""
     points = points.select(label, *features).persist()
     try:
-        return at_once(lambda v: train_primitive(points, label, v, features, **options), list(values or labels_of(points, label)))
+        rows = together(points)
+        return at_once(lambda v: train_primitive(rows, label, v, features, **options), list(values or labels_of(points, label)))
     finally:
         points.unpersist()
 

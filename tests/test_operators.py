@@ -253,6 +253,22 @@ def test_accuracy_by_hand(spark):
     assert m == {1: (6, 2, 0, 0), 2: (0, 3, 1, 0), 3: (4, 0, 4, 0), 4: (0, 0, 0, 0)}
 
 
+def test_fits_have_few_partitions(spark, monkeypatch):
+    """Each partition makes sums for every open node of all trees, so a fit of few rows gets one; rows keep their nodes."""
+    rows = spark.range(1000).selectExpr("id", "id % 3 as LANDCOVER", "double(id % 7) as a").repartition(8).persist()
+    assert classify.together(rows).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(classify, "ROWS", 400)
+    assert classify.together(rows).rdd.getNumPartitions() == 3
+    assert classify.together(rows.limit(0)).count() == 0
+    rows.unpersist()
+    assert classify.forest().getCacheNodeIds()
+    seen, fit = [], classify.RandomForestClassifier.fit
+    monkeypatch.setattr(classify, "ROWS", 5000)
+    monkeypatch.setattr(classify.RandomForestClassifier, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    classify.train_primitives(rows, "LANDCOVER", ["a"], [1], trees=2, depth=2)
+    assert seen == [1, 1]
+
+
 def test_forest(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(120, 4))
