@@ -125,7 +125,7 @@ def out_of_bag(points: DataFrame, label: str, value: int, features: list[str], i
             model = forest(max(1, trees // folds), depth, seed + b).setSubsamplingRate(1.0).fit(few.filter(~held))
             return model.transform(few.filter(held)).select(*id_cols, "PRIM", F.element_at(vector_to_array("__probability"), 2).alias("p"))
 
-        parts = at_once(part, list(range(folds)), 3)  # ten at once filled a heap of 750 MB at 102,564 rows
+        parts = at_once(part, list(range(folds)), AT_ONCE if few.rdd.getNumPartitions() == 1 else 3)  # ten at once filled a heap of 750 MB at 102,564 rows
         every = parts[0]
         for p in parts[1:]:
             every = every.union(p)
