@@ -30,10 +30,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import Scratch, ship
+from .scratch import Scratch, one_a_batch, release, ship
 from .shingles import WordHashes, mix, word_hashes
 
 BLOCK_TOKENS = 2_500_000
+#: Tokens of a block that are scored at once.
+SLICE_TOKENS = 1 << 18
 FOLDS, TEST_FOLD, TUNE_FOLD = 10, 0, 1
 BUCKETS = 40
 #: Steps of the logarithmic rounding of estimates in the EM histogram, a doubling.
@@ -73,16 +75,20 @@ def block_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         def row(block):
             sizes = np.array([len(p) for p in parts], np.uint32)
             every = np.concatenate(parts)
+            parts.clear()
             order = np.argsort(every, kind="stable")
             ranked = every[order]
+            del every
             new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-            words, place = ranked[new], np.cumsum(new) - 1
+            words, place = ranked[new], np.cumsum(new, dtype=np.int32) - 1
+            del ranked
             counts = np.bincount(place)
             by_count = np.argsort(-counts, kind="stable")
             rank = np.empty(len(words), np.uint32)
             rank[by_count] = np.arange(len(words), dtype=np.uint32)
-            items = np.empty(len(every), np.uint32)
+            items = np.empty(len(order), np.uint32)
             items[order] = rank[place]
+            del order, place
             folds = np.array([fold(i) for i in ids], np.uint8)
             train = int(sizes[folds != TEST_FOLD].sum())
             tune = int(sizes[folds == TUNE_FOLD].sum())
@@ -103,6 +109,8 @@ def block_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     ids, parts, held, made = [], [], 0, made + 1
         if ids:
             yield row(base + made)
+        _memo.clear()  # the worker goes on to the next phases
+        release()
 
     return source.mapInArrow(run, f"block long, docs array<{kind}>, folds binary, sizes binary, items binary, words binary, tokens long, train long, tune long")
 
@@ -129,20 +137,22 @@ class Block:
                 j = slice(i, i + (1 << 18))
                 self.raw[j] = mix(mix(self.raw[j] * _STEP + np.uint64(2)) ^ current[j])
 
-    def unigrams(self, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(keys, position of each chosen token among them)."""
+    def unigrams(self) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, position of each token among them)."""
         place = np.empty(len(self.uni_order), np.int32)
         place[self.uni_order] = np.arange(len(self.uni_order), dtype=np.int32)
-        return self.uni_keys, place[self.items if at is None else self.items[at]]
+        return self.uni_keys, place[self.items]
 
     def bigrams(self, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         if at is None:
             order = np.argsort(self.raw)
             ranked = self.raw[order]
             new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+            keys = ranked[new]
+            del ranked
             place = np.empty(len(order), np.int32)
             place[order] = np.cumsum(new, dtype=np.int32) - 1
-            return ranked[new], place
+            return keys, place
         keys = np.sort(self.raw)
         keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
         return keys, np.searchsorted(keys, self.raw[at])
@@ -181,13 +191,16 @@ def ngram_counts(table: DataFrame, ranges: int) -> DataFrame:
                 block = Block(folds, sizes, items, words)
                 f = block.token_folds()
                 rows = []
-                for kind, (keys, place) in enumerate((block.unigrams(), block.bigrams())):
+                for kind, grams in enumerate((block.unigrams, block.bigrams)):
+                    keys, place = grams()
                     tuned = np.bincount(place[f == TUNE_FOLD], minlength=len(keys)).astype(np.uint32)
                     kept = np.bincount(place[(f != TUNE_FOLD) & (f != TEST_FOLD)], minlength=len(keys)).astype(np.uint32)
                     of = (keys >> shift).astype(np.int64)
                     cuts = np.flatnonzero(np.diff(of, prepend=-1))  # ranges that have keys only
                     for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)]):
                         rows.append((int(of[i]), number, kind, j - i, _squeeze(keys[i:j]), _pack(kept[i:j]), _pack(tuned[i:j])))
+                del block, f, keys, place, tuned, kept, of
+                release()
                 columns = list(zip(*rows))
                 types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["range", "block", "kind", "n", "keys", "retained", "tuned"])
@@ -235,6 +248,8 @@ def totals(counts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
         if group:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*answer(group)), types)], names=names)
+        group = batch = out = None
+        release()
 
     placed = counts.repartition("range", "kind").sortWithinPartitions("range", "kind", "block")
     return placed.mapInArrow(run, "block long, kind int, range long, retained binary, train binary, kinds_retained long, kinds_train long")
@@ -245,23 +260,25 @@ def bucket(context_count: np.ndarray) -> np.ndarray:
     return np.minimum(BUCKETS - 1, np.frexp(context_count.astype(np.float64))[1] * (context_count > 0))
 
 
-def _estimates(block: Block, given: list, train: bool, at: np.ndarray | None):
-    """Counts of each chosen token, of its context and of the pair."""
+def _estimates(block: Block, given: list, train: bool, at: np.ndarray | None, docs: int):
+    """(first token, counts of each chosen token, of its context and of the pair), some tokens at a time; ``docs`` counts a text's start."""
     found = [[], []]
     for kind, _, retained, all_train in sorted((g["kind"], g["range"], g["retained"], g["train"]) for g in given):
         found[kind].append(_unpack(all_train if train else retained, np.uint32))
-    uni, bi = (np.concatenate(f).astype(np.int64) if f else np.zeros(0, np.int64) for f in found)
-    _, place = block.unigrams()
-    word = uni[place]
-    context = np.empty(len(word), np.int64)
-    context[1:] = word[:-1]
-    begin = np.zeros(len(word), bool)
+    given.clear()
+    uni, bi = (np.concatenate(f) if f else np.zeros(0, np.uint32) for f in found)
+    found.clear()
+    of_word = np.empty(len(uni), np.uint32)  # by the block's vocabulary, like its items
+    of_word[block.uni_order] = uni
+    begin = np.zeros(len(block.items), bool)
     begin[block.begins] = True
     _, place = block.bigrams(at)
-    pair = bi[place]
-    if at is not None:
-        word, context, begin = word[at], context[at], begin[at]
-    return word, context, begin, pair
+    for i in range(0, len(place), SLICE_TOKENS):
+        j = min(i + SLICE_TOKENS, len(place))
+        mine = np.arange(i, j) if at is None else at[i:j]
+        word = of_word[block.items[mine]].astype(np.int64)
+        context = np.where(begin[mine], docs, of_word[block.items[mine - 1]].astype(np.int64))
+        yield i, word, context, bi[place[i:j]].astype(np.int64)
 
 
 def learn_weights(histogram: list[tuple[int, int, int, int]], tokens: int, kinds: int, rounds: int = 40) -> np.ndarray:
@@ -319,17 +336,21 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 at = np.flatnonzero(block.token_folds() == TUNE_FOLD)
                 if not len(at):
                     continue
-                word, context, begin, pair = _estimates(block, answered, False, at)
-                context = np.where(begin, docs_retained, context)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    step = lambda p: np.where(p > 0, np.rint(-STEPS * np.log2(np.where(p > 0, p, 1))), -1).astype(np.int64)
-                    two, one = step(pair / np.maximum(context, 1)), step(word / max(1, n_retained))
-                key, count = np.unique((bucket(context).astype(np.int64) << 40) | ((two + 1) << 20) | (one + 1), return_counts=True)
+                found = []
+                for _, word, context, pair in _estimates(block, answered, False, at, docs_retained):
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        step = lambda p: np.where(p > 0, np.rint(-STEPS * np.log2(np.where(p > 0, p, 1))), -1).astype(np.int64)
+                        two, one = step(pair / np.maximum(context, 1)), step(word / max(1, n_retained))
+                    found.append((bucket(context).astype(np.int64) << 40) | ((two + 1) << 20) | (one + 1))
+                key, count = np.unique(np.concatenate(found), return_counts=True)
+                del block, at, found
+                release()
                 yield pa.RecordBatch.from_arrays([pa.array(key >> 40), pa.array(((key >> 20) & 0xFFFFF) - 1), pa.array((key & 0xFFFFF) - 1), pa.array(count.astype(np.int64))], names=["bucket", "two", "one", "n"])
 
     columns = ["folds", "sizes", "items", "words", "given"]
     histogram = opened.select(*columns).mapInArrow(tune, "bucket long, two long, one long, n long").groupBy("bucket", "two", "one").agg(F.sum("n").alias("n"))
-    rows = sorted(tuple(r) for r in histogram.collect())  # bounded by BUCKETS and the steps of both estimates; EM sums in this order
+    with one_a_batch(spark):
+        rows = sorted(tuple(r) for r in histogram.collect())  # bounded by BUCKETS and the steps of both estimates; EM sums in this order
     weights = learn_weights(rows, n_retained, kinds_retained)
     scratch.settle()
 
@@ -339,16 +360,23 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 folds, sizes, items, words, answered = (batch.column(c)[k].as_py() for c in range(1, 6))
                 ids = batch.column(0).slice(k, 1).flatten()
                 block = Block(folds, sizes, items, words)
-                word, context, begin, pair = _estimates(block, answered, True, None)
-                context = np.where(begin, docs_train, context)
-                w = weights[bucket(context)]
-                p = w[:, 0] * pair / np.maximum(context, 1) + w[:, 1] * word / max(1, n_train) + w[:, 2] / (kinds_train + 1)
-                total = lambda x: np.add.reduceat(x, block.begins)
-                base = np.log10((word + 0.1) / (n_train + 0.1 * (kinds_train + 1)))
                 n = len(ids)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(block.folds == TEST_FOLD), pa.array(block.sizes), pa.array(total((word > 0).astype(np.int64))), pa.array(np.full(n, n_train, np.int64)), pa.array(total(base)), pa.array(total(np.log10(p)))], names=[id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                known, base, score = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+                for i, word, context, pair in _estimates(block, answered, True, None, docs_train):
+                    w = weights[bucket(context)]
+                    p = w[:, 0] * pair / np.maximum(context, 1) + w[:, 1] * word / max(1, n_train) + w[:, 2] / (kinds_train + 1)
+                    # The texts that have tokens here; a long one goes on in the next slice.
+                    a, b = np.searchsorted(block.ends, i, "right"), np.searchsorted(block.begins, i + len(word))
+                    starts = np.maximum(block.begins[a:b] - i, 0)
+                    known[a:b] += np.add.reduceat((word > 0).astype(np.int64), starts)
+                    base[a:b] += np.add.reduceat(np.log10((word + 0.1) / (n_train + 0.1 * (kinds_train + 1))), starts)
+                    score[a:b] += np.add.reduceat(np.log10(p), starts)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(block.folds == TEST_FOLD), pa.array(block.sizes), pa.array(known), pa.array(np.full(n, n_train, np.int64)), pa.array(base), pa.array(score)], names=[id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                del block
+                release()
 
     scored = opened.select("docs", *columns).mapInArrow(score, f"`{id_col}` {id_kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    result = scratch.put(scored, "scores")
+    with one_a_batch(spark):
+        result = scratch.put(scored, "scores")
     scratch.keep("scores")
     return result

@@ -8,14 +8,18 @@ the setting is absent, as in local tests.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import os
 import re
+import sys
 import tempfile
 import time
 import uuid
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,6 +104,31 @@ class Scratch:
             time.sleep(0.5)
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+
+
+def release() -> None:
+    """Gives back what a worker's allocators hold unused: workers outlive tasks, and an executor's share one limit."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+@contextlib.contextmanager
+def one_a_batch(spark: SparkSession):
+    """What is planned and run inside sends large rows to Python one by one, so that neither side holds several."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "1")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable on the executors (once per application)."""
     sc = spark.sparkContext
@@ -117,4 +146,4 @@ def ship(spark: SparkSession) -> None:
     sc._tessera_shipped = True
 
 
-__all__ = ["Scratch", "added", "named", "shared_dir", "ship"]
+__all__ = ["Scratch", "added", "named", "one_a_batch", "release", "shared_dir", "ship"]

@@ -1,6 +1,7 @@
 """LM scoring and language ID against brute force."""
 
 import math
+import tracemalloc
 import unicodedata
 import zlib
 from collections import Counter
@@ -8,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tessera.llm import language_id, lm_scoring
+from tessera.llm import language_id, lm_scoring, scratch
 
 
 def fold(i):
@@ -182,3 +183,54 @@ def test_languages(spark, sf_dir, edge, nothing):
     assert kept.isdisjoint({4, 5, 6, 14}) and {1, 2, 3, 7, 10, None} <= kept
     unlabelled = edge.drop("lang").selectExpr("*", "cast(null as string) as lang")
     assert {r.lang_pred for r in language_id.identify(unlabelled).collect()} == {"und"}
+
+
+def test_blocks_are_read_in_slices(monkeypatch):
+    rng = np.random.default_rng(5)
+    n, docs, kinds = 400_000, 800, 20_000
+    words = rng.integers(0, 1 << 63, kinds, dtype=np.uint64)
+    items = (kinds * rng.random(n) ** 3).astype(np.uint32)
+    sizes = np.full(docs, n // docs, np.uint32)
+    folds = (np.arange(docs) % 10).astype(np.uint8)
+
+    def opened():
+        return lm_scoring.Block(folds.tobytes(), sizes.tobytes(), lm_scoring._pack(items), words.tobytes())
+
+    block, given = opened(), []
+    for kind, grams in enumerate((block.unigrams, block.bigrams)):
+        keys, place = grams()
+        count = lm_scoring._pack(np.bincount(place, minlength=len(keys)).astype(np.uint32))
+        given.append({"kind": kind, "range": 0, "retained": count, "train": count})
+    one = np.bincount(items)
+    text = items.reshape(docs, -1).astype(np.int64)
+    key = np.concatenate([np.full((docs, 1), kinds), text[:, :-1]], 1) * kinds + text
+    _, place, two = np.unique(key, return_inverse=True, return_counts=True)
+    context = np.concatenate([np.full((docs, 1), docs), one[text[:, :-1]]], 1)
+    want = np.stack([one[items], context.ravel(), two[place].ravel()])
+    monkeypatch.setattr(lm_scoring, "SLICE_TOKENS", 7_001)
+    for at in (None, np.flatnonzero(block.token_folds() == 1)):
+        parts = list(lm_scoring._estimates(opened(), list(given), True, at, docs))
+        assert [p[0] for p in parts] == list(range(0, n if at is None else len(at), 7_001))
+        assert (np.concatenate([np.stack(p[1:]) for p in parts], 1) == (want if at is None else want[:, at])).all()
+    block = opened()
+    tracemalloc.start()
+    for _ in lm_scoring._estimates(block, list(given), True, None, docs):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 * n  # bytes; whole columns of estimates took more
+
+
+def test_one_row_a_batch(spark):
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    def run():
+        return [r.n for r in spark.range(0, 6, 1, 2).mapInArrow(sizes, "n long").collect()]
+
+    with scratch.one_a_batch(spark):
+        assert run() == [1] * 6
+    assert run() == [3, 3]
