@@ -44,8 +44,10 @@ LONGEST = 40
 _SCALE = 30.0
 _UNKNOWN = 1e-7
 _LETTERS = regex.compile(r"\p{L}+")
-#: Bytes of chunks and words that a worker remembers.
+#: Chunks, and their bytes, that a worker remembers, and words whose lattice is made at once.
+MEMO_ENTRIES = 200_000
 MEMO_BYTES = 48 << 20
+LATTICE_WORDS = 4_000
 
 
 def words_of(chunk: bytes) -> list[str]:
@@ -71,27 +73,31 @@ def piece_ids(path: str) -> dict[str, int]:
     return _pieces[path]
 
 
+def beginnings(pieces: dict[str, int]) -> dict[str, int]:
+    """The pieces, and with -1 what only begins one."""
+    return {p[:j]: -1 for p in pieces for j in range(1, len(p))} | pieces
+
+
 class Lattice:
     """All pieces of some words: (word, begin, end, piece), in order of end."""
 
-    def __init__(self, words: list[str], pieces: dict[str, int], longest: int):
+    def __init__(self, words: list[str], pieces: dict[str, int], longest: int, begun: dict[str, int] | None = None):
         self.sizes = np.array([len(w) for w in words], np.int64)
         unknown = len(pieces)
         word, begin, end, piece = [], [], [], []
-        get = pieces.get
+        get = (beginnings(pieces) if begun is None else begun).get
         for k, w in enumerate(words):
             n = len(w)
             for i in range(n):
                 for j in range(i + 1, min(n, i + longest) + 1):
                     p = get(w[i:j] if i else "▁" + w[:j])
-                    if p is None:
-                        if j > i + 1:
-                            continue
-                        p = unknown
-                    word.append(k)
-                    begin.append(i)
-                    end.append(j)
-                    piece.append(p)
+                    if j == i + 1 or p is not None and p >= 0:
+                        word.append(k)
+                        begin.append(i)
+                        end.append(j)
+                        piece.append(unknown if p is None or p < 0 else p)
+                    if p is None:  # no piece begins so
+                        break
         order = np.argsort(end, kind="stable") if end else np.zeros(0, np.int64)
         self.word, self.begin, self.end, self.piece = (np.array(x, np.int64)[order] for x in (word, begin, end, piece))
         self.scale = _SCALE ** (self.end - self.begin).astype(np.float64)
@@ -195,12 +201,13 @@ def learn(counts: dict[str, dict[str, int]], pieces: dict[str, int], rounds: int
 
 
 class _Scorer(dict):
-    """chunk -> row of log probabilities by language; new chunks wait for ``rows``."""
+    """chunk -> row of log probabilities by language; new chunks wait for ``rows``, and ``thin`` forgets those met once."""
 
     def __init__(self, pieces: dict[str, int], table: np.ndarray):
         super().__init__()
         self.pieces, self.table = pieces, table
         self.longest = max((len(p) for p in pieces), default=1)
+        self.begun = beginnings(pieces)
         self.words: dict[str, int] = {}
         self.clear()
 
@@ -211,6 +218,21 @@ class _Scorer(dict):
         self.new: list[bytes] = []
         self.of_words = np.zeros((0, self.table.shape[1]))
         self.of_chunks = np.zeros((0, self.table.shape[1] + 1))
+        self.word_uses, self.chunk_uses = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def thin(self) -> None:
+        """Keeps the chunks met, and the words in chunks met, more than once, unless those are over half of what may be held."""
+        again, shared = self.chunk_uses > 1, self.word_uses > 1
+        chunks = [c for c, a in zip(self, again.tolist()) if a]
+        words = [w for w, s in zip(self.words, shared.tolist()) if s]
+        of_chunks, of_words = self.of_chunks[again], self.of_words[shared]
+        held = sum(map(len, chunks))
+        self.clear()
+        if 2 * max(len(chunks), len(words)) <= MEMO_ENTRIES and 2 * held <= MEMO_BYTES:
+            self.update(zip(chunks, range(len(chunks))))
+            self.words.update(zip(words, range(len(words))))
+            self.of_chunks, self.of_words, self.held = of_chunks, of_words, held
+            self.chunk_uses, self.word_uses = np.zeros(len(chunks), np.int64), np.zeros(len(words), np.int64)
 
     def __missing__(self, chunk: bytes) -> int:
         self[chunk] = k = len(self)
@@ -233,14 +255,20 @@ class _Scorer(dict):
             if fresh:
                 short = np.array([len(w) <= LONGEST for w in fresh])
                 got = np.empty((len(fresh), self.table.shape[1]))
-                lattice = Lattice([w for w, s in zip(fresh, short) if s], self.pieces, self.longest)
-                for c in range(self.table.shape[1] if short.any() else 0):
-                    got[short, c] = lattice.log_probability(self.table[:, c])
+                every = np.flatnonzero(short)
+                for i in range(0, len(every), LATTICE_WORDS):
+                    some = every[i : i + LATTICE_WORDS]
+                    lattice = Lattice([fresh[k] for k in some], self.pieces, self.longest, self.begun)
+                    for c in range(self.table.shape[1]):
+                        got[some, c] = lattice.log_probability(self.table[:, c])
                 for k in np.flatnonzero(~short):
                     got[k] = long_word(fresh[k], self.table, self.pieces, self.longest)
                 self.of_words = np.concatenate([self.of_words, got])
+            self.word_uses = np.concatenate([self.word_uses, np.zeros(len(fresh), np.int64)])
+            self.chunk_uses = np.concatenate([self.chunk_uses, np.zeros(len(self.new), np.int64)])
             got = np.zeros((len(self.new), self.table.shape[1] + 1))
             if owner:
+                self.word_uses += np.bincount(place, minlength=len(self.words))
                 for c in range(self.table.shape[1]):
                     got[:, c] = np.bincount(owner, weights=self.of_words[place, c], minlength=len(self.new))
                 got[:, -1] = np.bincount(owner, minlength=len(self.new))
@@ -259,12 +287,14 @@ def _sums(texts: list[bytes], scorer: _Scorer) -> np.ndarray:
     def flush():
         table = scorer.rows()
         begins = np.cumsum([0] + [len(h) for h in held[:-1]])
-        sums = np.add.reduceat(table[np.concatenate(held)], begins)
+        every = np.concatenate(held)
+        sums = np.add.reduceat(table[every], begins)
         np.add.at(out, rows, sums)
+        scorer.chunk_uses += np.bincount(every, minlength=len(table))
         held.clear()
         rows.clear()
-        if len(scorer) >= vocab.MEMO_ENTRIES or scorer.held >= MEMO_BYTES:
-            scorer.clear()
+        if max(len(scorer), len(scorer.words)) >= MEMO_ENTRIES or scorer.held >= MEMO_BYTES:
+            scorer.thin()
 
     size = 0
     for k, text in enumerate(texts):
@@ -327,6 +357,7 @@ def _predictor(docs: DataFrame, id_col: str, text_col: str, lang_col: str, path:
     def predict(texts: list) -> tuple[list[str], np.ndarray]:
         if not languages or not texts:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts))
+        vocab.only("language_id", _scorers.clear)
         if model not in _scorers:
             _scorers.clear()
             _scorers[model] = _Scorer(piece_ids(path), sent.value)
@@ -346,7 +377,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in vocab.sliced(batches, 1):
             predicted, score = predict(batch.column(1).cast(pa.large_binary()).to_pylist())
             held_out = [_fold(i) == TEST_FOLD for i in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held_out, pa.bool_()), pa.array(predicted, pa.string()), pa.array(score, pa.float64())], names=[id_col, "held_out", "lang_pred", "score"])
@@ -360,7 +391,7 @@ def keep_identified(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id",
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in vocab.sliced(batches, at):
             predicted, score = predict(batch.column(at).cast(pa.large_binary()).to_pylist())
             yield batch.filter(pa.array([p != UNDETERMINED and s >= least for p, s in zip(predicted, score)], pa.bool_()))
 

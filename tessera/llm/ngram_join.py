@@ -46,6 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import vocab
 from .graph import components
 from .scratch import Scratch, named, ship
 from .shingles import WordHashes, mix, shingle_set, word_hashes
@@ -138,6 +139,7 @@ def frequent_columns(docs: DataFrame, text_col: str, shingle: int) -> np.ndarray
             keep = n >= LEAST_LOCAL
             return pa.RecordBatch.from_arrays([pa.array(every[first[keep]].view(np.int64)), pa.array(n[keep].astype(np.int64))], names=["column", "n"])
 
+        vocab.only("ngram_join", _memo.clear)
         rows, held = [], 0
         for batch in batches:
             texts = batch.column(0).cast(pa.large_binary())
@@ -171,6 +173,7 @@ def rows_of(docs: DataFrame, id_col: str, text_col: str, shingle: int, num: int,
     sent = docs.sparkSession.sparkContext.broadcast(frequent)  # at most MOST_FREQUENT numbers
 
     def run(batches):
+        vocab.only("ngram_join", _memo.clear)
         bands = Bands(num, den)
         for batch in batches:
             n, keys, sketches, blocks = [], [], [], []
@@ -212,6 +215,7 @@ def sets_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, shin
     source = source.join(ids, F.col("id").eqNullSafe(F.col("first")), "left_semi").select("text")
 
     def run(batches):
+        vocab.only("ngram_join", _memo.clear)
         for batch in batches:
             texts = batch.column(0).cast(pa.large_binary())
             rows = [shingle_set(word_hashes(texts[k].as_py() or b"", _memo), shingle) for k in range(batch.num_rows)]

@@ -138,6 +138,11 @@ def plan(histogram: np.ndarray, depth: int = DEPTH) -> list[tuple[tuple[int, ...
     return out
 
 
+def _forget() -> None:
+    _memos.clear()
+    vocab.unload()
+
+
 def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, window: int, grid: int) -> DataFrame:
     """(id, start, length, ids_crc32, doc_tokens, bin, part, number): window-sized pieces and the rest of each document."""
     source = docs.select(id_col, text_col)
@@ -146,6 +151,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, window: int,
     def run(batches):
         from pyspark import TaskContext
 
+        vocab.only("packing", _forget)
         if path not in _memos:
             ids = vocab.library_encoder(path)
             _memos[path] = vocab.ChunkMemo(vocab.load(path), lambda p: array("I", [p] if isinstance(p, int) else ids(p)).tobytes(), b"".join)

@@ -38,6 +38,8 @@ LEAST_G = 24.0
 _LETTERS = re.compile(r"[^\W\d_]+")
 SHAPES = 6
 PREFIXES = (4, 5, 6, 7)
+#: Chunks in a generation of a worker's memo.
+MEMO_ENTRIES = 100_000
 
 
 def words_of(chunk: bytes) -> list[str]:
@@ -50,17 +52,21 @@ def words_of(chunk: bytes) -> list[str]:
 
 
 class _Words(dict):
-    """chunk -> its words' numbers among the selected ones."""
+    """chunk -> its words' numbers among the selected ones; two generations, the older one dropped when the younger is full."""
 
-    def __init__(self, selected: dict[str, int]):
+    def __init__(self, selected: dict[str, int], entries: int = MEMO_ENTRIES):
         super().__init__()
-        self.selected = selected
+        self.selected, self.entries = selected, entries
+        self.old: dict = {}
 
     def __missing__(self, chunk: bytes) -> tuple[int, ...]:
-        if len(self) >= vocab.MEMO_ENTRIES:
-            self.clear()
-        got = tuple(self.selected[w] for w in words_of(chunk) if w in self.selected)
+        got = self.old.get(chunk)
+        if got is None:
+            got = tuple(self.selected[w] for w in words_of(chunk) if w in self.selected)
         if len(chunk) <= 64:
+            if len(self) >= self.entries:
+                self.old = dict(self)
+                self.clear()
             self[chunk] = got
         return got
 
@@ -218,6 +224,7 @@ def _predictor(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, c
     def predict(texts: list) -> np.ndarray:
         if not chain or not texts:
             return np.zeros((len(texts), n))
+        vocab.only("toxicity", _memos.clear)
         if model not in _memos:
             _memos.clear()
             _memos[model] = _Words(index)
@@ -243,7 +250,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in vocab.sliced(batches, 1):
             p = predict(batch.column(1).cast(pa.large_binary()).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(p[:, c]) for c in range(len(names))], pa.array(p[:, -1] >= threshold, pa.bool_())], names=[id_col, *[f"p_{n}" for n in names], f"is_{names[-1]}"])
 
@@ -257,7 +264,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in vocab.sliced(batches, at):
             p = predict(batch.column(at).cast(pa.large_binary()).to_pylist())
             yield batch.filter(pa.array(p[:, -1] < threshold, pa.bool_()))
 

@@ -13,8 +13,13 @@ import os
 import re
 import unicodedata
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
+from .scratch import release
+
 #: Entries of a worker's memo.
 MEMO_ENTRIES = 600_000
 #: The splitting pattern on lower-case ASCII bytes.
@@ -119,6 +124,42 @@ def library(path: str):
     return _library[path]
 
 
+def unload() -> None:
+    """Empties what ``load`` and ``library`` keep in this process."""
+    _loaded.clear()
+    _library.clear()
+
+
+_holders: dict[str, object] = {}
+
+
+def only(owner: str, forget) -> None:
+    """Lets a worker remember for one operator at a time: workers outlive stages, and what others left is emptied by their ``forget``."""
+    if owner not in _holders:
+        for empty in _holders.values():
+            empty()
+        _holders.clear()
+        release()
+        _holders[owner] = forget
+
+
+def slices(batch: pa.RecordBatch, column: int, limit: int = 2 << 20):
+    """A batch in slices of ``limit`` bytes of a text column at most besides their first row, so that what is made of one stays small."""
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes.astype(np.int64) + 64) // limit)) + 1).tolist(), batch.num_rows]
+    for i, j in zip(cuts, cuts[1:]):
+        if j > i:
+            yield batch.slice(i, j - i)
+
+
+def sliced(batches, column: int):
+    """``slices`` of all batches; unused memory goes back to the system after each batch."""
+    for batch in batches:
+        yield from slices(batch, column)
+        batch = None
+        release()
+
+
 _BLANK = re.compile(rb"[\t-\r ]")
 
 

@@ -7,9 +7,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tessera.llm import language_id, lm_scoring, scratch
+from tessera.llm import language_id, lm_scoring, scratch, toxicity, vocab
 
 
 def fold(i):
@@ -234,3 +235,43 @@ def test_one_row_a_batch(spark):
     with scratch.one_a_batch(spark):
         assert run() == [1] * 6
     assert run() == [3, 3]
+
+
+def test_language_memo_keeps_what_recurs(monkeypatch):
+    pieces = {"▁a": 0, "b": 1, "bc": 2, "c": 3, "▁ab": 4}
+    table = np.random.default_rng(1).dirichlet(np.ones(6), 2).T
+    texts = [b"abc " + b" ".join(b"%s%s" % (b"a" * (k % 7 + 1), b"bc" * (k % 5 + j)) for j in range(9)) + b" abc" for k in range(60)]
+    want = language_id._sums(texts, language_id._Scorer(pieces, table))
+    monkeypatch.setattr(language_id, "MEMO_ENTRIES", 40)
+    monkeypatch.setattr(language_id, "LATTICE_WORDS", 7)
+    scorer = language_id._Scorer(pieces, table)
+    got = np.concatenate([language_id._sums(texts[i : i + 2], scorer) for i in range(0, 60, 2)])
+    assert np.allclose(got, want, rtol=1e-12)
+    assert len(scorer) < 40 + 2 * 11 and b"abc" in scorer
+    assert len(scorer.rows()) == len(scorer) == len(scorer.chunk_uses)
+
+
+def test_one_operator_remembers_at_a_time(monkeypatch):
+    monkeypatch.setattr(vocab, "_holders", {})
+    a, b = {1: 2}, {3: 4}
+    vocab.only("a", a.clear)
+    vocab.only("a", a.clear)
+    assert a
+    vocab.only("b", b.clear)
+    assert not a and b
+
+
+def test_slices_hold_all_rows():
+    texts = ["x" * 50, None, "é" * 500, "", *["y" * 30] * 200]
+    batch = pa.RecordBatch.from_pydict({"i": list(range(len(texts))), "t": texts})
+    parts = list(vocab.slices(batch, 1, 1000))
+    assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(len(texts)))
+    assert len(parts) > 10 and all(sum(len((t or "").encode()) for t in p.column(1).to_pylist()[1:]) <= 1000 for p in parts)
+    assert list(vocab.slices(batch.slice(0, 0), 1)) == []
+
+
+def test_toxicity_memo_is_bounded():
+    memo = toxicity._Words({"bad": 0}, entries=10)
+    for k in range(200):
+        assert memo[b"w%d" % k] == () and memo[b"bad"] == (0,)
+        assert len(memo) <= 10 and len(memo.old) <= 10
