@@ -149,3 +149,17 @@ def test_registered():
 
     names = set(entry.queries())
     assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names}
+
+
+def test_stages_send_small_batches_unless_told(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name)
+        corpus_pipeline.small_batches(spark)
+        assert spark.conf.get(name) == str(corpus_pipeline.BATCH_ROWS)
+        spark.conf.set(name, "77")
+        corpus_pipeline.small_batches(spark)
+        assert spark.conf.get(name) == "77"
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
