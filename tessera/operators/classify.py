@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -9,7 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform
@@ -23,6 +24,8 @@ AT_ONCE = 6
 ROWS = 50_000
 #: From more rows than this on, up to so many bytes of bins, a task grows whole trees (``forests``); MLlib fits fewer and more rows.
 FEW, WHOLE = 1000, 32_000_000
+#: Folds of the out-of-bag error, and those that each sub-forest leaves out.
+FOLDS, OUT = 10, 3
 
 
 def one_vs_rest(points: DataFrame, label: str, value: int, name: str = "PRIM") -> DataFrame:
@@ -131,14 +134,45 @@ def probabilities(df: DataFrame, primitives: list[Primitive]) -> DataFrame:
     return df
 
 
-def out_of_bag(points: DataFrame, label: str, value: int, features: list[str], id_cols: list[str], trees: int = TREES, depth: int = DEPTH, seed: int = SEED, folds: int = 10, out: int = 3) -> float:
+def fold(id_cols: list[str], seed: int = SEED, folds: int = FOLDS) -> Column:
+    return F.floor(uniform(seed, *[F.col(c) for c in id_cols]) * folds).cast("int")
+
+
+#: Tables of ``prepared`` by the points' identity and what else they depend on.
+_PREPARED: dict = {}
+
+
+@contextlib.contextmanager
+def prepared(points: DataFrame, label: str, values: list[int], features: list[str], id_cols: list[str], seed: int = SEED, folds: int = FOLDS):
+    """Inside, out-of-bag errors of these points share one table of bins; None where MLlib fits them."""
+    rows = points.select(label, *features, *id_cols).persist()
+    key = (id(points), label, *features, *id_cols, seed, folds)
+    table = None
+    try:
+        if whole(rows, features):
+            table = _PREPARED[key] = forests.table(rows, label, values, features, fold(id_cols, seed, folds))
+        rows.unpersist()
+        yield table
+    finally:
+        rows.unpersist()
+        if table is not None:
+            del _PREPARED[key]
+            table.close()
+
+
+def out_of_bag(points: DataFrame, label: str, value: int, features: list[str], id_cols: list[str], trees: int = TREES, depth: int = DEPTH, seed: int = SEED, folds: int = FOLDS, out: int = OUT) -> float:
     """Share of rows that forests which never saw them get wrong.
 
     Ten sub-forests, each without three of ten hash folds, so every row is
     out of bag in exactly three of them and each trains on about 70 %.
     """
-    rows = one_vs_rest(points, label, value)
-    rows = rows.withColumn("__fold", F.floor(uniform(seed, *[F.col(c) for c in id_cols]) * folds).cast("int"))
+    table = _PREPARED.get((id(points), label, *features, *id_cols, seed, folds))
+    if table is not None and value in table.values:
+        return table.out_of_bag(value, max(1, trees // folds), depth, seed, folds, out)
+    with prepared(points, label, [value], features, id_cols, seed, folds) as table:
+        if table is not None:
+            return table.out_of_bag(value, max(1, trees // folds), depth, seed, folds, out)
+    rows = one_vs_rest(points, label, value).withColumn("__fold", fold(id_cols, seed, folds))
     rows = VectorAssembler(inputCols=features, outputCol="features").transform(rows).select("features", "PRIM", "__fold", *id_cols).persist()
     try:
         few = together(rows)

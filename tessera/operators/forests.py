@@ -244,6 +244,25 @@ class Table:
             out[v] = (dict(zip(wanted[v], importance.tolist())), forest)
         return out
 
+    def out_of_bag(self, value, trees: int, depth: int, seed: int, folds: int, out: int) -> float:
+        """Share of rows that the sub-forests without their fold get wrong."""
+        code = self.values.index(value) if value in self.values else -2
+
+        def work(bins, codes, fold, b):
+            held = np.isin(fold, [(b + k) % folds for k in range(out)])
+            mine, rest, votes = codes == code, np.ascontiguousarray(bins[held]), np.zeros(held.sum())
+            for t in range(trees):
+                rng = generator(seed + b, value, t)
+                *tree, _ = grow(bins, mine, np.where(held, 0, rng.poisson(1.0, len(bins))), draws(bins.shape[1]), depth, rng)
+                vote(tree, rest, votes)
+            return ((votes / trees).tobytes(),)
+
+        bins, codes, fold = self.shared.value
+        p = np.zeros(len(bins))
+        for b, (votes,) in enumerate(self.run(list(range(folds)), work, "votes binary")):
+            p[np.isin(fold, [(b + k) % folds for k in range(out)])] += np.frombuffer(votes, float)
+        return float(np.mean((p / out >= 0.5) != (codes == code)))
+
 
 def table(points: DataFrame, label: str, values: list, features: list[str], fold=None) -> Table:
     """Reads the points twice: for the thresholds, and for the bins, which the driver passes on."""

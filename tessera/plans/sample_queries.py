@@ -286,5 +286,8 @@ def rf_importance_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("rf_oob", None)
 def rf_oob(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = views.labels_px(spark, sf_dir, len(_FEATURES))
-    errors = [(v, classify.out_of_bag(points, "LANDCOVER", v, _FEATURES, ["id"])) for v in classify.labels_of(points, "LANDCOVER")]
+    values = classify.labels_of(points, "LANDCOVER")
+    with classify.prepared(points, "LANDCOVER", values, _FEATURES, ["id"]) as table:
+        error = lambda v: (v, classify.out_of_bag(points, "LANDCOVER", v, _FEATURES, ["id"]))
+        errors = classify.at_once(error, values, 1 if table is None else len(values))
     return spark.createDataFrame(errors, "class int, oob_error double")

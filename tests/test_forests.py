@@ -114,3 +114,41 @@ def test_importances_near_mllib(points):
         assert np.allclose(list(fit.importance_all.values()), model.featureImportances.toArray(), atol=0.06)  # about 0.012 each by chance
         nodes = sum(len(t[0]) for t in fit.model.trees)
         assert nodes == pytest.approx(model.totalNumNodes, rel=0.05)
+
+
+def test_out_of_bag_by_definition(points, monkeypatch):
+    """Each fold is voted on by three sub-forests that never saw it; no fit is MLlib's; classes share one table of bins."""
+    x, y = data()
+
+    def never(self, df):
+        raise AssertionError("fitted level by level")
+
+    monkeypatch.setattr(classify.RandomForestClassifier, "fit", never)
+    made, table = [], forests.table
+    monkeypatch.setattr(forests, "table", lambda *a: made.append(table(*a)) or made[-1])
+    with classify.prepared(points, "LANDCOVER", [1, 2, 3], NAMES, ["id"]):
+        got = [classify.out_of_bag(points, "LANDCOVER", v, NAMES, ["id"], trees=30, depth=6) for v in (1, 2, 3)]
+        bins, codes, folds = made[0].shared.value
+    assert len(made) == 1 and not classify._PREPARED
+    assert classify.out_of_bag(points.repartition(3), "LANDCOVER", 2, NAMES, ["id"], trees=30, depth=6) == got[1] and len(made) == 2
+    want = {r.id: r.fold for r in points.select("id", classify.fold(["id"]).alias("fold")).collect()}
+    assert sorted(folds) == sorted(want.values()) and np.bincount(folds).min() > 100
+    p, n = np.zeros(len(bins)), np.zeros(len(bins))
+    for b in range(10):
+        held = np.isin(folds, [b, (b + 1) % 10, (b + 2) % 10])
+        votes = np.zeros(held.sum())
+        for t in range(3):
+            bag = forests.generator(classify.SEED + b, 1, t)
+            weights = bag.poisson(1.0, len(bins)) * ~held
+            *tree, _ = forests.grow(bins, codes == 0, weights, 3, 6, bag)
+            forests.vote(tree, bins[held], votes)
+        p[held] += votes / 3
+        n[held] += 1
+    assert (n == 3).all() and got[0] == pytest.approx(((p / 3 >= 0.5) != (codes == 0)).mean())
+
+
+def test_out_of_bag_near_mllib(points, monkeypatch):
+    """The error of whole trees is the one of MLlib's fits."""
+    got = classify.out_of_bag(points, "LANDCOVER", 2, NAMES, ["id"], depth=6)
+    monkeypatch.setattr(classify, "FEW", 1500)
+    assert got == pytest.approx(classify.out_of_bag(points, "LANDCOVER", 2, NAMES, ["id"], depth=6), abs=0.02) and 0.05 < got < 0.3
