@@ -116,6 +116,26 @@ def test_importances_near_mllib(points):
         assert nodes == pytest.approx(model.totalNumNodes, rel=0.05)
 
 
+def test_probabilities_of_whole_trees(spark, points):
+    """Scores are the trees' votes, whatever the partitions; other columns stay; a null feature is scored; one Python pass."""
+    x, y = data()
+    one, two = (classify.train_primitives(df, "LANDCOVER", NAMES, trees=9) for df in (points, points.repartition(7, "a")))
+    scored = classify.probabilities(points.withColumn("kept", F.lit("k")), one)
+    assert scored.columns == [*points.columns, "kept", "Class1", "Class2", "Class3"]
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    rows, again = scored.orderBy("id").collect(), classify.probabilities(points.repartition(5), two).orderBy("id").collect()
+    for fit, value in zip(one, (1, 2, 3)):
+        votes = np.zeros(len(y))
+        for tree in fit.model.trees:
+            forests.vote(tree, forests.binned(x[:, [NAMES.index(f) for f in fit.features]], fit.model.cuts), votes)
+        got = np.array([r[f"Class{value}"] for r in rows])
+        assert np.array_equal(got, votes / 9) and np.array_equal(got, [r[f"Class{value}"] for r in again])
+        assert ((got >= 0.5) == (y == value)).mean() > 0.95
+    gaps = classify.probabilities(points.limit(20).withColumn("a", F.when(F.col("id") != 3, F.col("a"))), one)
+    assert gaps.filter("Class1 between 0 and 1").count() == 20 and classify.probabilities(points.limit(0), one).count() == 0
+    assert classify.most_probable(scored, {v: f"Class{v}" for v in (1, 2, 3)}, "guess").filter("guess = LANDCOVER").count() > 1400
+
+
 def test_out_of_bag_by_definition(points, monkeypatch):
     """Each fold is voted on by three sub-forests that never saw it; no fit is MLlib's; classes share one table of bins."""
     x, y = data()
