@@ -22,8 +22,8 @@ TREES, BAG, SEED, DEPTH, TOP = 100, 0.7, 51515, 30, 20
 AT_ONCE = 6
 #: Rows that make a partition of a fit worth while.
 ROWS = 50_000
-#: From more rows than this on, up to so many bytes of bins, a task grows whole trees (``forests``); MLlib fits fewer and more rows.
-FEW, WHOLE = 1000, 32_000_000
+#: Above so many rows times trees, up to so many bytes of bins, a task grows whole trees (``forests``); MLlib fits less and more.
+LITTLE, WHOLE = 10_000, 32_000_000
 #: Folds of the out-of-bag error, and those that each sub-forest leaves out.
 FOLDS, OUT = 10, 3
 
@@ -99,7 +99,7 @@ def train_primitives(points: DataFrame, label: str, features: list[str], values:
     """A primitive for each class; the driver loops over classes, never over rows."""
     points = points.select(label, *features).persist()
     try:
-        if whole(points, features):
+        if whole(points, features, options.get("trees", TREES)):
             return grow_primitives(points, label, features, list(values or labels_of(points, label)), **options)
         rows = together(points)
         return at_once(lambda v: train_primitive(rows, label, v, features, **options), list(values or labels_of(points, label)))
@@ -107,9 +107,10 @@ def train_primitives(points: DataFrame, label: str, features: list[str], values:
         points.unpersist()
 
 
-def whole(points: DataFrame, features: list[str]) -> bool:
-    """Whether tasks grow whole trees: there are enough rows, and a worker can hold their bins."""
-    return FEW < points.count() <= WHOLE // max(1, len(features))
+def whole(points: DataFrame, features: list[str], trees: int) -> bool:
+    """Whether tasks grow whole trees: there is work for them, and a worker can hold the rows' bins."""
+    n = points.count()
+    return n * trees > LITTLE and n * len(features) <= WHOLE
 
 
 def grow_primitives(points: DataFrame, label: str, features: list[str], values: list[int], trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> list[Primitive]:
@@ -143,13 +144,13 @@ _PREPARED: dict = {}
 
 
 @contextlib.contextmanager
-def prepared(points: DataFrame, label: str, values: list[int], features: list[str], id_cols: list[str], seed: int = SEED, folds: int = FOLDS):
+def prepared(points: DataFrame, label: str, values: list[int], features: list[str], id_cols: list[str], trees: int = TREES, seed: int = SEED, folds: int = FOLDS):
     """Inside, out-of-bag errors of these points share one table of bins; None where MLlib fits them."""
     rows = points.select(label, *features, *id_cols).persist()
     key = (id(points), label, *features, *id_cols, seed, folds)
     table = None
     try:
-        if whole(rows, features):
+        if whole(rows, features, trees):
             table = _PREPARED[key] = forests.table(rows, label, values, features, fold(id_cols, seed, folds))
         rows.unpersist()
         yield table
@@ -169,7 +170,7 @@ def out_of_bag(points: DataFrame, label: str, value: int, features: list[str], i
     table = _PREPARED.get((id(points), label, *features, *id_cols, seed, folds))
     if table is not None and value in table.values:
         return table.out_of_bag(value, max(1, trees // folds), depth, seed, folds, out)
-    with prepared(points, label, [value], features, id_cols, seed, folds) as table:
+    with prepared(points, label, [value], features, id_cols, trees, seed, folds) as table:
         if table is not None:
             return table.out_of_bag(value, max(1, trees // folds), depth, seed, folds, out)
     rows = one_vs_rest(points, label, value).withColumn("__fold", fold(id_cols, seed, folds))

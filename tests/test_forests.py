@@ -93,7 +93,7 @@ def test_grown_whole():
 
 
 def test_no_fit_level_by_level(points, monkeypatch):
-    """Above FEW rows no forest is MLlib's: its time and driver grow with all nodes of all trees."""
+    """Above LITTLE work no forest is MLlib's: its time and driver grow with all nodes of all trees."""
 
     def never(self, df):
         raise AssertionError("fitted level by level")
@@ -103,7 +103,7 @@ def test_no_fit_level_by_level(points, monkeypatch):
     assert [f.value for f in fits] == [1, 2, 3] and all(len(f.model.trees) == 10 and f.features == NAMES for f in fits)
     assert all(sum(f.importance_all.values()) == pytest.approx(1) == sum(f.importance_top.values()) for f in fits)
     with pytest.raises(Exception, match="null or NaN"):
-        classify.train_primitives(points.withColumn("c", F.when(F.col("id") != 77, F.col("c"))), "LANDCOVER", NAMES, [1], trees=2)
+        classify.train_primitives(points.withColumn("c", F.when(F.col("id") != 77, F.col("c"))), "LANDCOVER", NAMES, [1], trees=10)
 
 
 def test_importances_near_mllib(points):
@@ -146,6 +146,7 @@ def test_out_of_bag_by_definition(points, monkeypatch):
     monkeypatch.setattr(classify.RandomForestClassifier, "fit", never)
     made, table = [], forests.table
     monkeypatch.setattr(forests, "table", lambda *a: made.append(table(*a)) or made[-1])
+    assert classify.whole(points.limit(400), NAMES, classify.TREES)  # the queries' smallest tables too
     with classify.prepared(points, "LANDCOVER", [1, 2, 3], NAMES, ["id"]):
         got = [classify.out_of_bag(points, "LANDCOVER", v, NAMES, ["id"], trees=30, depth=6) for v in (1, 2, 3)]
         bins, codes, folds = made[0].shared.value
@@ -170,5 +171,5 @@ def test_out_of_bag_by_definition(points, monkeypatch):
 def test_out_of_bag_near_mllib(points, monkeypatch):
     """The error of whole trees is the one of MLlib's fits."""
     got = classify.out_of_bag(points, "LANDCOVER", 2, NAMES, ["id"], depth=6)
-    monkeypatch.setattr(classify, "FEW", 1500)
+    monkeypatch.setattr(classify, "LITTLE", 150_000)
     assert got == pytest.approx(classify.out_of_bag(points, "LANDCOVER", 2, NAMES, ["id"], depth=6), abs=0.02) and 0.05 < got < 0.3
